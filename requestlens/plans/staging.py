@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from requestlens.functions import standardize as S
@@ -14,37 +14,31 @@ def staged_requests(raw: DataFrame, map_long_names: bool = False, strict_zip: bo
     """Projection of the raw table; the options swap in the stricter agency and ZIP rules."""
     c = F.col
     rows = conform(raw).where(c("unique_key").isNotNull())
+
+    def trimmed(*names: str) -> list[Column]:
+        return [F.expr(f"trim({name}) AS {name}") for name in names]
+
     return rows.select(
-        c("unique_key"),
+        "unique_key",
         parse_datetime(c("created_date")).alias("created_at"),
         parse_datetime(F.nullif(F.trim("closed_date"), F.lit(""))).alias("closed_at"),
         parse_datetime(c("resolution_action_updated_date")).alias("resolution_updated_at"),
         (S.agency(c("agency")) if map_long_names else S.upper_trim(c("agency"))).alias("agency_code"),
-        F.trim("agency_name").alias("agency_name"),
-        F.trim("complaint_type").alias("complaint_type"),
-        F.trim("descriptor").alias("descriptor"),
+        *trimmed("agency_name", "complaint_type", "descriptor"),
         S.upper_trim(c("location_type")).alias("location_type"),
         (S.zip_code(c("incident_zip")) if strict_zip else S.zip_digits(c("incident_zip"))).alias("incident_zip"),
-        F.trim("incident_address").alias("incident_address"),
-        F.trim("street_name").alias("street_name"),
-        F.trim("cross_street_1").alias("cross_street_1"),
-        F.trim("cross_street_2").alias("cross_street_2"),
+        *trimmed("incident_address", "street_name", "cross_street_1", "cross_street_2"),
         S.upper_trim(c("city")).alias("city"),
         S.borough(c("borough")).alias("borough"),
         c("latitude").try_cast("double").alias("latitude"),
         c("longitude").try_cast("double").alias("longitude"),
         c("location").alias("location_json"),
-        F.trim("status").alias("status"),
-        F.trim("resolution_description").alias("resolution_description"),
-        F.trim("community_board").alias("community_board"),
-        F.trim("council_district").alias("council_district"),
-        F.trim("census_tract").alias("census_tract"),
-        F.trim("bin").alias("bin"),
-        F.trim("bbl").alias("bbl"),
-        F.trim("nta").alias("nta"),
-        c("ingested_at"),
-        c("batch_id"),
-        c("raw_payload"),
+        *trimmed(
+            "status", "resolution_description", "community_board", "council_district", "census_tract", "bin", "bbl", "nta"
+        ),
+        "ingested_at",
+        "batch_id",
+        "raw_payload",
     )
 
 

@@ -19,6 +19,7 @@ def build_session(app_name: str = "requestlens", master: str | None = None, **ov
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
     settings.update(overrides)

@@ -34,9 +34,8 @@ def api_projection(df: DataFrame) -> DataFrame:
 
 def conform(df: DataFrame) -> DataFrame:
     """Give ``df`` every raw column; what the input leaves out is null. Extra columns are kept."""
-    present = set(df.columns)
-    absent = [F.lit(None).cast(field.dataType).alias(field.name) for field in RAW.fields if field.name not in present]
-    return df.select("*", *absent)
+    known = set(RAW.fieldNames())
+    return df.to(T.StructType(RAW.fields + [field for field in df.schema.fields if field.name not in known]))
 
 
 def with_payload(df: DataFrame) -> DataFrame:
