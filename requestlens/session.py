@@ -20,6 +20,8 @@ def build_session(app_name: str = "requestlens", master: str | None = None, **ov
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Generated methods beyond 8,000 bytecodes are never compiled by the JVM; smaller ones run much faster.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.showConsoleProgress": "false",
     }
     settings.update(overrides)

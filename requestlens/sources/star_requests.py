@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from requestlens import fixed_values as V
-from requestlens.sources.tables import table
+from requestlens.sources.tables import spread, table
 
 AS_OF = "2027-08-03 12:00:00"
 BASE_INGEST = "2027-08-03 00:00:00"
@@ -134,7 +134,7 @@ def raw_requests(spark: SparkSession, folder: str, columns: Sequence[str] | None
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck"), "o_orderstatus", "o_orderdate"
     )
-    base = lines.join(orders, "ok")
+    base = spread(lines, "ok").join(orders, "ok")
     if _PART_COLUMNS & set(wanted):
         parts = table(spark, folder, "part").select(F.col("p_partkey").alias("pk"), "p_name", "p_brand", "p_size")
         base = base.join(parts, "pk")
