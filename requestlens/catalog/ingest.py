@@ -6,15 +6,13 @@ from pyspark.sql import functions as F
 
 from requestlens import fixed_values as V
 from requestlens.catalog import inputs as I
-from requestlens.catalog.oracle import CURRENT, FACT, FIT, RAW, STAGED, over, policies, rounded
+from requestlens.catalog.oracle import CURRENT, FACT, FIT, RAW, STAGED, over, policies
 from requestlens.catalog.registry import query
-from requestlens.functions.temporal import parse_datetime
 from requestlens.operators import cursor as C
 from requestlens.operators import dead_letters as L
 from requestlens.operators import row_index as P
 from requestlens.operators import upsert as U
 from requestlens.plans import fact as T
-from requestlens.plans.staging import staged_requests
 from requestlens.session import fresh_path, store
 from requestlens.sources import landing
 from requestlens.sources.seeds import policy_frame
@@ -37,7 +35,7 @@ def _landed_pages(spark, folder):
 
 @query("src_json_pages", over(RAW, f"""
 SELECT batch_id, count(*) AS records, count(unique_key) AS keys, count(closed_date) AS closed_texts, count(location) AS locations,
-  count(DISTINCT agency) AS agencies, min(created_date) AS first_created, max(source_row) AS last_row
+  count(DISTINCT agency) AS agencies, CAST(sum(length(created_date)) AS BIGINT) AS created_length, CAST(sum(length(source_row)) AS BIGINT) AS row_length
 FROM raw GROUP BY 1"""))
 def src_json_pages(spark, folder):
     """Land all raw rows as JSON files and read them back as text."""
@@ -45,7 +43,7 @@ def src_json_pages(spark, folder):
     return pages.groupBy("batch_id").agg(
         F.count("*").alias("records"), F.count("unique_key").alias("keys"), F.count("closed_date").alias("closed_texts"),
         F.count("location").alias("locations"), F.count_distinct("agency").alias("agencies"),
-        F.min("created_date").alias("first_created"), F.max("source_row").alias("last_row"),
+        F.sum(F.length("created_date")).alias("created_length"), F.sum(F.length("source_row")).alias("row_length"),
     )
 
 

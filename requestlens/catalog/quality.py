@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from requestlens import fixed_values as V
 from requestlens.catalog import inputs as I
 from requestlens.catalog import oracle as O
-from requestlens.catalog.marts import _CARD_INPUT
 from requestlens.catalog.oracle import CALENDAR, FACT, RAW, over
 from requestlens.catalog.registry import query
 from requestlens.operators.cursor import created_at
@@ -16,10 +15,9 @@ from requestlens.plans import checks as K
 from requestlens.plans import dimensions as D
 from requestlens.plans import marts as M
 from requestlens.plans import suite as Q
+from requestlens.plans.fact import build_fact
 from requestlens.plans.run_summary import summarize
-from requestlens.plans.staging import staged_requests
 from requestlens.session import store
-from requestlens.sources.star_requests import AS_OF
 
 c = F.col
 _SUITE = Q.request_suite()
@@ -204,15 +202,15 @@ def _test_tables(spark, folder):
     ]
     enriched = store(I.enriched(spark, folder, *I.FACT_INPUT).select(*used), "enriched")
     dims = I.stored_dims(enriched)
-    fact = store(T_build(enriched, dims), "fact")
+    fact = store(build_fact(enriched, dims), "fact")
     return {
         "raw_requests": raw,
         "stg_requests": enriched,
         "int_requests_enriched": enriched,
         "int_daily_agency_metrics": M.daily_agency_metrics(enriched, median=False),
         "fact_service_requests": fact,
-        "agg_monthly_borough_performance": M.monthly_borough_performance(fact, D.dim_date(spark), dims["borough"]),
-        "agg_agency_sla_scorecard": M.agency_sla_scorecard(fact, dims["agency"]),
+        "agg_monthly_borough_performance": M.monthly_borough_performance(fact, D.dim_date(spark), dims["borough"], median=False),
+        "agg_agency_sla_scorecard": M.agency_sla_scorecard(fact, dims["agency"], median=False),
         "dim_date": D.dim_date(spark),
         "dim_agency": dims["agency"],
         "dim_borough": dims["borough"],
@@ -220,12 +218,6 @@ def _test_tables(spark, folder):
     }
 
 
-def T_build(enriched, dims):
-    from requestlens.plans.fact import build_fact
-
-    return build_fact(enriched, dims)
-
-
 _SOURCES = {
     "raw_requests": "raw", "stg_requests": "stg", "int_requests_enriched": "enr", "fact_service_requests": "fact",
     "int_daily_agency_metrics": "daily", "agg_monthly_borough_performance": "monthly", "agg_agency_sla_scorecard": "card",

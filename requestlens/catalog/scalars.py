@@ -121,9 +121,6 @@ def parse_location(spark, folder):
     )
 
 
-_FACT_TIMES = ["closed_date", "status"]
-
-
 @query("resolution_days", over(ENRICHED, "SELECT unique_key, resolution_days FROM enr"))
 def resolution_days(spark, folder):
     return I.enriched(spark, folder, "closed_date").select("unique_key", "resolution_days")

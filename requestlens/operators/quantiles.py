@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 
 from requestlens.session import store
 
+# Rows of one bucket that a single task may rank; larger buckets are divided.
+LARGEST_BUCKET = 5_000_000
+# A power of two keeps the bounds of finer buckets exact. Three rounds go below a microsecond of a day.
+REFINE_BY = 4096
+REFINEMENTS = 3
+_RANKS = ["_low", "_high", "_share"]
+
 
 def join_on_group(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join two results grouped by the same keys; null keys meet. Keeps the left copy of the keys."""
@@ -19,40 +26,57 @@ def join_on_group(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
     return left.join(renamed, match, how).drop(*[f"_{key}" for key in keys])
 
 
+def _holding_ranks(histogram: DataFrame, keys: Sequence[str], before: Column) -> DataFrame:
+    """The buckets that contain the lower or the upper wanted rank, with the number of rows before each."""
+    running = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = histogram.withColumn("_upto", before + F.sum("_n").over(running))
+    placed = placed.withColumn("_before", F.col("_upto") - F.col("_n"))
+    found = placed.where((F.col("_before") <= F.col("_high")) & (F.col("_upto") > F.col("_low")))
+    return store(found.select(*keys, "_bucket", "_before", "_n", *_RANKS), "quantile-buckets")
+
+
+def _locate(rows: DataFrame, keys: Sequence[str], quantile: float, width: float) -> DataFrame:
+    histogram = rows.groupBy(*keys, _bucket(width)).agg(F.count("*").alias("_n"))
+    position = (F.sum("_n").over(Window.partitionBy(*keys)) - 1) * F.lit(float(quantile))
+    histogram = histogram.withColumn("_position", position).select(
+        *keys, "_bucket", "_n", F.floor("_position").alias("_low"), F.ceil("_position").alias("_high"),
+        (F.col("_position") - F.floor("_position")).alias("_share"),
+    )
+    return _holding_ranks(histogram, keys, F.lit(0))
+
+
+def _bucket(width: float) -> Column:
+    return F.floor(F.col("_value") / F.lit(width)).alias("_bucket")
+
+
+def _rows_in(rows: DataFrame, spans: DataFrame, keys: Sequence[str], width: float) -> DataFrame:
+    return join_on_group(rows.select(*keys, "_value", _bucket(width)), spans.drop("_n"), [*keys, "_bucket"], "inner")
+
+
 def grouped_quantile(
-    df: DataFrame, by: Sequence[str], value: str, name: str, quantile: float = 0.5, width: float = 1.0
+    df: DataFrame, by: Sequence[str], value: str, name: str, quantile: float = 0.5, width: float = 1.0,
+    largest_bucket: int = LARGEST_BUCKET,
 ) -> DataFrame:
-    """Continuous quantile of the non-null ``value`` per group.
+    """Continuous quantile of the non-null ``value`` per group, exact, for at least one grouping column.
 
-    A histogram of ``width``-wide buckets locates the one or two buckets that hold the wanted ranks; only their rows
-    are counted by value and ranked. No task ever holds the values of a whole group, unlike the built-in percentile,
-    which merges all values of a group into one map. ``df`` is read twice, so it should be a stored table; the bucket
-    ranges are stored so that the join back is planned by their true size.
+    A histogram of ``width``-wide buckets locates the one or two buckets that hold the wanted ranks. While such a
+    bucket holds more than ``largest_bucket`` rows, it is divided into finer ones. Only the rows of the final buckets
+    are counted by value and ranked. So no task ever holds the values of a whole group, unlike the built-in
+    percentile, which merges all values of a group into one map. ``df`` is read at least twice, so it should be a
+    stored table; the buckets found are stored so that the join back is planned by their true size.
     """
     keys = list(by)
-    rows = df.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("_value"), F.floor(F.col(value) / F.lit(width)).alias("_bucket")
-    )
-    histogram = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    position = (F.col("_total") - 1) * F.lit(float(quantile))
-    spans = (
-        histogram.withColumn("_upto", F.sum("_n").over(running))
-        .withColumn("_total", F.sum("_n").over(group))
-        .select(
-            *keys, "_bucket",
-            (F.col("_upto") - F.col("_n")).alias("_before"),
-            "_upto",
-            F.floor(position).alias("_low"),
-            F.ceil(position).alias("_high"),
-            (position - F.floor(position)).alias("_share"),
-        )
-        .where((F.col("_before") <= F.col("_high")) & (F.col("_upto") > F.col("_low")))
-    )
-    spans = store(spans.drop("_upto"), "quantile-spans")
-    found = join_on_group(rows, spans, [*keys, "_bucket"], "inner")
-    counted = found.groupBy(*keys, "_bucket", "_before", "_low", "_high", "_share", "_value").agg(F.count("*").alias("_n"))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
+    spans = _locate(rows, keys, quantile, width)
+    for _ in range(REFINEMENTS):
+        if (spans.agg(F.max("_n")).first()[0] or 0) <= largest_bucket:
+            break
+        inside = _rows_in(rows, spans, keys, width).withColumnRenamed("_bucket", "_outer")
+        width = width / REFINE_BY
+        finer = inside.groupBy(*keys, "_outer", "_before", *_RANKS, _bucket(width)).agg(F.count("*").alias("_n"))
+        spans = _holding_ranks(finer, [*keys, "_outer"], F.col("_before")).drop("_outer")
+    found = _rows_in(rows, spans, keys, width)
+    counted = found.groupBy(*keys, "_bucket", "_before", *_RANKS, "_value").agg(F.count("*").alias("_n"))
     within = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumn("_end", F.col("_before") + F.sum("_n").over(within))
     start = F.col("_end") - F.col("_n")
@@ -72,7 +96,6 @@ def with_quantile(
 ) -> DataFrame:
     """Add an exact quantile to a result grouped by the same keys; groups without values get null."""
     if not by:
-        everything = F.lit(0).alias("_everything")
-        joined = with_quantile(aggregated.select("*", everything), df.select("*", everything), ["_everything"], value, name, quantile)
-        return joined.drop("_everything")
+        whole = grouped_quantile(df.withColumn("_everything", F.lit(0)), ["_everything"], value, name, quantile)
+        return aggregated.withColumn(name, whole.select(name).scalar())
     return join_on_group(aggregated, grouped_quantile(df, by, value, name, quantile), by)

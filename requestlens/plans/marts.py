@@ -29,6 +29,11 @@ def _status_counts(total: str, closed: str, open_: str) -> list:
     ]
 
 
+def _with_median(aggregated: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    median = with_quantile(aggregated, rows, keys, "resolution_days", "median_resolution_days")
+    return median.withColumn("median_resolution_days", rounded(F.col("median_resolution_days")))
+
+
 def daily_agency_metrics(enriched: DataFrame, median: bool = True) -> DataFrame:
     """Requests per day, agency, borough and category. ``enriched`` should be a stored table when ``median`` is on."""
     rows = enriched.withColumnRenamed("created_date_key", "date_key")
@@ -43,7 +48,9 @@ def daily_agency_metrics(enriched: DataFrame, median: bool = True) -> DataFrame:
     return daily
 
 
-def monthly_borough_performance(fact: DataFrame, dates: DataFrame, boroughs: DataFrame) -> DataFrame:
+def monthly_borough_performance(
+    fact: DataFrame, dates: DataFrame, boroughs: DataFrame, median: bool = True
+) -> DataFrame:
     """Requests per calendar month and borough, for days that the calendar contains."""
     calendar = dates.select(F.col("date_key").alias("created_date_key"), "year", "month", "quarter")
     places = boroughs.select("borough_key", "borough_name", "county_name")
@@ -55,8 +62,8 @@ def monthly_borough_performance(fact: DataFrame, dates: DataFrame, boroughs: Dat
         *compliance_columns("sla_compliance_rate_pct"),
         rounded(F.avg("open_request_age_days")).alias("avg_open_request_age_days"),
     )
-    monthly = with_quantile(monthly, rows, keys, "resolution_days", "median_resolution_days")
-    monthly = monthly.withColumn("median_resolution_days", rounded(F.col("median_resolution_days")))
+    if median:
+        monthly = _with_median(monthly, rows, keys)
     return monthly.orderBy("year", "month", "borough_key")
 
 
@@ -66,7 +73,7 @@ def last_days(fact: DataFrame, days: int, column: str = "created_at") -> DataFra
     return fact.where(F.col(column) >= newest.scalar())
 
 
-def agency_sla_scorecard(fact: DataFrame, agencies: DataFrame, days: int = 90) -> DataFrame:
+def agency_sla_scorecard(fact: DataFrame, agencies: DataFrame, days: int = 90, median: bool = True) -> DataFrame:
     """Agency performance over the last ``days`` days, worst compliance first."""
     domains = agencies.select(F.col("agency_key").alias("_agency"), "agency_domain")
     rows = last_days(fact, days).join(domains, F.col("_agency") == F.col("agency_key"), "left").drop("_agency")
@@ -78,6 +85,6 @@ def agency_sla_scorecard(fact: DataFrame, agencies: DataFrame, days: int = 90) -
         F.mode("complaint_category", True).alias("top_complaint_category"),
         percent(F.count_if("is_emergency"), F.count("*")).alias("emergency_request_rate_pct"),
     )
-    card = with_quantile(card, rows, keys, "resolution_days", "median_resolution_days")
-    card = card.withColumn("median_resolution_days", rounded(F.col("median_resolution_days")))
+    if median:
+        card = _with_median(card, rows, keys)
     return card.orderBy(F.asc_nulls_last("sla_compliance_rate_pct"), "agency_key", "agency_name")

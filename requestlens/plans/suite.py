@@ -213,7 +213,8 @@ def gate(results: DataFrame, blocking: Sequence[str] = ("critical",)) -> DataFra
 
 
 def latest_batch(df: DataFrame, batch: str = "batch_id") -> DataFrame:
-    return df.where(F.col(batch) == df.agg(F.max(batch)).scalar())
+    """Rows of the newest batch. Its name is fetched first: a literal prunes the folders of all other batches."""
+    return df.where(F.col(batch) == F.lit(df.agg(F.max(batch)).first()[0]))
 
 
 def checkpoint_run(df: DataFrame, suite: dict, run_id: str, batch: str = "batch_id") -> DataFrame:

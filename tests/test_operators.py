@@ -73,6 +73,15 @@ def test_grouped_quantile(spark, quantile):
         assert value == pytest.approx(float(np.quantile(groups[group], quantile)))
 
 
+@pytest.mark.parametrize("spread", [300.0, 0.5, 1e-6])
+def test_quantile_divides_large_buckets(spark, spread):
+    source = random.Random(11)
+    rows = [("hot", source.random() * spread - spread / 3) for _ in range(3000)] + [("few", 1.5), ("few", 2.5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {row.g: row.q for row in grouped_quantile(df, ["g"], "v", "q", 0.5, largest_bucket=5).collect()}
+    assert got == pytest.approx({"hot": float(np.median([v for g, v in rows if g == "hot"])), "few": 2.0}, rel=1e-12)
+
+
 def test_with_quantile(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None)], "g string, v double")
     got = with_quantile(df.groupBy("g").agg(F.count("*").alias("n")), df, ["g"], "v", "m").collect()
@@ -132,7 +141,7 @@ def test_policy_lookup_examples(spark):
 
 
 def test_policy_join_is_broadcast_without_fan_out(spark):
-    df = spark.range(10).selectExpr("'NYPD' agency_code", "'Illegal Parking' complaint_type", "cast(id as string) descriptor")
+    df = spark.createDataFrame([("NYPD", "Illegal Parking", str(i)) for i in range(10)], "agency_code string, complaint_type string, descriptor string")
     joined = policies.with_best_policy(df, policy_frame(spark))
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan and "NestedLoop" not in plan
@@ -154,7 +163,7 @@ def test_pages_with_corrupt_input(spark, tmp_path):
     marked = {r.unique_key: r._error for r in dead_letters.with_error(pages).collect()}
     assert marked["1"] is None and marked["2"] == "unparseable created_date"
     assert "corrupt record" in marked[None]
-    assert pages.where(F.col("unique_key") == "1").first().location == '{"type":"Point"}'
+    assert pages.where(F.col("unique_key") == "1").first().location == '{"type": "Point"}'
     fit = dead_letters.accepted(pages)
     assert fit.count() == 1 and CORRUPT in fit.columns
 
@@ -163,7 +172,7 @@ def test_split_write_keeps_every_row(spark, tmp_path):
     df = versions(spark, [("a", "2024-01-01", "x", "2024-01-01"), (None, "bad", "x", "2024-01-01")]).withColumn("batch_id", F.lit("b"))
     dead_letters.write_split(df, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert {(r.rejected, r._error) for r in back.collect()} == {(False, None), (True, "missing unique_key;unparseable created_date")}
+    assert {(r.rejected, r._error) for r in back.collect()} == {("false", None), ("true", "missing unique_key;unparseable created_date")}
 
 
 def test_cursor(spark):
