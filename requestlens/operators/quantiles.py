@@ -13,6 +13,8 @@ from requestlens.session import store
 
 # Rows of one bucket that a single task may rank; larger buckets are divided.
 LARGEST_BUCKET = 5_000_000
+# Rows of a whole group that a single task may hold.
+SMALL_GROUP = 1_000_000
 # A power of two keeps the bounds of finer buckets exact. Three rounds go below a microsecond of a day.
 REFINE_BY = 4096
 REFINEMENTS = 3
@@ -91,11 +93,29 @@ def grouped_quantile(
     return picked.select(*keys, between.alias(name))
 
 
-def with_quantile(
-    aggregated: DataFrame, df: DataFrame, by: Sequence[str], value: str, name: str, quantile: float = 0.5
-) -> DataFrame:
-    """Add an exact quantile to a result grouped by the same keys; groups without values get null."""
+def groups_are_small(df: DataFrame, by: Sequence[str], limit: int = SMALL_GROUP) -> bool:
+    """Whether no group has more rows than one task can rank: by the table's size, else by its largest group."""
+    if df.count() <= limit:
+        return True
     if not by:
-        whole = grouped_quantile(df.withColumn("_everything", F.lit(0)), ["_everything"], value, name, quantile)
-        return aggregated.withColumn(name, whole.select(name).scalar())
-    return join_on_group(aggregated, grouped_quantile(df, by, value, name, quantile), by)
+        return False
+    return df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] <= limit
+
+
+def aggregate_with_quantile(
+    df: DataFrame, by: Sequence[str], columns: Sequence[Column], value: str, name: str, quantile: float = 0.5,
+    small_group: int = SMALL_GROUP,
+) -> DataFrame:
+    """Grouped aggregates plus one exact quantile; groups without values get null.
+
+    Where every group is known to be small the built-in percentile joins the same aggregate. Otherwise the quantile
+    comes from ``grouped_quantile`` and meets the aggregates by group. ``df`` should be a stored table.
+    """
+    keys = list(by)
+    if groups_are_small(df, keys, small_group):
+        return df.groupBy(*keys).agg(*columns, F.percentile(value, quantile).alias(name))
+    aggregated = df.groupBy(*keys).agg(*columns)
+    if keys:
+        return join_on_group(aggregated, grouped_quantile(df, keys, value, name, quantile), keys)
+    whole = grouped_quantile(df.withColumn("_everything", F.lit(0)), ["_everything"], value, name, quantile)
+    return aggregated.withColumn(name, whole.select(name).scalar())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from requestlens.functions.numeric import percent, rounded
-from requestlens.operators.quantiles import with_quantile
+from requestlens.operators.quantiles import aggregate_with_quantile
 
 DAILY_KEYS = ["date_key", "agency_code", "agency_name", "borough", "complaint_category"]
 
@@ -29,23 +29,22 @@ def _status_counts(total: str, closed: str, open_: str) -> list:
     ]
 
 
-def _with_median(aggregated: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    median = with_quantile(aggregated, rows, keys, "resolution_days", "median_resolution_days")
-    return median.withColumn("median_resolution_days", rounded(F.col("median_resolution_days")))
+def _aggregate(rows: DataFrame, keys: list[str], columns: list, median: bool) -> DataFrame:
+    if not median:
+        return rows.groupBy(*keys).agg(*columns)
+    return aggregate_with_quantile(rows, keys, columns, "resolution_days", "median_resolution_days")
 
 
 def daily_agency_metrics(enriched: DataFrame, median: bool = True) -> DataFrame:
     """Requests per day, agency, borough and category. ``enriched`` should be a stored table when ``median`` is on."""
     rows = enriched.withColumnRenamed("created_date_key", "date_key")
-    daily = rows.groupBy(*DAILY_KEYS).agg(
+    columns = [
         *_status_counts("request_count", "closed_count", "open_count"),
         F.avg("resolution_days").alias("avg_resolution_days"),
         *compliance_columns(),
         F.avg("open_request_age_days").alias("avg_open_request_age_days"),
-    )
-    if median:
-        daily = with_quantile(daily, rows, DAILY_KEYS, "resolution_days", "median_resolution_days")
-    return daily
+    ]
+    return _aggregate(rows, DAILY_KEYS, columns, median)
 
 
 def monthly_borough_performance(
@@ -56,14 +55,15 @@ def monthly_borough_performance(
     places = boroughs.select("borough_key", "borough_name", "county_name")
     rows = fact.join(calendar, "created_date_key").join(places, "borough_key", "left")
     keys = ["year", "month", "quarter", "borough_key", "borough_name", "county_name"]
-    monthly = rows.groupBy(*keys).agg(
+    columns = [
         *_status_counts("total_requests", "closed_requests", "open_requests"),
         rounded(F.avg("resolution_days")).alias("avg_resolution_days"),
         *compliance_columns("sla_compliance_rate_pct"),
         rounded(F.avg("open_request_age_days")).alias("avg_open_request_age_days"),
-    )
+    ]
+    monthly = _aggregate(rows, keys, columns, median)
     if median:
-        monthly = _with_median(monthly, rows, keys)
+        monthly = monthly.withColumn("median_resolution_days", rounded(F.col("median_resolution_days")))
     return monthly.orderBy("year", "month", "borough_key")
 
 
@@ -78,13 +78,14 @@ def agency_sla_scorecard(fact: DataFrame, agencies: DataFrame, days: int = 90, m
     domains = agencies.select(F.col("agency_key").alias("_agency"), "agency_domain")
     rows = last_days(fact, days).join(domains, F.col("_agency") == F.col("agency_key"), "left").drop("_agency")
     keys = ["agency_key", "agency_name", "agency_domain"]
-    card = rows.groupBy(*keys).agg(
+    columns = [
         *_status_counts("total_requests_90d", "closed_requests_90d", "open_requests_90d"),
         rounded(F.avg("resolution_days")).alias("avg_resolution_days"),
         *compliance_columns("sla_compliance_rate_pct"),
         F.mode("complaint_category", True).alias("top_complaint_category"),
         percent(F.count_if("is_emergency"), F.count("*")).alias("emergency_request_rate_pct"),
-    )
+    ]
+    card = _aggregate(rows, keys, columns, median)
     if median:
-        card = _with_median(card, rows, keys)
+        card = card.withColumn("median_resolution_days", rounded(F.col("median_resolution_days")))
     return card.orderBy(F.asc_nulls_last("sla_compliance_rate_pct"), "agency_key", "agency_name")

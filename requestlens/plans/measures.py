@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from requestlens import fixed_values as V
 from requestlens.functions.numeric import fraction, percent
-from requestlens.operators.quantiles import with_quantile
+from requestlens.operators.quantiles import aggregate_with_quantile
 from requestlens.plans.marts import last_days
 
 
@@ -58,9 +58,9 @@ def measure(fact: DataFrame, names: Sequence[str], by: Sequence[str | Column] =
 
 def resolution_measures(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Average and exact median over rows with a positive resolution time. ``fact`` should be a stored table."""
-    averaged = measure(fact, ["avg_resolution_days"], by)
     rows = fact.withColumn("_positive", positive_resolution())
-    return with_quantile(averaged, rows, by, "_positive", "median_resolution_days")
+    columns = [MEASURES["avg_resolution_days"]().alias("avg_resolution_days")]
+    return aggregate_with_quantile(rows, by, columns, "_positive", "median_resolution_days")
 
 
 def compliance_all_except(fact: DataFrame, keep: str, by: Sequence[str]) -> DataFrame:

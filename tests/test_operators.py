@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from requestlens.operators import cursor, dead_letters, policies, row_index
 from requestlens.operators.latest import latest_wins
-from requestlens.operators.quantiles import grouped_quantile, with_quantile
+from requestlens.operators.quantiles import aggregate_with_quantile, grouped_quantile
 from requestlens.operators.upsert import MONTH, upsert, upsert_counts, upsert_table
 from requestlens.sources.landing import CORRUPT, conform, read_pages, with_payload
 from requestlens.sources.seeds import policy_frame, read_policies
@@ -82,12 +82,14 @@ def test_quantile_divides_large_buckets(spark, spread):
     assert got == pytest.approx({"hot": float(np.median([v for g, v in rows if g == "hot"])), "few": 2.0}, rel=1e-12)
 
 
-def test_with_quantile(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None)], "g string, v double")
-    got = with_quantile(df.groupBy("g").agg(F.count("*").alias("n")), df, ["g"], "v", "m").collect()
-    assert {tuple(row) for row in got} == {("a", 2, 1.5), ("b", 1, None)}
-    whole = with_quantile(df.agg(F.count("*").alias("n")), df, [], "v", "m").first()
-    assert tuple(whole) == (3, 1.5)
+@pytest.mark.parametrize("small_group", [100, 1])
+def test_aggregate_with_quantile(spark, small_group):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None), (None, 4.0)], "g string, v double")
+    count = F.count("*").alias("n")
+    got = aggregate_with_quantile(df, ["g"], [count], "v", "m", small_group=small_group).collect()
+    assert {tuple(row) for row in got} == {("a", 2, 1.5), ("b", 1, None), (None, 1, 4.0)}
+    whole = aggregate_with_quantile(df, [], [count], "v", "m", small_group=small_group).first()
+    assert tuple(whole) == (4, 2.0)
 
 
 def test_row_index_and_pages(spark):
