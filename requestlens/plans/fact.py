@@ -82,9 +82,11 @@ def build_fact(enriched: DataFrame, dims: Mapping[str, DataFrame] | None = None)
     return rows.withColumnRenamed("unique_key", "request_key").select(*FACT_COLUMNS)
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
+def write_fact(fact: DataFrame, path: str, only_months_present: bool = False) -> None:
     """Partition by created month, clustered by agency and borough inside each file.
 
+    The whole table is replaced, or only the months that ``fact`` contains.
+
     The rebalance splits a month that holds far more than its share over several tasks and files, where a plain
     repartition by month would give it to one task.
     """
@@ -93,7 +95,7 @@ def write_fact(fact: DataFrame, path: str) -> None:
         .hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, "agency_key", "borough_key")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if only_months_present else "static")
         .partitionBy(MONTH)
         .parquet(path)
     )

@@ -212,15 +212,18 @@ def gate(results: DataFrame, blocking: Sequence[str] = ("critical",)) -> DataFra
     )
 
 
-def latest_batch(df: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """Rows of the newest batch. Its name is fetched first: a literal prunes the folders of all other batches."""
-    return df.where(F.col(batch) == F.lit(df.agg(F.max(batch)).first()[0]))
+def latest_batch(df: DataFrame, batch: str = "batch_id", newest: str | None = None) -> DataFrame:
+    """Rows of the newest batch, by its name or by the column ``newest``.
+
+    The name is fetched first: as a literal it prunes the folders of all other batches.
+    """
+    name = F.max_by(batch, newest) if newest else F.max(batch)
+    return df.where(F.col(batch) == F.lit(df.agg(name).first()[0]))
 
 
-def checkpoint_run(df: DataFrame, suite: dict, run_id: str, batch: str = "batch_id") -> DataFrame:
+def checkpoint_run(df: DataFrame, suite: dict, run_id: str, batch: str = "batch_id", newest: str | None = None) -> DataFrame:
     """The suite over the newest batch, with the run and batch identifiers."""
-    latest = latest_batch(df, batch)
-    return evaluate(latest, suite, [batch]).withColumn("run_id", F.lit(run_id))
+    return evaluate(latest_batch(df, batch, newest), suite, [batch]).withColumn("run_id", F.lit(run_id))
 
 
 def save_results(results: DataFrame, path: str) -> None:

@@ -62,12 +62,12 @@ def _pick(values: Sequence[str], index: str) -> str:
     return f"element_at(array({text_list(values)}), CAST(({index}) + 1 AS INT))"
 
 
-_CREATED = f"o_orderdate + make_dt_interval({DAY_SHIFT}, 0, CAST((ok * 37 + ln * 101 + pk) % 1440 AS INT))"
+_CREATED = f"o_orderdate + INTERVAL '{DAY_SHIFT}' DAY + INTERVAL '1' MINUTE * ((ok * 37 + ln * 101 + pk) % 1440)"
 _STATUS = (
     "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' "
     "ELSE CASE WHEN ln % 2 = 0 THEN 'In Progress' ELSE 'Pending' END END"
 )
-_CLOSED = "created + make_dt_interval(0, 0, CAST((ok * 53 + pk * 7 + ln) % 86400 - 1440 AS INT))"
+_CLOSED = "created + INTERVAL '1' MINUTE * ((ok * 53 + pk * 7 + ln) % 86400 - 1440)"
 _AGENCY = _pick([agency for agency, _ in REQUEST_KINDS], "pk % 32")
 _TITLE = _pick([AGENCY_TITLES[agency] for agency, _ in REQUEST_KINDS], "pk % 32")
 _LATITUDE = "concat('40.', CAST(40 + ck % 60 AS STRING))"
@@ -112,7 +112,7 @@ RULES = {
     "location": f"CASE WHEN ok % 11 = 0 THEN NULL WHEN ok % 37 = 0 THEN '{{\"type\": \"Point\", ' ELSE {_POINT} END",
     "status": _STATUS,
     "resolution_description": "CASE WHEN ok % 7 <> 0 THEN l_returnflag END",
-    "ingested_at": f"TIMESTAMP_NTZ '{BASE_INGEST}' + make_dt_interval(0, CAST(ok % 5 AS INT))",
+    "ingested_at": f"TIMESTAMP_NTZ '{BASE_INGEST}' + INTERVAL '1' HOUR * (ok % 5)",
     "batch_id": "concat('batch_', CAST(ok % 5 AS STRING))",
     # Position text that settles ties between versions of one request landed in the same batch.
     "source_row": "concat(CAST(pk AS STRING), '-', CAST(sk AS STRING), '-', l_returnflag)",
