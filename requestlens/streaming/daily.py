@@ -18,7 +18,8 @@ def daily_aggregate(pages: DataFrame, lookback: str = "7 days") -> DataFrame:
     """Additive daily measures; records later than the lookback behind the newest are dropped by the watermark."""
     timed = with_event_time(pages).where(F.col("unique_key").isNotNull() & F.col("created_at").isNotNull())
     closed = parse_datetime(F.nullif(F.trim("closed_date"), F.lit("")))
-    days = resolution_days(F.col("created_at").cast("timestamp_ntz"), closed)
+    days = resolution_days(parse_datetime(F.col("created_date")), closed)
+    day_number = F.floor(F.unix_seconds("window.start") / F.lit(86400)).cast("int")
     grouped = (
         timed.withColumn("_days", days)
         .withWatermark("created_at", lookback)
@@ -36,7 +37,7 @@ def daily_aggregate(pages: DataFrame, lookback: str = "7 days") -> DataFrame:
         )
     )
     return grouped.select(
-        F.to_date(F.col("window.start")).alias("date_key"), "agency_code", "borough", "request_count", "closed_count",
+        F.date_add(F.lit("1970-01-01").cast("date"), day_number).alias("date_key"), "agency_code", "borough", "request_count", "closed_count",
         "open_count", "resolved_count", "resolution_days_sum",
     )
 

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from requestlens.operators.latest import latest_wins
@@ -58,7 +59,14 @@ def test_dedup_stream(spark, tmp_path):
     assert sorted(r.unique_key for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
 
 
-def test_daily_stream_updates_and_drops_late_rows(spark, tmp_path):
+@pytest.fixture(params=["UTC", "America/New_York"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_daily_stream_updates_and_drops_late_rows(spark, tmp_path, zone):
     pages = tmp_path / "pages"
 
     def run():
