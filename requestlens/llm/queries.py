@@ -5,28 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from requestlens.llm import mixing, secrets, sharding
+from requestlens.llm import fingerprints, languages, mixing, quality, secrets, sharding, toxicity
 from requestlens.llm.inputs import given
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_score_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(given(spark, folder, "documents"), given(spark, folder, "labels"))
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(given(spark, folder, "documents"))
 
 
+def op5_fingerprint_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(given(spark, folder, "documents"))
+
+
 def op6_find_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(given(spark, folder, "documents"))
 
 
+def op7_identify_languages(spark: SparkSession, folder: str) -> DataFrame:
+    found = languages.identify_languages(given(spark, folder, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op8_score_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(given(spark, folder, "documents"), given(spark, folder, "labels"))
+
+
 def op9_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(given(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_score_toxicity": op1_score_toxicity,
     "op2_mix_sources": op2_mix_sources,
+    "op5_fingerprint_documents": op5_fingerprint_documents,
     "op6_find_secrets": op6_find_secrets,
+    "op7_identify_languages": op7_identify_languages,
+    "op8_score_quality": op8_score_quality,
     "op9_shard_documents": op9_shard_documents,
 }
 ORACLES: dict[str, str] = {}

@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from requestlens.llm.inputs import small_batches
+from requestlens.llm.inputs import id_remainder, small_batches
+from requestlens.llm.sampling import labelled_texts
 from requestlens.llm.words import pieces
 
 SLOT_BITS = 18
@@ -118,3 +119,48 @@ def fit(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, seed: int = S
             g_bias += (g * 64) ** 2
             bias -= rate * g * 64 / np.sqrt(g_bias) / 8
     return Machine(float(bias), weights.astype(np.float32), factors.astype(np.float32))
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Machine:
+    """A machine fitted on at most ``rows`` labelled texts of at most ``SAMPLE_BYTES`` bytes."""
+    sample = labelled_texts(docs, labels, "toxic", learn, rows, SAMPLE_BYTES, SEED)
+    slots, counts = [np.empty(0, np.int32)], []
+    for batch in sample.to_batches():
+        for _, found, bounds in terms(batch.column(0)):
+            slots.append(found)
+            counts.extend(np.diff(bounds).tolist())
+    bounds = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int64)
+    return fit(np.concatenate(slots), bounds, np.asarray(sample.column(1).to_pylist(), dtype=np.int64))
+
+
+def toxicity(text: Column, machine: Machine) -> Column:
+    """Score between 0 and 1 of a text column; a null text scores like an empty one, by the bias alone."""
+
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [machine.score(slots, bounds) for _, slots, bounds in terms(texts)]
+            yield pa.array(np.concatenate([np.empty(0), *parts]), pa.float64())
+
+    return scored(text)
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted.
+
+    Learns from labels of documents whose crc32(doc_id as text) mod 5 is not 0; the others are held out. A null id is held
+    out. ``predicted`` is 1 from a score of 0.5. Repeated rows score alike. Without usable labels all texts score 0.5.
+    An empty table gives no rows; other columns are not read.
+    """
+    small_batches(docs.sparkSession)
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    machine = fit_toxicity(docs, labels, ~held_out)
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), toxicity(F.col("text"), machine).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents whose score is below 0.5, with all their columns."""
+    small_batches(docs.sparkSession)
+    machine = fit_toxicity(docs, labels, id_remainder(F.col("doc_id"), 5) != 0)
+    return docs.where(toxicity(F.col("text"), machine) < 0.5)
