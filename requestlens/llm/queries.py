@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from requestlens.llm import fingerprints, languages, mixing, quality, secrets, sharding, toxicity
+from requestlens.llm import decontamination, fingerprints, languages, mixing, quality, secrets, sharding, toxicity
 from requestlens.llm.inputs import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(given(spark, folder, "documents"))
 
 
+def op3_find_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
+
+
 def op5_fingerprint_documents(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_documents(given(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ def op9_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_score_toxicity": op1_score_toxicity,
     "op2_mix_sources": op2_mix_sources,
+    "op3_find_contamination": op3_find_contamination,
     "op5_fingerprint_documents": op5_fingerprint_documents,
     "op6_find_secrets": op6_find_secrets,
     "op7_identify_languages": op7_identify_languages,
