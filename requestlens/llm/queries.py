@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from requestlens.llm import decontamination, fingerprints, languages, mixing, quality, secrets, sharding, toxicity
+from requestlens.llm import decontamination, fingerprints, languages, mixing, quality, secrets, sharding, substrings, toxicity
 from requestlens.llm.inputs import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op3_find_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
 
 
+def op4_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(given(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_fingerprint_documents(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_documents(given(spark, folder, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op1_score_toxicity": op1_score_toxicity,
     "op2_mix_sources": op2_mix_sources,
     "op3_find_contamination": op3_find_contamination,
+    "op4_remove_repeats": op4_remove_repeats,
     "op5_fingerprint_documents": op5_fingerprint_documents,
     "op6_find_secrets": op6_find_secrets,
     "op7_identify_languages": op7_identify_languages,

@@ -58,6 +58,13 @@ def sums_before(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def _range_hashes(data: np.ndarray, ranges: list[tuple[np.ndarray, np.ndarray]], lower: bool) -> list[np.ndarray]:
+    data = _LOWER[data] if lower else data
+    up, down = powers(int(_BASE), len(data) + 1)
+    total = sums_before(_BYTE_VALUE[data] * up[: len(data)])
+    return [mix((total[end] - total[start]) * down[start]) for start, end in ranges]
+
+
 @dataclass
 class Words:
     """The words of a piece: byte ranges [start, end) in ``data``; the words of text i are first[i] to first[i + 1]."""
@@ -80,11 +87,22 @@ class Words:
         return self.range_hashes([(self.start, self.end)], lower)[0]
 
     def range_hashes(self, ranges: list[tuple[np.ndarray, np.ndarray]], lower: bool = False) -> list[np.ndarray]:
-        """Hashes of byte ranges, all from one prefix sum; equal bytes have equal hashes."""
-        data = _LOWER[self.data] if lower else self.data
-        up, down = powers(int(_BASE), len(data) + 1)
-        total = sums_before(_BYTE_VALUE[data] * up[: len(data)])
-        return [mix((total[end] - total[start]) * down[start]) for start, end in ranges]
+        """Hashes of byte ranges, ascending and apart, from prefix sums; equal bytes have equal hashes.
+
+        Only about a piece of the bytes is expanded at a time, or the longest range.
+        """
+        if len(self.data) <= 2 * PIECE_BYTES:
+            return _range_hashes(self.data, ranges, lower)
+        out = []
+        for start, end in ranges:
+            parts, at = [np.empty(0, np.uint64)], 0
+            while at < len(start):
+                to = max(at + 1, int(np.searchsorted(end, start[at] + PIECE_BYTES, "right")))
+                low = start[at]
+                parts += _range_hashes(self.data[low: end[to - 1]], [(start[at:to] - low, end[at:to] - low)], lower)
+                at = to
+            out.append(np.concatenate(parts))
+        return out
 
     def bare(self) -> tuple[np.ndarray, np.ndarray]:
         """Word ranges without up to three ASCII punctuation marks at either end; at least one byte stays."""
