@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from requestlens.llm import decontamination, fingerprints, languages, mixing, quality, secrets, sharding, substrings, toxicity
+from requestlens.llm import decontamination, fingerprints, jaccard, languages, mixing, quality, secrets, sharding, substrings, toxicity
 from requestlens.llm.inputs import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,10 @@ def op9_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(given(spark, folder, "documents"))
 
 
+def op10_link_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_documents(given(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_score_toxicity": op1_score_toxicity,
     "op2_mix_sources": op2_mix_sources,
@@ -61,5 +65,6 @@ QUERIES: dict[str, Query] = {
     "op7_identify_languages": op7_identify_languages,
     "op8_score_quality": op8_score_quality,
     "op9_shard_documents": op9_shard_documents,
+    "op10_link_documents": op10_link_documents,
 }
 ORACLES: dict[str, str] = {}
