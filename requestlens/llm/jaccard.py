@@ -441,10 +441,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The document of the smallest id of each component, with all columns; rows that repeat it entirely go too.
+    """The document of the smallest id of each component, with all columns.
 
-    Of several different rows with that id all stay. Documents without words stay.
+    Rows that share this id count as one document and stay. Documents without words stay, and components of null ids alone.
     """
     found = link_documents(docs)
-    gone = store(found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = store(found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone"]), "left_anti")

@@ -110,6 +110,10 @@ def mix_sources(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> Da
     agree; rows that repeat each other may change places. Documents without words take none. An empty table
     gives no rows; other columns are not read. ``n_shards`` is a power of two.
     """
+    return _draws(docs, n_shards, seed).drop("_key", "source")
+
+
+def _draws(docs: DataFrame, n_shards: int, seed: int) -> DataFrame:
     if n_shards < 1 or n_shards & (n_shards - 1):
         raise ValueError("n_shards must be a power of two")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -131,7 +135,7 @@ def mix_sources(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> Da
         "sources",
     )
     named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).select(
-        rows["doc_id"], rows["size"], rows["_key"], sources["source_no"], sources["source_size"], sources["target"], sources["_passes"], sources["_rest"],
+        rows["doc_id"], rows["source"], rows["size"], rows["_key"], sources["source_no"], sources["source_size"], sources["target"], sources["_passes"], sources["_rest"],
         sources["_blocks"], F.expr("pmod(_key, _blocks)").alias("_block"),
     )
     named = store(named, "blocks")
@@ -162,10 +166,37 @@ def mix_sources(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> Da
     copies = F.when(F.col("size") > 0, F.col("_passes")).otherwise(0) + whole.cast("int")
     part = F.when(whole, 0).otherwise(F.col("_last"))
     return result.withColumn("full_copies", copies.cast("int")).withColumn("part_words", part.cast("long")).select(
-        "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
+        "_key", "source", "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
         (F.col("_passes") * F.col("size") + F.col("_last")).cast("long").alias("taken"),
         "full_copies", "part_words",
         F.expr(
             f"transform(slice(_shards, 1, full_copies + if(part_words > 0, 1, 0)), (s, i) -> named_struct('shard', s, 'place', xxhash64({seed}, s, i, _key)))"
         ).alias("draws"),
     )
+
+
+def mixed_documents(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """The mix itself: each document as often as it is drawn, with all its columns.
+
+    A partial copy keeps its first ``part_words`` words, joined by one space; where there is a column n_chars, it then counts
+    the code points kept. Documents that are not drawn, among them all without words, are left out. Rows with the id, text and
+    source of another are drawn like that one. Every partition is ordered by output shard and place in the shard.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    identity = F.struct(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), text).alias("hash"), F.col("source").cast("string").alias("source"))
+    drawn = _draws(docs, n_shards, seed).where(F.size("draws") > 0)
+    drawn = drawn.groupBy(F.struct(F.col("_key").alias("hash"), "source").alias("_identity")).agg(F.max_by(F.struct("full_copies", "part_words", "draws"), F.size("draws")).alias("_drawn"))
+    whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_doc"), identity.alias("_identity"))
+    joined = whole.join(drawn, (whole["_identity"]["hash"] == drawn["_identity"]["hash"]) & whole["_identity"]["source"].eqNullSafe(drawn["_identity"]["source"]))
+    copies = joined.select("_doc", F.col("_drawn.full_copies").alias("_full"), F.col("_drawn.part_words").alias("_part"), F.posexplode("_drawn.draws").alias("_copy", "_draw"))
+    cut = F.col("_copy") >= F.col("_full")
+    words = F.regexp_extract_all(F.col("_doc.text"), F.lit(WORD), F.lit(0))
+    shortened = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("_part").cast("int"))), " ")
+    copies = copies.sortWithinPartitions("_draw.shard", "_draw.place").withColumn("_text", F.when(cut, shortened).otherwise(F.col("_doc.text")))
+    columns = [F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]
+    for i, c in enumerate(docs.columns):
+        if c == "text":
+            columns[i] = F.col("_text").alias(c)
+        elif c == "n_chars":
+            columns[i] = F.when(cut, F.length("_text").cast(docs.schema[c].dataType)).otherwise(F.col("_doc.n_chars")).alias(c)
+    return copies.select(*columns)
