@@ -23,8 +23,9 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 # kind, pattern, condition on the match m; the order of the kinds breaks ties of the start.
 CERTAIN = [
     ("assign", ASSIGN, f"length(regexp_extract(m, {_literal('^' + ASSIGN)}, 1)) >= 6"),
-    ("access", r"AKIA[A-Z0-9]+", "length(m) >= 20"),
-    ("hex", r"[0-9a-f]+", "length(m) >= 24"),
+    # A run too short for these two cannot hold a longer one, so their lengths stand in the patterns.
+    ("access", r"AKIA[A-Z0-9]{16,}", "true"),
+    ("hex", r"[0-9a-f]{24,}", "true"),
 ]
 # Parts of a credential that mean little alone.
 WEAK = [
