@@ -14,12 +14,18 @@ from requestlens.session import store
 
 
 
+def either_case(word: str) -> str:
+    """A pattern for the ASCII letters of a word in either case; flags for that differ between engines beyond ASCII."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
 def _literal(pattern: str) -> str:
     """A pattern as a SQL string."""
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_NAMES = "|".join(either_case(word) for word in ("password", "passwd", "secret", "token", "api_?key"))
+ASSIGN = rf"""(?:{_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # kind, pattern, condition on the match m; the order of the kinds breaks ties of the start.
 CERTAIN = [
     ("assign", ASSIGN, f"length(regexp_extract(m, {_literal('^' + ASSIGN)}, 1)) >= 6"),
@@ -28,9 +34,10 @@ CERTAIN = [
     ("hex", r"[0-9a-f]{24,}", "true"),
 ]
 # Parts of a credential that mean little alone.
+_HOLDERS = "|".join(either_case(word) for word in ("access_?key_?id", "client_?id", "user_?name", "user_?id", "login"))
 WEAK = [
-    ("weak_access", r"(?i:access_?key_?id|client_?id|user_?name|user_?id|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@=-]{3,}", "true"),
-    ("weak_secret", r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])", "true"),
+    ("weak_access", rf"(?:{_HOLDERS})[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.@=-]{{3,}}", "true"),
+    ("weak_secret", r"[A-Za-z0-9+/=]{40,}", "length(m) = 40"),
     ("endpoint", r"(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb|amqp)://[^\x20\x09-\x0D\"'<>]+", "true"),
 ]
 KINDS = [kind for kind, _, _ in CERTAIN + WEAK]
