@@ -85,22 +85,26 @@ def set_keys(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 _POSTS = pa.schema([
-    ("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("rows", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
+    ("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("rows", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("text_keys", pa.list_(pa.int64())),
     ("sizes", pa.binary()), ("key1", pa.list_(pa.int64())), ("key2", pa.list_(pa.int64())), ("screened", pa.binary()), ("shared", pa.binary()),
 ])
 POSTS = (
-    "bucket int, block long, hashes binary, rows binary, doc_ids array<long>, sizes binary, key1 array<long>, key2 array<long>, screened binary, shared binary"
+    "bucket int, block long, hashes binary, rows binary, doc_ids array<long>, text_keys array<long>, sizes binary, "
+    "key1 array<long>, key2 array<long>, screened binary, shared binary"
 )
-_ANSWERS = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("counts", pa.binary()), *[x for x in _POSTS if x.name in ("doc_ids", "sizes", "key1", "key2", "screened", "shared")]])
-ANSWERS = "block long, rows binary, counts binary, doc_ids array<long>, sizes binary, key1 array<long>, key2 array<long>, screened binary, shared binary"
-_SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()), ("key2", pa.int64()), ("unshared", pa.int64())])
-SETS = "doc_id long, n_shingles long, key1 long, key2 long, unshared long"
+_ANSWERS = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("counts", pa.binary()), *[x for x in _POSTS if x.name in ("doc_ids", "text_keys", "sizes", "key1", "key2", "screened", "shared")]])
+ANSWERS = (
+    "block long, rows binary, counts binary, doc_ids array<long>, text_keys array<long>, sizes binary, key1 array<long>, key2 array<long>, "
+    "screened binary, shared binary"
+)
+_SETS = pa.schema([(c, pa.int64()) for c in ("doc_id", "text_key", "n_shingles", "key1", "key2", "unshared")])
+SETS = "doc_id long, text_key long, n_shingles long, key1 long, key2 long, unshared long"
 
 
 def _screen_post(batches: Iterator[pa.RecordBatch], buckets: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Per block and bucket the block's distinct hashes, each with its row where only one row of the block has it; per block one row about its documents."""
     task = TaskContext.get().partitionId()
-    held, ids, made = [], [], 0
+    held, ids, keys, made = [], [], [], 0
     entries = 0
 
     def out() -> Iterator[pa.RecordBatch]:
@@ -124,22 +128,23 @@ def _screen_post(batches: Iterator[pa.RecordBatch], buckets: int, bits: int) ->
                 [{"bucket": bucket, "block": number, "hashes": packed_ascending(hashes[heads][a:b]), "rows": packed(single[a:b])}], schema=_POSTS
             )
         about = {
-            "bucket": number % buckets, "block": number, "doc_ids": ids, "sizes": packed(sizes), "key1": key1.tolist(), "key2": key2.tolist(),
+            "bucket": number % buckets, "block": number, "doc_ids": ids, "text_keys": keys, "sizes": packed(sizes), "key1": key1.tolist(), "key2": key2.tolist(),
             "screened": packed(screened), "shared": packed(shared),
         }
         yield pa.RecordBatch.from_pylist([about], schema=_POSTS)
 
     for batch in batches:
-        more = batch.column("doc_id").to_pylist()
+        more, more_keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
         for row, words in pieces(batch.column("text")):
             n = len(words.first) - 1
             hashes, rows = shingle_sets(words)
             held.append((hashes, rows + len(ids)))
             ids += more[row: row + n]
+            keys += more_keys[row: row + n]
             entries += len(hashes)
             if entries >= BLOCK_ENTRIES or len(ids) >= BLOCK_ROWS:
                 yield from out()
-                held, ids, entries, made = [], [], 0, made + 1
+                held, ids, keys, entries, made = [], [], [], 0, made + 1
     if ids:
         yield from out()
 
@@ -166,7 +171,7 @@ def _screen_judge(table: pa.Table) -> pa.Table:
             of, counts = np.unique(r[told[bounds[k]: bounds[k + 1]]] - 1, return_counts=True)
             out.append({"block": blocks[k], "rows": packed(of), "counts": packed(counts)})
     about = table.filter(pa.compute.is_valid(table.column("doc_ids")))
-    about = about.select(["block", "doc_ids", "sizes", "key1", "key2", "screened", "shared"]).to_pylist()
+    about = about.select(["block", "doc_ids", "text_keys", "sizes", "key1", "key2", "screened", "shared"]).to_pylist()
     return pa.Table.from_pylist(out + about, schema=_ANSWERS)
 
 
@@ -181,12 +186,12 @@ def _screen_merge(table: pa.Table) -> pa.Table:
         if row["rows"]:
             shared[unpacked(row["rows"]).astype(np.int64)] += unpacked(row["counts"]).astype(np.int64)
     unshared = unpacked(about["screened"]).astype(np.int64) - shared
-    columns = [about["doc_ids"], unpacked(about["sizes"]).astype(np.int64), about["key1"], about["key2"], unshared]
+    columns = [about["doc_ids"], about["text_keys"], unpacked(about["sizes"]).astype(np.int64), about["key1"], about["key2"], unshared]
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_SETS)
 
 
 def screened_sets(rows: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, key1, key2, unshared) per document of (doc_id, text)."""
+    """(doc_id, text_key, n_shingles, key1, key2, unshared) per document of (doc_id, text_key, text)."""
     total = text_bytes(rows, "text") / BYTES_PER_WORD
     # Shortened hashes may only take unshared shingles for shared ones, which keeps more documents, never fewer.
     bits = min(64, max(40, ceil(log2(max(2.0, total))) + 13))
@@ -342,7 +347,7 @@ def _cell(table: pa.Table) -> pa.Table:
     members = np.array([r["members"] for r in rows], dtype=np.int64)
     sizes = np.array([len(t) for t in tokens], dtype=np.int64)
     n = len(rows)
-    within = not (side == 1).any()
+    within = bool(table.column("diagonal")[0].as_py())
     left = np.arange(n) if within else np.flatnonzero(side == 0)
     right = left if within else np.flatnonzero(side == 1)
     common = np.rint(overlaps(tokens, left, right)).astype(np.int64)
@@ -394,12 +399,12 @@ def cells(groups: DataFrame, sets: DataFrame, rows: int = CELL_ROWS, entries: in
             "if(_ks[_c - 1] is null, array(), transform(sequence(0, _ks[_c - 1] - 1), b -> named_struct('c1', _c - 1, 'b1', b, 'c2', _c, 'b2', _b, 'side', 1))))"
         )).alias("_at"),
     )
-    return paired.select("rid", "members", F.struct("component", "_at.c1", "_at.b1", "_at.c2", "_at.b2").alias("cell"), F.col("_at.side").alias("side")).join(
+    return paired.select("rid", "members", F.struct("component", "_at.c1", "_at.b1", "_at.c2", "_at.b2").alias("cell"), F.col("_at.side").alias("side"), F.expr("_at.c1 = _at.c2 AND _at.b1 = _at.b2").alias("diagonal")).join(
         sets.select("rid", "tokens"), "rid"
     )
 
 
-def link_documents(docs: DataFrame) -> DataFrame:
+def link_documents(docs: DataFrame, cell_rows: int = CELL_ROWS, cell_entries: int = CELL_ENTRIES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, n_links.
 
     Words are compared without the case of A-Z. A document's set holds its distinct shingles of five words; one to four words
@@ -407,10 +412,15 @@ def link_documents(docs: DataFrame) -> DataFrame:
     100 * intersection >= 80 * union. ``component_id`` is the smallest doc_id reachable by links, the own one where there are
     none; ``n_links`` counts the other rows linked directly, copies included. Null ids take part in links; a component of null
     ids alone has a null id. Rows that repeat an id count as rows of their own. An empty table gives no rows; other
-    columns are not read.
+    columns are not read. ``cell_rows`` and ``cell_entries`` bound a block of the product, not the result.
     """
+    return _linked(docs, cell_rows, cell_entries).drop("text_key")
+
+
+def _linked(docs: DataFrame, cell_rows: int = CELL_ROWS, cell_entries: int = CELL_ENTRIES) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     sets = store(screened_sets(rows), "sets")
     # Of n shingles at most n - ceil(0.8 n) may be unshared.
     likely = sets.where(f"n_shingles > 0 AND unshared <= n_shingles - ceil(n_shingles * {PERCENT} / 100)")
@@ -421,7 +431,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     known = store(tokens.join(classes.select("rid", "members", "n_shingles"), "rid"), "tokens")
     entries = classes.agg(F.sum("n_shingles").alias("e")).first()["e"] or 0
     groups = connected_components(candidate_edges(known, entries)).withColumnRenamed("node", "rid")
-    links = store(cells(groups, known).groupBy("cell").applyInArrow(lambda table: _cell(table), LINKS), "links")
+    links = store(cells(groups, known, cell_rows, cell_entries).groupBy("cell").applyInArrow(lambda table: _cell(table), LINKS), "links")
     joined = connected_components(links.select(F.col("rid").alias("a"), F.col("root").alias("b")))
     joined = joined.join(classes.select(F.col("rid").alias("node"), "least"), "node")
     smallest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -434,7 +444,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     )
     empty = F.col("n_shingles") == 0
     return sets.join(outcome, ["key1", "key2"], "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "text_key", "n_shingles",
         F.when(empty, F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
         F.when(empty, 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
     )
@@ -445,6 +455,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows that share this id count as one document and stay. Documents without words stay, and components of null ids alone.
     """
-    found = link_documents(docs)
-    gone = store(found.where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone"]), "left_anti")
+    found = _linked(docs).where("component_id IS NOT NULL AND NOT (doc_id <=> component_id)")
+    gone = store(found.select(F.col("doc_id").alias("gone"), "text_key").distinct(), "gone")
+    text_key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone"]) & (text_key == gone["text_key"]), "left_anti")
