@@ -73,6 +73,13 @@ def inc_page(spark, folder):
     return P.fetch_page(rows, [F.asc(c) for c in _ORDER], 1000, 500)
 
 
+@query("inc_page_deep", over(CURRENT, """
+SELECT unique_key, created_at, status FROM cur ORDER BY created_at, unique_key LIMIT 700 OFFSET 3500"""))
+def inc_page_deep(spark, folder):
+    rows = I.with_time(I.current(spark, folder, "status")).select("unique_key", "created_at", "status")
+    return P.fetch_page(rows, [F.asc(c) for c in _ORDER], 3500, 700)
+
+
 @query("inc_page_counts", over(CURRENT, """
 SELECT (rn - 1) // 5000 AS page, count(*) AS rows, min(created_at) AS first_created, max(created_at) AS last_created
 FROM (SELECT created_at, row_number() OVER (ORDER BY created_at, unique_key) AS rn FROM cur) GROUP BY 1"""))

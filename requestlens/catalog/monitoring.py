@@ -15,8 +15,8 @@ from requestlens.plans import monitors as M
 from requestlens.schemas import API_FIELDS
 from requestlens.session import store
 from requestlens.sources.landing import with_payload
-from requestlens.sources.star_requests import AS_OF
-from requestlens.sources.tables import table
+from requestlens.sources.star_requests import AS_OF, RULES
+from requestlens.sources.tables import TABLES, table
 
 c = F.col
 
@@ -57,7 +57,7 @@ def mon_rowcount_drop(spark, folder):
     return M.row_count_drops(_daily(spark, folder)).withColumns(I.six("change"))
 
 
-_WATCHED = ["descriptor", "borough", "incident_zip", "latitude", "resolution_description"]
+_WATCHED = [name for name in RULES if name not in ("unique_key", "source_row")]
 
 
 @query("mon_null_rate", over(FIT, f"""
@@ -133,10 +133,7 @@ def mon_uncastable(spark, folder):
     return M.uncastable(I.raw(spark, folder, *casts), casts)
 
 
-_PROFILED = [
-    "unique_key", "created_date", "closed_date", "agency", "agency_name", "complaint_type", "descriptor", "location_type",
-    "incident_zip", "borough", "latitude", "longitude", "status", "resolution_description", "batch_id",
-]
+_PROFILED = list(RULES)
 
 
 def _profile_sql(source: str, columns) -> str:
@@ -152,9 +149,16 @@ def profile_columns(spark, folder):
     return M.profile(I.raw(spark, folder, *_PROFILED), exact=True)
 
 
-@query("profile_events", _profile_sql("events", ["event_type", "user_id", "props"]))
+_EVENTS = "(SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, CAST(value AS DECIMAL(30, 6)) AS value) FROM events)"
+
+
+@query("profile_events", _profile_sql(_EVENTS, TABLES["events"].replace(",", "").split()[::2]))
 def profile_events(spark, folder):
-    return M.profile(table(spark, folder, "events"), ["event_type", "user_id", "props"], exact=True)
+    """Instants and doubles are profiled in a fixed layout, since engines write them differently."""
+    events = table(spark, folder, "events")
+    return M.profile(
+        events.withColumns({"ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "value": F.col("value").cast("decimal(30,6)")}), exact=True
+    )
 
 
 _LEGAL = ", ".join(f"('{a}', '{b}')" for a, b in V.STATUS_CHANGES)
@@ -162,13 +166,10 @@ _LEGAL = ", ".join(f"('{a}', '{b}')" for a, b in V.STATUS_CHANGES)
 
 @query("mon_status_transitions", over(FIT, f"""
 SELECT before AS from_status, status AS to_status, (before, status) IN ({_LEGAL}) AS is_legal, count(*) AS changes FROM (
-  SELECT agency_key, status, lag(status) OVER (PARTITION BY agency_key ORDER BY ingested_at, source_row, status) AS before
-  FROM (SELECT DISTINCT split_part(unique_key, '-', 1) AS agency_key, ingested_at, unique_key || '/' || source_row AS source_row, status FROM fit))
+  SELECT status, lag(status) OVER (PARTITION BY unique_key ORDER BY ingested_at, source_row, status) AS before
+  FROM (SELECT DISTINCT unique_key, ingested_at, source_row, status FROM fit))
 WHERE before IS DISTINCT FROM status AND before IS NOT NULL GROUP BY ALL"""))
 def mon_status_transitions(spark, folder):
-    """Versions of one order's requests in landing order; open, pending and in-progress lines alternate."""
-    rows = I.fit(spark, folder, "status").select(
-        F.split_part("unique_key", F.lit("-"), F.lit(1)).alias("unique_key"), "ingested_at",
-        F.concat("unique_key", F.lit("/"), "source_row").alias("source_row"), "status",
-    )
+    """Versions of one request in landing order."""
+    rows = I.fit(spark, folder, "status").select("unique_key", "ingested_at", "source_row", "status")
     return M.illegal_status_changes(M.status_changes(rows))

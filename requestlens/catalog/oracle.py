@@ -84,10 +84,17 @@ RAW = f"""
 src AS (
   SELECT l_orderkey AS ok, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk, l_returnflag AS rf,
          o_orderstatus AS os, c_custkey AS ck, n_regionkey AS rk, p_name, p_brand, p_size,
-         o_orderdate + INTERVAL {R.DAY_SHIFT} DAY + to_minutes((l_orderkey * 37 + l_linenumber * 101 + l_partkey) % 1440) AS created
+         o_orderdate + INTERVAL {R.DAY_SHIFT} DAY - to_days(CASE WHEN l_partkey % 8 = 0 THEN 31 ELSE 0 END) + to_minutes((l_orderkey * 37 + l_linenumber * 101 + l_partkey) % 1440) AS created
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
   JOIN nation ON n_nationkey = c_nationkey JOIN part ON p_partkey = l_partkey
 ),
+stated AS (
+  SELECT *, CASE os
+    WHEN 'F' THEN CASE pk % 4 WHEN 0 THEN 'Open' WHEN 1 THEN 'In Progress' ELSE 'Closed' END
+    WHEN 'O' THEN CASE WHEN pk % 5 = 0 THEN 'Closed' ELSE 'Open' END
+    ELSE CASE WHEN pk % 6 = 0 THEN 'Closed' WHEN ln % 2 = 0 THEN 'In Progress' ELSE 'Pending' END END AS status
+  FROM src
+),
 raw AS (
   SELECT
     CASE WHEN ok % 997 <> 0 THEN ok || '-' || ln END AS unique_key,
@@ -95,7 +102,7 @@ raw AS (
          WHEN ln % 4 = 0 THEN strftime(created, '%Y-%m-%dT%H:%M:%S') || '.000000'
          WHEN ln % 4 = 2 THEN strftime(created, '%Y-%m-%d %H:%M:%S')
          ELSE strftime(created, '%Y-%m-%dT%H:%M:%S') END AS created_date,
-    CASE WHEN os = 'F' AND ok % 13 <> 0
+    CASE WHEN status = 'Closed' AND ok % 13 <> 0
          THEN strftime(created + to_minutes((ok * 53 + pk * 7 + ln) % 86400 - 1440), '%Y-%m-%dT%H:%M:%S')
          WHEN ln % 2 = 0 THEN '' END AS closed_date,
     CASE ln % 4 WHEN 1 THEN ' ' || lower({_AGENCY}) || ' ' WHEN 2 THEN {_TITLE} ELSE {_AGENCY} END AS agency,
@@ -113,12 +120,12 @@ raw AS (
     CASE WHEN ok % 11 <> 0 THEN {_LON} END AS longitude,
     CASE WHEN ok % 11 = 0 THEN NULL WHEN ok % 37 = 0 THEN '{{"type": "Point", '
          ELSE '{{"type": "Point", "coordinates": [' || {_LON} || ', ' || {_LAT} || ']}}' END AS location,
-    CASE os WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' ELSE CASE WHEN ln % 2 = 0 THEN 'In Progress' ELSE 'Pending' END END AS status,
+    status,
     CASE WHEN ok % 7 <> 0 THEN rf END AS resolution_description,
-    TIMESTAMP '{R.BASE_INGEST}' + to_hours(ok % 5) AS ingested_at,
-    'batch_' || (ok % 5) AS batch_id,
+    TIMESTAMP '{R.BASE_INGEST}' + to_hours((ok + pk) % 5) + to_seconds((ok * 13 + sk * 7) % 3000) AS ingested_at,
+    'batch_' || ((ok + pk) % 5) AS batch_id,
     pk || '-' || sk || '-' || rf AS source_row
-  FROM src
+  FROM stated
 )"""
 
 FIT = RAW + f""",
@@ -194,7 +201,7 @@ dim_complaint AS (
   FROM stg WHERE complaint_type IS NOT NULL
 )"""
 
-FACT = ENRICHED + DIMS + """,
+_FACT = """,
 fact AS (
   SELECT e.unique_key AS request_key, e.created_date_key, e.closed_date_key, a.agency_key, c.complaint_type_key, b.borough_key,
     e.agency_code, e.agency_name, e.complaint_type, e.descriptor, e.complaint_category, e.borough, e.incident_zip, e.status,
@@ -204,6 +211,10 @@ fact AS (
   LEFT JOIN dim_complaint c ON c.complaint_type = e.complaint_type AND c.descriptor IS NOT DISTINCT FROM e.descriptor
   LEFT JOIN dim_borough b ON b.borough_key = e.borough
 )"""
+FACT = ENRICHED + DIMS + _FACT
+# The same fact on dimensions that know the first batch only.
+CHECKED_FACT = ENRICHED + """,
+known AS (SELECT * FROM stg WHERE batch_id = 'batch_0')""" + DIMS.replace("FROM stg", "FROM known") + _FACT
 
 CALENDAR = f""",
 dim_date AS (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from requestlens import fixed_values as V
 from requestlens.catalog import inputs as I
 from requestlens.catalog import oracle as O
-from requestlens.catalog.oracle import CALENDAR, FACT, RAW, over
+from requestlens.catalog.oracle import CHECKED_FACT, CALENDAR, FACT, RAW, over
 from requestlens.catalog.registry import query
 from requestlens.operators.cursor import created_at
 from requestlens.operators.dead_letters import ingest_stats
@@ -101,7 +101,8 @@ def _suite_input(spark, folder):
 
 
 def _results(spark, folder):
-    return Q.evaluate(_suite_input(spark, folder), _SUITE)
+    """The raw rows are derived once: row-level and uniqueness expectations both read the stored table."""
+    return Q.evaluate(store(_suite_input(spark, folder), "suite-input"), _SUITE)
 
 
 def _subset(*numbers):
@@ -169,7 +170,7 @@ newest AS (SELECT * FROM raw WHERE batch_id = (SELECT max(batch_id) FROM raw)),
 counted AS (SELECT *, CASE WHEN unique_key IS NOT NULL THEN count(*) OVER (PARTITION BY unique_key) END AS copies FROM newest)""",
     f"SELECT *, 'run-1' AS run_id FROM ({_results_sql('counted', 'batch_id')})"))
 def x_checkpoint_latest(spark, folder):
-    rows = I.raw(spark, folder, *_SUITE_COLUMNS, "batch_id")
+    rows = store(I.raw(spark, folder, *_SUITE_COLUMNS, "batch_id"), "suite-input")
     return Q.checkpoint_run(rows, _SUITE, "run-1")
 
 
@@ -280,29 +281,29 @@ _CHECK_COLUMNS = [
 ]
 
 
-@query("q_missing_keys", over(FACT, "\nUNION ALL ".join(
+@query("q_missing_keys", over(CHECKED_FACT, "\nUNION ALL ".join(
     f"SELECT '{name}' AS test, count(*) AS failures FROM fact WHERE {rule}" for name, rule in _CHECKS.items() if name.startswith("missing"))))
 def q_missing_keys(spark, folder):
-    return K.missing_keys(I.fact(spark, folder))
+    return K.missing_keys(I.checked_fact(spark, folder, *_CHECK_COLUMNS))
 
 
 _FACT_CHECKS = "SELECT 'duplicate_keys' AS check_name, count(*) AS failures FROM (SELECT 1 FROM fact GROUP BY request_key HAVING count(*) > 1)\nUNION ALL " + "\nUNION ALL ".join(
     f"SELECT '{name}', count(*) FROM fact WHERE {rule}" for name, rule in _CHECKS.items())
 
 
-@query("t_fact_checks", over(FACT, f"SELECT *, failures = 0 AS passed FROM ({_FACT_CHECKS})"))
+@query("t_fact_checks", over(CHECKED_FACT, f"SELECT *, failures = 0 AS passed FROM ({_FACT_CHECKS})"))
 def t_fact_checks(spark, folder):
-    return K.fact_checks(I.stored_fact(spark, folder, *_CHECK_COLUMNS))
+    return K.fact_checks(I.checked_fact(spark, folder, *_CHECK_COLUMNS))
 
 
-@query("t_violations", over(FACT, "\nUNION ALL ".join(
+@query("t_violations", over(CHECKED_FACT, "\nUNION ALL ".join(
     f"SELECT request_key, '{name}' AS check_name FROM fact WHERE {rule}" for name, rule in _CHECKS.items())))
 def t_violations(spark, folder):
-    return K.violations(I.fact(spark, folder))
+    return K.violations(I.checked_fact(spark, folder, *_CHECK_COLUMNS))
 
 
 @query("run_summary", f"""
-WITH {FACT.strip()},
+WITH {CHECKED_FACT.strip()},
 counted AS (SELECT *, CASE WHEN unique_key IS NOT NULL THEN count(*) OVER (PARTITION BY unique_key) END AS copies FROM raw),
 results AS ({_results_sql("counted")})
 SELECT (SELECT count(*) FROM raw) AS records_fetched, (SELECT count(*) FROM fit) AS records_upserted,
@@ -315,5 +316,5 @@ SELECT (SELECT count(*) FROM raw) AS records_fetched, (SELECT count(*) FROM fit)
 def run_summary(spark, folder):
     raw = I.raw(spark, folder, *_SUITE_COLUMNS, "batch_id", "ingested_at")
     results = store(Q.evaluate(raw, _SUITE), "suite-results")
-    checks = K.fact_checks(I.stored_fact(spark, folder, *_CHECK_COLUMNS))
+    checks = K.fact_checks(I.checked_fact(spark, folder, *_CHECK_COLUMNS))
     return summarize(ingest_stats(raw), results, checks)

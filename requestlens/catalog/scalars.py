@@ -206,11 +206,8 @@ def has_coordinates(spark, folder):
     return rows.groupBy("latitude", "longitude", "has_coordinates").agg(_n())
 
 
-_ADDRESS = rf"^([0-9]+)\s+(.+?)\s+({'|'.join(V.STREET_TYPES)})(?:\s+({'|'.join(V.UNIT_WORDS)})\s*([A-Za-z0-9_]+))?$"
-
-
 def _part(number: int) -> str:
-    return f"nullif(regexp_extract(upper(incident_address), '{_ADDRESS}', {number}), '')"
+    return f"nullif(regexp_extract(upper(incident_address), '{V.ADDRESS_PATTERN}', {number}), '')"
 
 
 @query("address_parts", over(RAW, f"""

@@ -127,11 +127,12 @@ KEYWORD_RULES = [
 ]
 OTHER_KEYWORD = "other"
 
-STREET_TYPES = [
-    "ST", "AVE", "AVENUE", "BLVD", "BOULEVARD", "RD", "ROAD", "DR", "DRIVE", "LN", "LANE",
-    "CT", "COURT", "PL", "PLACE", "PKWY", "PARKWAY", "TER", "TERRACE", "CIR", "CIRCLE",
-]
-UNIT_WORDS = ["APT", "UNIT", "#"]
+# House number, street name, street type and unit of an upper-case address.
+ADDRESS_PATTERN = (
+    r"^([0-9]+)\s+(.+?)\s+"
+    r"(ST|AVE|AVENUE|BLVD|BOULEVARD|RD|ROAD|DR|DRIVE|LN|LANE|CT|COURT|PL|PLACE|PKWY|PARKWAY|TER|TERRACE|CIR|CIRCLE)"
+    r"(?:\s+(APT|UNIT|#)\s*([A-Za-z0-9_]+))?$"
+)
 
 ZIP_LOW, ZIP_HIGH = 10001, 11697
 

@@ -48,19 +48,21 @@ def zip_digits(value: Column) -> Column:
 
 def address_parts(address: Column) -> Column:
     """Struct of house number, street name, street type and unit; all null when the text has another shape."""
-    units, types = "|".join(V.UNIT_WORDS), "|".join(V.STREET_TYPES)
-    pattern = rf"^([0-9]+)\s+(.+?)\s+({types})(?:\s+({units})\s*([A-Za-z0-9_]+))?$"
-    text = F.upper(address)
+    # One match per text: its groups are joined by a control character, which no address holds, and split again.
+    marked = F.regexp_replace(F.translate(F.upper(address), "\x01", ""), V.ADDRESS_PATTERN, "$1\x01$2\x01$3\x01$4\x01$5")
 
-    def group(number: int) -> Column:
-        return F.nullif(F.regexp_extract(text, pattern, number), F.lit(""))
+    def named(parts: Column) -> Column:
+        def group(number: int) -> Column:
+            return F.when(F.size(parts) == 5, F.nullif(parts[number], F.lit("")))
 
-    return F.struct(
-        group(1).alias("house_number"),
-        F.trim(group(2)).alias("street_name"),
-        group(3).alias("street_type"),
-        F.when(group(4).isNotNull(), F.concat_ws(" ", group(4), group(5))).alias("unit"),
-    )
+        return F.struct(
+            group(0).alias("house_number"),
+            F.trim(group(1)).alias("street_name"),
+            group(2).alias("street_type"),
+            F.when(group(3).isNotNull(), F.concat_ws(" ", group(3), group(4))).alias("unit"),
+        )
+
+    return F.transform(F.array(F.split(marked, "\x01", -1)), named)[0]
 
 
 def location(value: Column) -> Column:

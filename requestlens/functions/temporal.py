@@ -14,7 +14,6 @@ TIMESTAMP_TEXT = (
     r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
     r"(T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,6})?| [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?\z"
 )
-FRACTION_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\.[0-9]{1,6}\z"
 
 
 def parse_datetime(value: Column) -> Column:
@@ -26,10 +25,6 @@ def parse_datetime(value: Column) -> Column:
     return F.regexp_extract(value, TIMESTAMP_TEXT, 0).try_cast("timestamp_ntz")
 
 
-def matches_fraction_layout(value: Column) -> Column:
-    return F.coalesce(value.rlike(FRACTION_TEXT) & value.try_cast("timestamp_ntz").isNotNull(), F.lit(False))
-
-
 def from_epoch_millis(value: Column) -> Column:
     """Milliseconds since 1970 to a zone-free UTC timestamp."""
     millis = value.cast("bigint")

@@ -11,13 +11,9 @@ from pyspark.sql import functions as F
 
 from requestlens.session import store
 
-# Rows of one bucket that a single task may rank; larger buckets are divided.
+# Rows of one bucket that a single task may rank; larger buckets are divided until they fit or hold one value.
 LARGEST_BUCKET = 5_000_000
-# Rows of a whole group that a single task may hold.
-SMALL_GROUP = 1_000_000
-# A power of two keeps the bounds of finer buckets exact. Three rounds go below a microsecond of a day.
-REFINE_BY = 4096
-REFINEMENTS = 3
+DIVIDE_BY = 4096
 _RANKS = ["_low", "_high", "_share"]
 
 
@@ -34,25 +30,28 @@ def _holding_ranks(histogram: DataFrame, keys: Sequence[str], before: Column) ->
     placed = histogram.withColumn("_upto", before + F.sum("_n").over(running))
     placed = placed.withColumn("_before", F.col("_upto") - F.col("_n"))
     found = placed.where((F.col("_before") <= F.col("_high")) & (F.col("_upto") > F.col("_low")))
-    return store(found.select(*keys, "_bucket", "_before", "_n", *_RANKS), "quantile-buckets")
+    return found.select(*keys, "_bucket", "_before", "_n", "_least", "_most", *_RANKS)
+
+
+def _counts() -> list[Column]:
+    return [F.count("*").alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most")]
 
 
 def _locate(rows: DataFrame, keys: Sequence[str], quantile: float, width: float) -> DataFrame:
-    histogram = rows.groupBy(*keys, _bucket(width)).agg(F.count("*").alias("_n"))
+    histogram = rows.groupBy(*keys, F.floor(F.col("_value") / F.lit(width)).alias("_bucket")).agg(*_counts())
     position = (F.sum("_n").over(Window.partitionBy(*keys)) - 1) * F.lit(float(quantile))
     histogram = histogram.withColumn("_position", position).select(
-        *keys, "_bucket", "_n", F.floor("_position").alias("_low"), F.ceil("_position").alias("_high"),
+        *keys, "_bucket", "_n", "_least", "_most", F.floor("_position").alias("_low"), F.ceil("_position").alias("_high"),
         (F.col("_position") - F.floor("_position")).alias("_share"),
     )
     return _holding_ranks(histogram, keys, F.lit(0))
 
 
-def _bucket(width: float) -> Column:
-    return F.floor(F.col("_value") / F.lit(width)).alias("_bucket")
-
-
-def _rows_in(rows: DataFrame, spans: DataFrame, keys: Sequence[str], width: float) -> DataFrame:
-    return join_on_group(rows.select(*keys, "_value", _bucket(width)), spans.drop("_n"), [*keys, "_bucket"], "inner")
+def _rows_in(rows: DataFrame, spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose value lies within one of the spans of their group. Spans of a group do not overlap."""
+    renamed = spans.select(*[F.col(key).alias(f"_{key}") for key in keys], *[c for c in spans.columns if c not in [*keys, "_n"]])
+    match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    return rows.join(renamed, match & F.col("_value").between(F.col("_least"), F.col("_most"))).drop(*[f"_{key}" for key in keys])
 
 
 def grouped_quantile(
@@ -61,25 +60,27 @@ def grouped_quantile(
 ) -> DataFrame:
     """Continuous quantile of the non-null ``value`` per group, exact, for at least one grouping column.
 
-    A histogram of ``width``-wide buckets locates the one or two buckets that hold the wanted ranks. While such a
-    bucket holds more than ``largest_bucket`` rows, it is divided into finer ones. Only the rows of the final buckets
-    are counted by value and ranked. So no task ever holds the values of a whole group, unlike the built-in
-    percentile, which merges all values of a group into one map. ``df`` is read at least twice, so it should be a
-    stored table; the buckets found are stored so that the join back is planned by their true size.
+    A histogram of ``width``-wide buckets locates the one or two buckets that hold the wanted ranks. As long as such a
+    bucket holds more than ``largest_bucket`` rows and several values, the range of its values is divided. Only the rows
+    of the final buckets are counted by value and ranked. So no task ever holds the values of a whole group, unlike the
+    built-in percentile, which merges all values of a group into one map. ``df`` is read at least twice, so it should be
+    a stored table; the buckets found are stored so that the join back is planned by their true size.
     """
     keys = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
-    spans = _locate(rows, keys, quantile, width)
-    for _ in range(REFINEMENTS):
-        if (spans.agg(F.max("_n")).first()[0] or 0) <= largest_bucket:
-            break
-        inside = _rows_in(rows, spans, keys, width).withColumnRenamed("_bucket", "_outer")
-        width = width / REFINE_BY
-        finer = inside.groupBy(*keys, "_outer", "_before", *_RANKS, _bucket(width)).agg(F.count("*").alias("_n"))
-        spans = _holding_ranks(finer, [*keys, "_outer"], F.col("_before")).drop("_outer")
-    found = _rows_in(rows, spans, keys, width)
-    counted = found.groupBy(*keys, "_bucket", "_before", *_RANKS, "_value").agg(F.count("*").alias("_n"))
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = store(_locate(rows, keys, quantile, width), "quantile-buckets")
+    large = (F.col("_n") > largest_bucket) & (F.col("_least") < F.col("_most"))
+    while not spans.where(large).isEmpty():
+        # The least and the greatest value fall into different parts, so every round splits every large bucket.
+        inside = _rows_in(rows, spans.where(large), keys).withColumnRenamed("_bucket", "_outer")
+        share = (F.col("_value") - F.col("_least")) / (F.col("_most") - F.col("_least"))
+        part = F.floor(share * F.lit(DIVIDE_BY)).alias("_bucket")
+        finer = inside.select(*keys, "_outer", "_before", *_RANKS, part, "_value").groupBy(*keys, "_outer", "_before", *_RANKS, "_bucket").agg(*_counts())
+        finer = _holding_ranks(finer, [*keys, "_outer"], F.col("_before")).drop("_outer")
+        spans = store(spans.where(~large).unionByName(finer), "quantile-buckets")
+    found = _rows_in(rows, spans, keys)
+    counted = found.groupBy(*keys, "_least", "_before", *_RANKS, "_value").agg(F.count("*").alias("_n"))
+    within = Window.partitionBy(*keys, "_least").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumn("_end", F.col("_before") + F.sum("_n").over(within))
     start = F.col("_end") - F.col("_n")
 
@@ -93,27 +94,11 @@ def grouped_quantile(
     return picked.select(*keys, between.alias(name))
 
 
-def groups_are_small(df: DataFrame, by: Sequence[str], limit: int = SMALL_GROUP) -> bool:
-    """Whether no group has more rows than one task can rank: by the table's size, else by its largest group."""
-    if df.count() <= limit:
-        return True
-    if not by:
-        return False
-    return df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] <= limit
-
-
 def aggregate_with_quantile(
-    df: DataFrame, by: Sequence[str], columns: Sequence[Column], value: str, name: str, quantile: float = 0.5,
-    small_group: int = SMALL_GROUP,
+    df: DataFrame, by: Sequence[str], columns: Sequence[Column], value: str, name: str, quantile: float = 0.5
 ) -> DataFrame:
-    """Grouped aggregates plus one exact quantile; groups without values get null.
-
-    Where every group is known to be small the built-in percentile joins the same aggregate. Otherwise the quantile
-    comes from ``grouped_quantile`` and meets the aggregates by group. ``df`` should be a stored table.
-    """
+    """Grouped aggregates plus one exact quantile; groups without values get null. ``df`` should be a stored table."""
     keys = list(by)
-    if groups_are_small(df, keys, small_group):
-        return df.groupBy(*keys).agg(*columns, F.percentile(value, quantile).alias(name))
     aggregated = df.groupBy(*keys).agg(*columns)
     if keys:
         return join_on_group(aggregated, grouped_quantile(df, keys, value, name, quantile), keys)

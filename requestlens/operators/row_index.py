@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from requestlens.session import store
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: task number above, position within the task below
-SHALLOW_PAGE = 100_000
 
 
 def with_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_index") -> DataFrame:
@@ -42,11 +41,9 @@ def page_counts(df: DataFrame, order: Sequence[Column], page_size: int, created:
 
 
 def fetch_page(df: DataFrame, order: Sequence[Column], offset: int, limit: int) -> DataFrame:
-    """One page of the ordered set. Early pages use a top-k plan; deep ones a range of row positions."""
-    if offset + limit <= SHALLOW_PAGE:
-        return df.orderBy(*order).offset(offset).limit(limit)
+    """One page of the ordered set, in order: a range of row positions, of which only the page itself is sorted again."""
     numbered = with_row_index(df, order, "_row")
-    return numbered.where((F.col("_row") >= offset) & (F.col("_row") < offset + limit)).drop("_row")
+    return numbered.where((F.col("_row") >= offset) & (F.col("_row") < offset + limit)).orderBy("_row").drop("_row")
 
 
 def consecutive_pairs(df: DataFrame, key: str, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from requestlens.session import store
+
 DOCUMENT = (
     "name string, source string, transformations array<string>, "
     "columns map<string, struct<source_columns: array<string>, transformations: array<string>>>"
@@ -44,18 +46,23 @@ def _without_layer(name):
     return F.regexp_replace(name, r"^[^.]+\.([^.]+\.[^.]+)$", "$1")
 
 
-def trace(edges: DataFrame, model: str, column: str, max_depth: int = 12) -> DataFrame:
+def trace(edges: DataFrame, model: str, column: str) -> DataFrame:
     """All columns that ``model.column`` is built from, with the number of steps.
 
-    Lineage documents form a small acyclic graph, so a fixed number of joins reaches every ancestor.
+    Every round looks up the columns reached in the one before and not seen earlier, until there are none; so ancestors at
+    any distance are found, and cycles end.
     """
     steps = edges.select(
         F.concat_ws(".", "model", "column").alias("target"), F.explode("source_columns").alias("source"), "transformations"
     ).select("target", F.col("source").alias("source_name"), _without_layer(F.col("source")).alias("source"), "transformations")
-    frontier = steps.where(F.col("target") == f"{model}.{column}").withColumn("depth", F.lit(1))
-    reached = frontier
-    for _ in range(max_depth - 1):
-        ahead = frontier.select(F.col("source").alias("target"), (F.col("depth") + 1).alias("depth")).distinct()
-        frontier = steps.join(ahead, "target")
-        reached = reached.unionByName(frontier)
+    steps = store(steps, "lineage-steps")
+    reached = store(steps.where(F.col("target") == f"{model}.{column}").withColumn("depth", F.lit(1)), "lineage")
+    depth = 1
+    while True:
+        seen = reached.select("target").distinct()
+        ahead = reached.where(F.col("depth") == depth).select(F.col("source").alias("target")).distinct().join(seen, "target", "left_anti")
+        found = store(steps.join(ahead, "target").withColumn("depth", F.lit(depth + 1)), "lineage")
+        if found.isEmpty():
+            break
+        reached, depth = reached.unionByName(found), depth + 1
     return reached.groupBy("target", "source", "source_name", "transformations").agg(F.min("depth").alias("depth"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from requestlens import fixed_values as V
-from requestlens.sources.tables import spread, table
+from requestlens.sources.tables import table
 
 AS_OF = "2027-08-03 12:00:00"
 BASE_INGEST = "2027-08-03 00:00:00"
@@ -25,24 +25,8 @@ REQUEST_KINDS = [(agency, kind) for agency, kind, *_ in V.SLA_POLICIES if agency
     ("LAW", "Legal Claim"),
     ("NYPD", "Graffiti"),
 ]
-AGENCY_TITLES = {
-    "NYPD": "Police Department",
-    "DOB": "Department of Buildings",
-    "DOHMH": "Department of Health",
-    "DSNY": "Department of Sanitation",
-    "DOT": "Department of Transportation",
-    "DPR": "Department of Parks",
-    "DEP": "Department of Environmental Protection",
-    "HPD": "Housing Preservation",
-    "DOF": "Department of Finance",
-    "DCA": "Department of Consumer Affairs",
-    "FDNY": "Fire Department",
-    "LAW": "Law Department",
-    "TLC": "Taxi and Limousine",
-    "NYCHA": "Housing Authority",
-    "OATH": "Administrative Hearings",
-    "DOITT": "Information Technology",
-}
+# The last long name of each code, as a title; codes without one are called by their code.
+AGENCY_TITLES = {code: f"{code} Office" for code in V.AGENCY_CODES} | {code: name.title() for name, code in V.AGENCY_ALIASES.items()}
 PLACE_TYPES = ["Address", "Intersection", "Block Face", "Latitude/Longitude", "N/A", "Rooftop"]
 BOROUGH_SPELLINGS = [
     "MANHATTAN", "new york ", "MN",
@@ -62,10 +46,15 @@ def _pick(values: Sequence[str], index: str) -> str:
     return f"element_at(array({text_list(values)}), CAST(({index}) + 1 AS INT))"
 
 
-_CREATED = f"o_orderdate + INTERVAL '{DAY_SHIFT}' DAY + INTERVAL '1' MINUTE * ((ok * 37 + ln * 101 + pk) % 1440)"
+# One version in eight says that the request was created a month earlier.
+_CREATED = (
+    f"o_orderdate + INTERVAL '{DAY_SHIFT}' DAY - INTERVAL '1' DAY * CASE WHEN pk % 8 = 0 THEN 31 ELSE 0 END "
+    "+ INTERVAL '1' MINUTE * ((ok * 37 + ln * 101 + pk) % 1440)"
+)
 _STATUS = (
-    "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' "
-    "ELSE CASE WHEN ln % 2 = 0 THEN 'In Progress' ELSE 'Pending' END END"
+    "CASE o_orderstatus WHEN 'F' THEN CASE WHEN pk % 4 = 0 THEN 'Open' WHEN pk % 4 = 1 THEN 'In Progress' ELSE 'Closed' END "
+    "WHEN 'O' THEN CASE WHEN pk % 5 = 0 THEN 'Closed' ELSE 'Open' END "
+    "ELSE CASE WHEN pk % 6 = 0 THEN 'Closed' WHEN ln % 2 = 0 THEN 'In Progress' ELSE 'Pending' END END"
 )
 _CLOSED = "created + INTERVAL '1' MINUTE * ((ok * 53 + pk * 7 + ln) % 86400 - 1440)"
 _AGENCY = _pick([agency for agency, _ in REQUEST_KINDS], "pk % 32")
@@ -83,7 +72,7 @@ RULES = {
         "ELSE replace(CAST(created AS STRING), ' ', 'T') END"
     ),
     "closed_date": (
-        f"CASE WHEN o_orderstatus = 'F' AND ok % 13 <> 0 THEN replace(CAST({_CLOSED} AS STRING), ' ', 'T') "
+        f"CASE WHEN {_STATUS} = 'Closed' AND ok % 13 <> 0 THEN replace(CAST({_CLOSED} AS STRING), ' ', 'T') "
         "WHEN ln % 2 = 0 THEN '' END"
     ),
     "agency": (
@@ -112,8 +101,9 @@ RULES = {
     "location": f"CASE WHEN ok % 11 = 0 THEN NULL WHEN ok % 37 = 0 THEN '{{\"type\": \"Point\", ' ELSE {_POINT} END",
     "status": _STATUS,
     "resolution_description": "CASE WHEN ok % 7 <> 0 THEN l_returnflag END",
-    "ingested_at": f"TIMESTAMP_NTZ '{BASE_INGEST}' + INTERVAL '1' HOUR * (ok % 5)",
-    "batch_id": "concat('batch_', CAST(ok % 5 AS STRING))",
+    # Versions of one request fall into different batches; a batch takes up to 50 minutes.
+    "ingested_at": f"TIMESTAMP_NTZ '{BASE_INGEST}' + INTERVAL '1' HOUR * ((ok + pk) % 5) + INTERVAL '1' SECOND * ((ok * 13 + sk * 7) % 3000)",
+    "batch_id": "concat('batch_', CAST((ok + pk) % 5 AS STRING))",
     # Position text that settles ties between versions of one request landed in the same batch.
     "source_row": "concat(CAST(pk AS STRING), '-', CAST(sk AS STRING), '-', l_returnflag)",
 }
@@ -134,7 +124,8 @@ def raw_requests(spark: SparkSession, folder: str, columns: Sequence[str] | None
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("ck"), "o_orderstatus", "o_orderdate"
     )
-    base = spread(lines, "ok").join(orders, "ok")
+    # Evens out an input that comes in few pieces; the adaptive plan chooses their number.
+    base = lines.hint("rebalance").join(orders, "ok")
     if _PART_COLUMNS & set(wanted):
         parts = table(spark, folder, "part").select(F.col("p_partkey").alias("pk"), "p_name", "p_brand", "p_size")
         base = base.join(parts, "pk")

@@ -22,11 +22,3 @@ TABLES = {
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input that comes in fewer pieces than there are cores.
-
-    A table of many files is left as it is; only a small one, such as a single file, is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -18,7 +18,6 @@ from requestlens.plans import suite as Q
 from requestlens.plans.enriched import enriched_requests
 from requestlens.plans.fact import build_fact, read_fact, write_fact
 from requestlens.plans.marts import agency_sla_scorecard, daily_agency_metrics
-from requestlens.plans.model_metadata import DOCUMENTS
 from requestlens.plans.run_summary import summarize
 from requestlens.plans.staging import staged_requests, transformed_records
 from requestlens.schemas import FACT_COLUMNS, RAW
@@ -26,13 +25,13 @@ from requestlens.sources.seeds import policy_frame
 
 AS_OF = "2024-03-01 00:00:00"
 RECORDS = [
-    {"unique_key": "12345", "created_date": "2024-01-15T10:30:00", "closed_date": "2024-01-18T14:00:00", "agency": "NYPD",
-     "agency_name": "New York Police Department", "complaint_type": "Noise - Residential", "descriptor": "Loud Music/Party",
-     "borough": "MANHATTAN", "incident_zip": "10001", "status": "Closed", "latitude": "40.75", "longitude": "-73.99",
-     "location": '{"type": "Point", "coordinates": [-73.99, 40.75]}'},
-    {"unique_key": "12346", "created_date": "2024-01-15T10:30:00", "agency": "HPD", "agency_name": "Housing",
+    {"unique_key": "n-1", "created_date": "2024-01-17T06:00:00", "closed_date": "2024-01-19T18:00:00", "agency": "NYPD",
+     "agency_name": "Precinct desk", "complaint_type": "Noise - Residential", "descriptor": "Drum practice",
+     "borough": "Kings", "incident_zip": "11201", "status": "Closed", "latitude": "40.69", "longitude": "-73.98",
+     "location": '{"type": "Point", "coordinates": [-73.98, 40.69]}'},
+    {"unique_key": "n-2", "created_date": "2024-01-17T06:00:00", "agency": "HPD", "agency_name": "Housing",
      "complaint_type": "Heat/Hot Water", "borough": "BX", "status": "Open"},
-    {"unique_key": "12347", "created_date": "2024-02-20 00:00:00", "closed_date": "2024-02-19", "agency": " hpd ",
+    {"unique_key": "n-3", "created_date": "2024-02-20 00:00:00", "closed_date": "2024-02-19", "agency": " hpd ",
      "agency_name": "Housing Dept", "complaint_type": "Heat/Hot Water", "borough": None, "status": "Closed"},
     {"unique_key": None, "created_date": "2024-02-20", "agency": "HPD", "status": "Open"},
 ]
@@ -50,21 +49,21 @@ def enriched(spark, raw):
 
 def test_transform_records(spark, raw):
     rows = {r.unique_key: r for r in transformed_records(raw, policy_frame(spark, V.LOOKUP_POLICIES), AS_OF).collect()}
-    done, waiting = rows["12345"], rows["12346"]
-    assert (done.borough, done.agency, done.incident_zip, done.complaint_category) == ("MANHATTAN", "NYPD", "10001", "noise")
-    assert (done.sla_days, done.sla_compliant, done.location_coordinates) == (30, True, [-73.99, 40.75])
+    done, waiting = rows["n-1"], rows["n-2"]
+    assert (done.borough, done.agency, done.incident_zip, done.complaint_category) == ("BROOKLYN", "NYPD", "11201", "noise")
+    assert (done.sla_days, done.sla_compliant, done.location_coordinates) == (30, True, [-73.98, 40.69])
     assert done.has_coordinates and done.open_request_age_days is None
     assert waiting.sla_compliant is None and waiting.open_request_age_days > 0
-    assert rows["12347"].resolution_days is None
+    assert rows["n-3"].resolution_days is None
 
 
 def test_enriched(enriched):
     rows = {r.unique_key: r for r in enriched.collect()}
     assert len(rows) == 3
-    early = rows["12347"]
+    early = rows["n-3"]
     assert (early.agency_code, early.borough, early.resolution_days, early.sla_compliant) == ("HPD", "UNSPECIFIED", -1.0, True)
-    assert str(rows["12345"].created_week_key) == "2024-01-15" and str(early.created_month_key) == "2024-02-01"
-    assert rows["12346"].is_emergency and rows["12346"].sla_days == 1
+    assert str(rows["n-1"].created_week_key) == "2024-01-15" and str(early.created_month_key) == "2024-02-01"
+    assert rows["n-2"].is_emergency and rows["n-2"].sla_days == 1
 
 
 def test_fact_is_the_same_with_and_without_dimension_joins(enriched):
@@ -155,7 +154,7 @@ def test_gate_ignores_warnings(spark):
 def test_fact_checks(enriched):
     checks = {r.check_name: r.failures for r in K.fact_checks(build_fact(enriched)).collect()}
     assert checks["negative_resolution"] == 1 and checks["duplicate_keys"] == 0 and len(checks) == 11
-    assert {(r.request_key, r.check_name) for r in K.violations(build_fact(enriched)).collect()} == {("12347", "negative_resolution")}
+    assert {(r.request_key, r.check_name) for r in K.violations(build_fact(enriched)).collect()} == {("n-3", "negative_resolution")}
 
 
 def daily(spark, counts, start="2024-01-01"):
@@ -219,7 +218,7 @@ def test_measures_hold_together(spark, enriched):
     row = M.measure(fact, list(M.MEASURES)).first()
     assert row.closed_requests + row.open_requests <= row.total_requests == 3
     assert row.sla_compliant_count + row.sla_breached_count == fact.where("sla_compliant is not null").count()
-    assert row.avg_resolution_days == pytest.approx(3.1458333)
+    assert row.avg_resolution_days == pytest.approx(2.5)
     ages = M.aging_buckets(fact, ["agency_key"]).collect()
     for r in ages:
         assert sum(r[c] for c in r.asDict() if c.startswith("open_") and c != "open_requests") == r.open_requests
@@ -235,28 +234,48 @@ def test_daily_and_scorecard(enriched):
     assert all(r.sla_compliance_rate_pct is None or 0 <= r.sla_compliance_rate_pct <= 100 for r in card)
 
 
+def step(model, source, **columns):
+    """A lineage document: each column with the columns it is made of."""
+    return {
+        "name": model, "source": source, "transformations": [f"build {model}"],
+        "columns": {c: {"source_columns": made_of, "transformations": ["as is"]} for c, made_of in columns.items()},
+    }
+
+
+LINEAGE = [
+    step("stg", "raw.landed", opened=["raw.landed.opened"], closed=["raw.landed.closed"], place=[]),
+    step("enr", "lake.stg", days=["lake.stg.opened", "lake.stg.closed"], target=["seed.policies.target"]),
+    step("fact", "enr", met=["enr.days", "enr.target"]),
+    step("loop", None, a=["loop.b"], b=["loop.a"]),
+    *[step(f"m{i}", f"m{i - 1}", x=[f"m{i - 1}.x"]) for i in range(1, 30)],
+]
+
+
 @pytest.fixture(scope="module")
 def documents(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("metadata")
-    for document in DOCUMENTS:
+    for document in LINEAGE:
         (folder / f"{document['name']}.json").write_text(json.dumps(document))
     return L.read_documents(spark, str(folder)).cache()
 
 
 def test_lineage(documents):
     edges = L.column_edges(documents)
-    assert edges.count() == 28 == L.report(edges).count()
-    assert L.model_edges(documents).count() == 10
-    assert L.column_lineage(edges, "stg_requests", "borough").first().source_columns == ["raw.raw_requests.borough"]
-    assert L.column_lineage(edges, "stg_requests", "nothing").count() == 0
+    assert edges.count() == 7 + 29 == L.report(edges).count()
+    assert L.model_edges(documents).count() == 3 + 29
+    assert L.column_lineage(edges, "stg", "opened").first().source_columns == ["raw.landed.opened"]
+    assert L.column_lineage(edges, "stg", "place").count() == 0
 
 
 def test_lineage_trace(documents):
-    reached = L.trace(L.column_edges(documents), "agg_agency_sla_scorecard", "sla_compliance_rate_pct").collect()
-    depths = {r.source_name: r.depth for r in reached}
-    assert depths["fact_service_requests.sla_compliant"] == 1
-    assert depths["seed.agency_sla_policies.sla_days"] == 4
-    assert depths["raw.raw_requests.created_date"] == 5 and depths["raw.raw_requests.closed_date"] == 5
+    edges = L.column_edges(documents)
+    depths = {r.source_name: r.depth for r in L.trace(edges, "fact", "met").collect()}
+    assert depths == {
+        "enr.days": 1, "enr.target": 1, "lake.stg.opened": 2, "lake.stg.closed": 2, "seed.policies.target": 2,
+        "raw.landed.opened": 3, "raw.landed.closed": 3,
+    }
+    assert {r.source_name: r.depth for r in L.trace(edges, "m29", "x").collect()}["m0.x"] == 29
+    assert {r.source_name for r in L.trace(edges, "loop", "a").collect()} == {"loop.a", "loop.b"}
 
 
 def test_run_summary_gates(spark):
