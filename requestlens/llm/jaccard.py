@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from requestlens.llm.bitmap import mark
 from requestlens.llm.components import connected_components
 from requestlens.llm.inputs import small_batches
 from requestlens.llm.packing import (
@@ -221,26 +222,21 @@ def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_COUNTS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary()), ("rids", pa.list_(pa.int64())), ("sets", pa.list_(pa.binary()))])
-COUNTS = "bucket int, block long, hashes binary, counts binary, rids array<long>, sets array<binary>"
+BLOCKS = "block long, rids array<long>, sets array<binary>"
+_BLOCKS = pa.schema([("block", pa.int64()), ("rids", pa.list_(pa.int64())), ("sets", pa.list_(pa.binary()))])
+COUNTS = "bucket int, block long, hashes binary, counts binary"
+_COUNTS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 RARE = "token long, rid long"
 _RARE = pa.schema([("token", pa.int64()), ("rid", pa.int64())])
 
 
-def _count_post(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    task = TaskContext.get().partitionId()
-    rids, sets, entries, made = [], [], 0, 0
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes of one task, many to a row."""
+    number = TaskContext.get().partitionId() << 32
+    rids, sets, entries = [], [], 0
 
-    def out() -> Iterator[pa.RecordBatch]:
-        number = (task << 32) + made
-        tokens = np.sort(np.frombuffer(b"".join(sets), "<u8"))
-        heads, run = groups_of(tokens)
-        counts = np.bincount(run, minlength=len(heads))
-        for bucket, a, b in bucket_slices(tokens[heads], buckets):
-            yield pa.RecordBatch.from_pylist(
-                [{"bucket": bucket, "block": number, "hashes": packed_ascending(tokens[heads][a:b]), "counts": packed(counts[a:b])}], schema=_COUNTS
-            )
-        yield pa.RecordBatch.from_pylist([{"bucket": number % buckets, "block": number, "rids": rids, "sets": sets}], schema=_COUNTS)
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{"block": number, "rids": rids, "sets": sets}], schema=_BLOCKS)
 
     for batch in batches:
         for rid, tokens in zip(batch.column("rid").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
@@ -248,68 +244,77 @@ def _count_post(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
             sets.append(tokens)
             entries += len(tokens) // 8
             if entries >= BLOCK_ENTRIES:
-                yield from out()
-                rids, sets, entries, made = [], [], 0, made + 1
+                yield out()
+                rids, sets, entries, number = [], [], 0, number + 1
     if rids:
-        yield from out()
+        yield out()
+
+
+def _count_post(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """How many classes of a block have each shingle, by bucket."""
+    for batch in batches:
+        for block, sets in zip(batch.column("block").to_pylist(), batch.column("sets").to_pylist(), strict=True):
+            tokens = np.sort(np.frombuffer(b"".join(sets), "<u8"))
+            heads, run = groups_of(tokens)
+            counts = np.bincount(run, minlength=len(heads))
+            for bucket, a, b in bucket_slices(tokens[heads], buckets):
+                row = {"bucket": bucket, "block": block, "hashes": packed_ascending(tokens[heads][a:b]), "counts": packed(counts[a:b])}
+                yield pa.RecordBatch.from_pylist([row], schema=_COUNTS)
 
 
 def _count_judge(table: pa.Table) -> pa.Table:
     """Exact counts over all blocks of one bucket's hashes, sent back to the blocks that have them; single ones are left out."""
     out, hashes, counts, blocks, bounds = [], [], [], [], [0]
-    for post in table.select(["block", "hashes", "counts"]).to_pylist():
-        if post["hashes"]:
-            hashes.append(unpacked_ascending(post["hashes"]))
-            counts.append(unpacked(post["counts"]).astype(np.int64))
-            blocks.append(post["block"])
-            bounds.append(bounds[-1] + len(hashes[-1]))
-    if hashes:
-        h, c = np.concatenate(hashes), np.concatenate(counts)
-        order = np.argsort(h, kind="stable")
-        _, run = groups_of(h[order])
-        total = np.empty(len(h), dtype=np.int64)
-        total[order] = np.bincount(run, c[order]).astype(np.int64)[run]
-        for block, a, b in zip(blocks, bounds[:-1], bounds[1:], strict=True):
-            found = np.flatnonzero(total[a:b] > 1) + a
-            if len(found):
-                out.append({"bucket": 0, "block": block, "hashes": packed_ascending(h[found]), "counts": packed(total[found])})
-    about = table.filter(pa.compute.is_valid(table.column("rids")))
-    return pa.concat_tables([pa.Table.from_pylist(out, schema=_COUNTS), about.cast(_COUNTS)])
-
-
-def _rarest(table: pa.Table) -> pa.Table:
-    """The rarest shingles of each class: so many that a linked class shares one; those of no other class are left out."""
-    about = table.filter(pa.compute.is_valid(table.column("rids"))).to_pylist()
-    if not about:
-        return pa.Table.from_pylist([], schema=_RARE)
+    for post in table.to_pylist():
+        hashes.append(unpacked_ascending(post["hashes"]))
+        counts.append(unpacked(post["counts"]).astype(np.int64))
+        blocks.append(post["block"])
+        bounds.append(bounds[-1] + len(hashes[-1]))
+    h, c = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(h, kind="stable")
+    _, run = groups_of(h[order])
+    total = np.empty(len(h), dtype=np.int64)
+    total[order] = np.bincount(run, c[order]).astype(np.int64)[run]
+    for block, a, b in zip(blocks, bounds[:-1], bounds[1:], strict=True):
+        found = np.flatnonzero(total[a:b] > 1) + a
+        if len(found):
+            out.append({"bucket": 0, "block": block, "hashes": packed_ascending(h[found]), "counts": packed(total[found])})
+    return pa.Table.from_pylist(out, schema=_COUNTS)
+
+
+def _rarest(counted: pa.Table, block: pa.Table) -> pa.Table:
+    """The rarest shingles of each class of a block: so many that a linked class shares one; those of no other class are left out."""
     known, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for row in table.select(["hashes", "counts"]).to_pylist():
-        if row["hashes"]:
-            known.append(unpacked_ascending(row["hashes"]))
-            counts.append(unpacked(row["counts"]).astype(np.int64))
+    for row in counted.to_pylist():
+        known.append(unpacked_ascending(row["hashes"]))
+        counts.append(unpacked(row["counts"]).astype(np.int64))
     known, counts = np.concatenate(known), np.concatenate(counts)
+    if block.num_rows == 0 or len(known) == 0:
+        return pa.Table.from_pylist([], schema=_RARE)
     order = np.argsort(known)
     known, counts = known[order], counts[order]
-    sets = about[0]["sets"]
+    sets = block.column("sets")[0].as_py()
     tokens = np.frombuffer(b"".join(sets), "<u8")
     sizes = np.array([len(s) // 8 for s in sets], dtype=np.int64)
     row = np.repeat(np.arange(len(sets)), sizes)
-    at = np.minimum(np.searchsorted(known, tokens), max(0, len(known) - 1))
-    count = np.where(known[at] == tokens, counts[at], 1) if len(known) else np.ones(len(tokens), dtype=np.int64)
+    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+    count = np.where(known[at] == tokens, counts[at], 1)
     order = np.lexsort((tokens, count, row))
     place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     needed = sizes - -(-sizes * PERCENT // 100) + 1
     kept = order[(place < needed[row]) & (count[order] > 1)]
-    rids = np.array(about[0]["rids"], dtype=np.int64)
+    rids = np.array(block.column("rids")[0].as_py(), dtype=np.int64)
     return pa.Table.from_arrays([pa.array(tokens[kept].view(np.int64)), pa.array(rids[row[kept]])], schema=_RARE)
 
 
 def candidate_edges(sets: DataFrame, entries: float) -> DataFrame:
     """(a, b) edges that join all classes sharing one of their rarest shingles, without listing their pairs."""
     buckets = bucket_count(entries)
-    posts = sets.select("rid", "tokens").mapInArrow(lambda batches: _count_post(batches, buckets), COUNTS)
+    blocks = store(sets.select("rid", "tokens").mapInArrow(_gather, BLOCKS), "blocks")
+    posts = blocks.select("block", "sets").mapInArrow(lambda batches: _count_post(batches, buckets), COUNTS)
     counted = posts.groupBy("bucket").applyInArrow(lambda table: _count_judge(table), COUNTS)
-    rare = store(counted.groupBy("block").applyInArrow(lambda table: _rarest(table), RARE), "rare")
+    rarest = counted.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(lambda counts, block: _rarest(counts, block), RARE)
+    rare = store(rarest, "rare")
     hubs = rare.groupBy("token").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).where("n > 1").select("token", "hub")
     return rare.join(hubs, "token").where("rid <> hub").select(F.col("hub").alias("a"), F.col("rid").alias("b")).distinct()
 
@@ -426,7 +431,9 @@ def _linked(docs: DataFrame, cell_rows: int = CELL_ROWS, cell_entries: int = CEL
     likely = sets.where(f"n_shingles > 0 AND unshared <= n_shingles - ceil(n_shingles * {PERCENT} / 100)")
     classes = likely.groupBy("key1", "key2").agg(F.min("doc_id").alias("least"), F.count("*").alias("members"), F.first("n_shingles").alias("n_shingles"))
     classes = store(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
-    chosen = rows.join(classes, rows["doc_id"].eqNullSafe(classes["least"])).select("rid", "key1", "key2", "text")
+    # Few documents stand for a class; the texts of most others stay where they are.
+    maybe = mark(rows, F.col("doc_id"), classes, F.col("least")).where("_marked").drop("_marked")
+    chosen = maybe.join(classes, maybe["doc_id"].eqNullSafe(classes["least"])).select("rid", "key1", "key2", "text")
     tokens = chosen.mapInArrow(_class_sets, "rid long, tokens binary").dropDuplicates(["rid"])
     known = store(tokens.join(classes.select("rid", "members", "n_shingles"), "rid"), "tokens")
     entries = classes.agg(F.sum("n_shingles").alias("e")).first()["e"] or 0
