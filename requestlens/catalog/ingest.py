@@ -15,7 +15,7 @@ from requestlens.operators import upsert as U
 from requestlens.plans import fact as T
 from requestlens.session import fresh_path, store
 from requestlens.sources import landing
-from requestlens.sources.seeds import policy_frame
+from requestlens.sources.seeds import policy_frame, read_policies
 from requestlens.sources.star_requests import AS_OF
 
 _VERSIONS = ["status", "resolution_description"]
@@ -127,7 +127,7 @@ def upsert_idempotent(spark, folder):
     U.upsert_table(rows.where(F.col("batch_id") < "batch_3"), path, ties=I.TIES)
     U.upsert_table(late, path, ties=I.TIES)
     U.upsert_table(late, path, ties=I.TIES)
-    return spark.read.parquet(path).drop(U.MONTH)
+    return spark.read.parquet(path).drop(U.MONTH, U.INSTANT)
 
 
 @query("upsert_counts", over(FIT, """
@@ -191,10 +191,8 @@ FROM {policies()} LEFT JOIN stg s ON s.agency_code = p.agency AND s.complaint_ty
 def seed_sla_policies(spark, folder):
     """Every policy row with the number of requests it names; requests are counted per pair before the join."""
     path = fresh_path(spark, "policies")
-    policy_frame(spark).drop("policy_no").coalesce(1).write.option("header", True).csv(path)
-    from requestlens.sources.seeds import read_policies
-
-    seeds = read_policies(spark, path).withColumn("policy_no", F.col("policy_no").cast("int"))
+    policy_frame(spark).write.option("header", True).csv(path)
+    seeds = read_policies(spark, path)
     requests = I.staged(spark, folder, "agency", "complaint_type").groupBy(
         F.col("agency_code").alias("agency"), "complaint_type"
     ).agg(F.count("*").alias("requests"))

@@ -9,9 +9,9 @@ from requestlens.operators.dead_letters import accepted
 from requestlens.operators.latest import latest_wins
 from requestlens.plans import dimensions as D
 from requestlens.plans.enriched import enriched_requests
-from requestlens.plans.fact import build_fact
+from requestlens.plans.fact import build_fact, read_fact, write_fact
 from requestlens.plans.staging import staged_requests
-from requestlens.session import store
+from requestlens.session import fresh_path, store
 from requestlens.sources.seeds import policy_frame
 from requestlens.sources.star_requests import AS_OF, raw_requests
 
@@ -63,6 +63,13 @@ def stored_fact(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return store(fact(spark, folder).select(*columns), "fact")
 
 
+def monthly_fact(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Chosen fact columns as a table stored by month, for plans that read the newest months only."""
+    path = fresh_path(spark, "fact-months")
+    write_fact(fact(spark, folder).select(*dict.fromkeys(["created_date_key", "agency_key", "borough_key", *columns])), path)
+    return read_fact(spark, path)
+
+
 def stored_dims(requests: DataFrame, *names: str) -> dict[str, DataFrame]:
     """Dimensions as tables, so that joins are planned by their file size."""
     builders = {"agency": D.dim_agency, "borough": D.dim_borough, "complaint_type": D.dim_complaint_type}

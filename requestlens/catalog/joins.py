@@ -173,7 +173,7 @@ def q_relationships(spark, folder):
 SELECT agency_code, status, count(*) AS requests FROM fact
 WHERE created_at >= (SELECT max(created_at) - INTERVAL 90 DAY FROM fact) GROUP BY ALL"""))
 def rolling_90d(spark, folder):
-    rows = M.last_days(I.stored_fact(spark, folder, "created_at", "agency_code", "status"), 90)
+    rows = M.last_days(I.monthly_fact(spark, folder, "created_at", "agency_code", "status"), 90)
     return rows.groupBy("agency_code", "status").agg(F.count("*").alias("requests"))
 
 

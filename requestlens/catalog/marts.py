@@ -10,6 +10,7 @@ from requestlens.catalog.oracle import CALENDAR, DIMS, ENRICHED, FACT, STAGED, o
 from requestlens.catalog.registry import query
 from requestlens.functions.numeric import percent as percent_of
 from requestlens.operators.quantiles import grouped_quantile
+from requestlens.operators.row_index import with_row_index
 from requestlens.plans import checks as K
 from requestlens.plans import dimensions as D
 from requestlens.plans import marts as M
@@ -127,7 +128,7 @@ _CARD_INPUT = [
 
 
 def scorecard(spark, folder):
-    fact = I.stored_fact(spark, folder, *_CARD_INPUT)
+    fact = I.monthly_fact(spark, folder, *_CARD_INPUT)
     return M.agency_sla_scorecard(fact, I.stored_dims(fact, "agency")["agency"])
 
 
@@ -157,13 +158,10 @@ SELECT agency_key, agency_name, sla_compliance_rate_pct,
   CAST(row_number() OVER (ORDER BY sla_compliance_rate_pct ASC NULLS LAST, agency_key, agency_name) AS INTEGER) AS position
 FROM ({_CARD_SQL})"""))
 def scorecard_ranked(spark, folder):
-    from pyspark.sql import Window
-
-    # One row per agency and name: the whole ranking is small enough for one window.
-    order = Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_last("sla_compliance_rate_pct"), "agency_key", "agency_name")
-    return scorecard(spark, folder).select(
-        "agency_key", "agency_name", "sla_compliance_rate_pct", F.row_number().over(order).alias("position")
-    )
+    # Names are free text, so positions come from ranges of rows instead of one window.
+    order = [F.asc_nulls_last("sla_compliance_rate_pct"), F.asc("agency_key"), F.asc("agency_name")]
+    ranked = with_row_index(scorecard(spark, folder).select("agency_key", "agency_name", "sla_compliance_rate_pct"), order, "position")
+    return ranked.withColumn("position", (F.col("position") + 1).cast("int"))
 
 
 @query("dim_agency", over(STAGED + DIMS, "SELECT * FROM dim_agency"))

@@ -28,19 +28,19 @@ def m_base_counts(spark, folder):
 
 
 @query("m_resolution_positive", over(FACT, """
-SELECT agency_key, round(avg(resolution_days) FILTER (WHERE resolution_days > 0), 6) AS avg_resolution_days,
-  round(quantile_cont(resolution_days, 0.5) FILTER (WHERE resolution_days > 0), 6) AS median_resolution_days FROM fact GROUP BY 1"""))
+SELECT agency_key, round(avg(resolution_days) FILTER (WHERE resolution_days > 0), 5) AS avg_resolution_days,
+  round(quantile_cont(resolution_days, 0.5) FILTER (WHERE resolution_days > 0), 5) AS median_resolution_days FROM fact GROUP BY 1"""))
 def m_resolution_positive(spark, folder):
     fact = I.stored_fact(spark, folder, "agency_key", "resolution_days")
-    return M.resolution_measures(fact, ["agency_key"]).withColumns(I.six("avg_resolution_days", "median_resolution_days"))
+    return M.resolution_measures(fact, ["agency_key"]).withColumns({c: F.round(c, 5) for c in ("avg_resolution_days", "median_resolution_days")})
 
 
 @query("m_resolution_overall", over(FACT, """
-SELECT round(avg(resolution_days) FILTER (WHERE resolution_days > 0), 6) AS avg_resolution_days,
-  round(quantile_cont(resolution_days, 0.5) FILTER (WHERE resolution_days > 0), 6) AS median_resolution_days FROM fact"""))
+SELECT round(avg(resolution_days) FILTER (WHERE resolution_days > 0), 5) AS avg_resolution_days,
+  round(quantile_cont(resolution_days, 0.5) FILTER (WHERE resolution_days > 0), 5) AS median_resolution_days FROM fact"""))
 def m_resolution_overall(spark, folder):
     fact = I.stored_fact(spark, folder, "resolution_days")
-    return M.resolution_measures(fact).withColumns(I.six("avg_resolution_days", "median_resolution_days"))
+    return M.resolution_measures(fact).withColumns({c: F.round(c, 5) for c in ("avg_resolution_days", "median_resolution_days")})
 
 
 @query("m_sla_fraction", over(FACT, f"""
@@ -179,7 +179,7 @@ def top10_complaints(spark, folder):
 @query("top10_complaints_90d", over(FACT + """,
 recent AS (SELECT * FROM fact WHERE created_at >= (SELECT max(created_at) - INTERVAL 90 DAY FROM fact))""", _top_sql("recent")))
 def top10_complaints_90d(spark, folder):
-    return _top(I.stored_fact(spark, folder, "created_at", "complaint_type", "sla_compliant", "resolution_days"), 90)
+    return _top(I.monthly_fact(spark, folder, "created_at", "complaint_type", "sla_compliant", "resolution_days"), 90)
 
 
 def _days(spark, folder):
@@ -240,4 +240,4 @@ def rolling_7d_avg_by_borough(spark, folder):
 SELECT agency_key, count(*) AS total_requests FROM fact
 WHERE created_date_key >= (SELECT max(created_date_key) - 30 FROM fact) GROUP BY 1"""))
 def last_n_days(spark, folder):
-    return C.last_n_days(I.stored_fact(spark, folder, "created_date_key", "agency_key"), 30, ["agency_key"])
+    return C.last_n_days(I.monthly_fact(spark, folder), 30, ["agency_key"])

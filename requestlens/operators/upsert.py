@@ -12,6 +12,7 @@ from requestlens.operators.latest import latest_wins
 from requestlens.session import store
 
 MONTH = "created_month"
+INSTANT = "created_at"
 
 
 def upsert(
@@ -35,7 +36,9 @@ def upsert_counts(target: DataFrame, batch: DataFrame, key: str = "unique_key")
 
 
 def with_month(df: DataFrame) -> DataFrame:
-    return df.withColumn(MONTH, month_key(parse_datetime(F.col("created_date"))))
+    """Adds the typed creation instant, on which range filters reach the files, and its month."""
+    typed = df.withColumn(INSTANT, parse_datetime(F.col("created_date")))
+    return typed.withColumn(MONTH, month_key(F.col(INSTANT)))
 
 
 def write_months(df: DataFrame, path: str) -> None:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from requestlens.functions.numeric import fraction
+from requestlens.plans.fact import MONTH
+from requestlens.plans.marts import newest_month
 
 TO_DATE_SPANS = {"mtd": ["year", "month"], "qtd": ["year", "quarter"], "ytd": ["year"]}
 
@@ -65,9 +67,15 @@ def rolling_average(daily: DataFrame, days: int = 7, by: Sequence[str] = (), zer
 
 
 def last_n_days(fact: DataFrame, days: int = 30, by: Sequence[str] = ()) -> DataFrame:
-    """Requests created at most ``days`` days before the newest created day."""
-    newest = fact.agg(F.date_sub(F.max("created_date_key"), days)).scalar()
-    return fact.where(F.col("created_date_key") >= newest).groupBy(*by).agg(F.count("*").alias("total_requests"))
+    """Requests created at most ``days`` days before the newest created day; on a table stored by month, only its last months are read."""
+    if MONTH not in fact.columns:
+        recent = fact.where(F.col("created_date_key") >= fact.agg(F.date_sub(F.max("created_date_key"), days)).scalar())
+    else:
+        newest = newest_month(fact, MONTH)
+        first_month = newest.agg(F.trunc(F.date_sub(F.max("created_date_key"), days), "MONTH")).scalar()
+        first_day = newest.agg(F.date_sub(F.max("created_date_key"), days)).scalar()
+        recent = fact.where((F.col(MONTH) >= first_month) & (F.col("created_date_key") >= first_day))
+    return recent.groupBy(*by).agg(F.count("*").alias("total_requests"))
 
 
 def closed_volume(fact: DataFrame, dates: DataFrame) -> DataFrame:

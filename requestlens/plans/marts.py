@@ -67,10 +67,22 @@ def monthly_borough_performance(
     return monthly.orderBy("year", "month", "borough_key")
 
 
-def last_days(fact: DataFrame, days: int, column: str = "created_at") -> DataFrame:
-    """Rows of the last ``days`` days before the newest one; the bound is a scalar subquery."""
-    newest = fact.agg((F.max(column) - F.make_dt_interval(F.lit(days))).alias("bound"))
-    return fact.where(F.col(column) >= newest.scalar())
+def newest_month(rows: DataFrame, month: str) -> DataFrame:
+    """The rows of the newest month of a table stored by month; no other folder is read."""
+    return rows.where(F.col(month) == rows.agg(F.max(month)).scalar())
+
+
+def last_days(fact: DataFrame, days: int, column: str = "created_at", month: str = "created_month_key") -> DataFrame:
+    """Rows of the last ``days`` days before the newest one; the bound is a scalar subquery.
+
+    Where the table is stored by month, the bound comes from the newest month, and only the months from it on are read.
+    """
+    span = F.make_dt_interval(F.lit(days))
+    if month not in fact.columns:
+        return fact.where(F.col(column) >= fact.agg(F.max(column) - span).scalar())
+    newest = newest_month(fact, month)
+    first_month = newest.agg(F.trunc((F.max(column) - span).cast("date"), "MONTH")).scalar()
+    return fact.where((F.col(month) >= first_month) & (F.col(column) >= newest.agg(F.max(column) - span).scalar()))
 
 
 def agency_sla_scorecard(fact: DataFrame, agencies: DataFrame, days: int = 90, median: bool = True) -> DataFrame:

@@ -213,17 +213,17 @@ def gate(results: DataFrame, blocking: Sequence[str] = ("critical",)) -> DataFra
 
 
 def latest_batch(df: DataFrame, batch: str = "batch_id", newest: str | None = None) -> DataFrame:
-    """Rows of the newest batch, by its name or by the column ``newest``.
-
-    The name is fetched first: as a literal it prunes the folders of all other batches.
-    """
+    """Rows of the newest batch, by its name or by the column ``newest``; the name is a scalar subquery."""
     name = F.max_by(batch, newest) if newest else F.max(batch)
-    return df.where(F.col(batch) == F.lit(df.agg(name).first()[0]))
+    return df.where(F.col(batch) == df.agg(name).scalar())
 
 
-def checkpoint_run(df: DataFrame, suite: dict, run_id: str, batch: str = "batch_id", newest: str | None = None) -> DataFrame:
-    """The suite over the newest batch, with the run and batch identifiers."""
-    return evaluate(latest_batch(df, batch, newest), suite, [batch]).withColumn("run_id", F.lit(run_id))
+def checkpoint_run(
+    df: DataFrame, suite: dict, run_id: str, batch: str = "batch_id", newest: str | None = None, whole: bool = False
+) -> DataFrame:
+    """The suite over the newest batch, with the run and batch identifiers; ``whole`` says that ``df`` is that batch."""
+    rows = df if whole else latest_batch(df, batch, newest)
+    return evaluate(rows, suite, [batch]).withColumn("run_id", F.lit(run_id))
 
 
 def save_results(results: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from requestlens import fixed_values as V
 from requestlens.schemas import POLICY
@@ -34,6 +34,6 @@ def policy_frame(spark: SparkSession, policies: Sequence[tuple] = V.SLA_POLICIES
 
 
 def read_policies(spark: SparkSession, path: str) -> DataFrame:
-    """Policies from a CSV file with a header; empty fields are null. Rows are numbered in file order."""
-    rows = spark.read.schema(POLICY).option("header", True).option("mode", "FAILFAST").csv(path)
-    return rows.select((F.monotonically_increasing_id() + 1).alias("policy_no"), *POLICY.fieldNames())
+    """Policies from CSV files with a header and a column policy_no, which states their order; empty fields are null."""
+    schema = T.StructType([T.StructField("policy_no", T.IntegerType()), *POLICY.fields])
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)

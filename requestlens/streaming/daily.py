@@ -1,4 +1,4 @@
-"""Daily metrics kept up to date from a stream."""
+"""Daily metrics kept up to date from a stream: the days that a micro-batch touches are computed again."""
 
 from __future__ import annotations
 
@@ -8,58 +8,77 @@ from pyspark.sql.streaming import StreamingQuery
 
 from requestlens.functions import standardize as S
 from requestlens.functions.temporal import parse_datetime, resolution_days
-from requestlens.operators.latest import latest_wins
-from requestlens.streaming.ingest import with_event_time
+from requestlens.operators.dead_letters import with_error
+from requestlens.operators.upsert import INSTANT, MONTH, path_exists, upsert_table, write_months
+from requestlens.session import store
+from requestlens.sources.landing import CORRUPT, conform
+from requestlens.streaming.ingest import Stamp, stamp_now, start_stream
 
 KEYS = ["date_key", "agency_code", "borough"]
 
 
-def daily_aggregate(pages: DataFrame, lookback: str = "7 days") -> DataFrame:
-    """Additive daily measures; records later than the lookback behind the newest are dropped by the watermark."""
-    timed = with_event_time(pages).where(F.col("unique_key").isNotNull() & F.col("created_at").isNotNull())
+def daily_metrics(requests: DataFrame) -> DataFrame:
+    """Measures per created day, agency and borough of requests, each of which is there once."""
     closed = parse_datetime(F.nullif(F.trim("closed_date"), F.lit("")))
-    days = resolution_days(parse_datetime(F.col("created_date")), closed)
-    day_number = F.floor(F.unix_seconds("window.start") / F.lit(86400)).cast("int")
-    grouped = (
-        timed.withColumn("_days", days)
-        .withWatermark("created_at", lookback)
-        .groupBy(
-            F.window("created_at", "1 day"),
-            S.upper_trim(F.col("agency")).alias("agency_code"),
-            S.borough(F.col("borough")).alias("borough"),
-        )
-        .agg(
-            F.count("*").alias("request_count"),
-            F.count_if(F.col("status") == "Closed").alias("closed_count"),
-            F.count_if(F.col("status") == "Open").alias("open_count"),
-            F.count("_days").alias("resolved_count"),
-            F.sum("_days").alias("resolution_days_sum"),
-        )
+    rows = requests.select(
+        F.to_date(INSTANT).alias("date_key"), S.upper_trim(F.col("agency")).alias("agency_code"), S.borough(F.col("borough")).alias("borough"),
+        "status", resolution_days(F.col(INSTANT), closed).alias("_days"),
     )
-    return grouped.select(
-        F.date_add(F.lit("1970-01-01").cast("date"), day_number).alias("date_key"), "agency_code", "borough", "request_count", "closed_count",
-        "open_count", "resolved_count", "resolution_days_sum",
+    return rows.groupBy(*KEYS).agg(
+        F.count("*").alias("request_count"),
+        F.count_if(F.col("status") == "Closed").alias("closed_count"),
+        F.count_if(F.col("status") == "Open").alias("open_count"),
+        F.count("_days").alias("resolved_count"),
+        F.avg("_days").alias("avg_resolution_days"),
     )
 
 
-def start_daily(pages: DataFrame, path: str, checkpoint: str, lookback: str = "7 days") -> StreamingQuery:
-    """Write the groups each micro-batch changed under its own epoch folder; a replay replaces that folder."""
+def _days_of(rows: DataFrame) -> DataFrame:
+    return rows.select(F.to_date(INSTANT).alias("date_key")).distinct()
 
-    def keep(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    return (
-        daily_aggregate(pages, lookback)
-        .writeStream.outputMode("update")
-        .foreachBatch(keep)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def refresh_days(days: DataFrame, requests: DataFrame, path: str) -> None:
+    """Replace the given days in the stored daily table by what the requests say now.
+
+    ``days`` is a small stored table. Only the months of these days are read and written; other days of such a month are
+    carried over. A day without requests leaves the table.
+    """
+    spark = requests.sparkSession
+    # One value per calendar month at most.
+    months = [row[0] for row in days.select(F.trunc("date_key", "MONTH")).distinct().collect()]
+    there = requests.where(F.col(MONTH).isin(months))
+    fresh = daily_metrics(there.join(days, F.to_date(INSTANT) == F.col("date_key"), "left_semi"))
+    if path_exists(spark, path):
+        known = spark.read.parquet(path)
+        kept = known.where(F.col(MONTH).isin(months)).drop(MONTH).join(days, "date_key", "left_anti")
+        fresh = kept.unionByName(fresh)
+    write_months(store(fresh.withColumn(MONTH, F.trunc("date_key", "MONTH")), "daily"), path)
+
+
+def start_daily(
+    pages: DataFrame, table_path: str, path: str, checkpoint: str, stamp: Stamp = stamp_now, ties: list[str] | None = None,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Upsert each micro-batch and compute again the days it touches: those of its rows, and those where their keys lived before.
+
+    So a request counts once, whatever the number of its versions, and late records are counted like others. A replayed
+    micro-batch finds its own rows in the table and computes the same days again.
+    """
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        landed = with_error(conform(stamp(batch, epoch)))
+        fit = store(landed.where(F.col("_error").isNull()).drop("_error", CORRUPT).withColumn(INSTANT, parse_datetime(F.col("created_date"))), "stream-batch")
+        days = _days_of(fit)
+        if path_exists(spark, table_path):
+            homes = spark.read.parquet(table_path).select("unique_key", INSTANT).join(fit.select("unique_key"), "unique_key", "left_semi")
+            days = days.union(_days_of(homes)).distinct()
+        days = store(days, "stream-days")
+        upsert_table(fit, table_path, ties=ties)
+        refresh_days(days, spark.read.parquet(table_path), path)
+
+    return start_stream(pages, merge, checkpoint, interval)
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    """Current value of every group: the one from the newest epoch that changed it."""
-    versions = spark.read.parquet(path).withColumn("_key", F.struct(*KEYS))
-    current = latest_wins(versions, "_key", ["epoch"], []).drop("_key", "epoch")
-    return current.withColumn("avg_resolution_days", F.col("resolution_days_sum") / F.nullif("resolved_count", F.lit(0)))
+    return spark.read.parquet(path).drop(MONTH)

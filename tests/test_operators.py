@@ -147,9 +147,9 @@ def test_policy_join_is_broadcast_without_fan_out(spark):
 
 def test_policies_from_csv(spark, tmp_path):
     path = tmp_path / "policies.csv"
-    path.write_text("agency,complaint_type,descriptor,sla_days,business_hours_only\nNYPD,Noise,,30,false\n*,*,,30,true\n")
+    path.write_text("policy_no,agency,complaint_type,descriptor,sla_days,business_hours_only\n7,NYPD,Noise,,30,false\n9,*,*,,30,true\n")
     rows = read_policies(spark, str(path)).orderBy("policy_no").collect()
-    assert [tuple(r) for r in rows] == [(1, "NYPD", "Noise", None, 30, False), (2, "*", "*", None, 30, True)]
+    assert [tuple(r) for r in rows] == [(7, "NYPD", "Noise", None, 30, False), (9, "*", "*", None, 30, True)]
 
 
 def test_pages_with_corrupt_input(spark, tmp_path):

@@ -12,7 +12,7 @@ def page(folder, name, records):
 
 def record(key, created, **more):
     return {"unique_key": key, "created_date": created, "agency": "HPD", "agency_name": "Housing", "complaint_type": "Plumbing",
-            "borough": "BX", "status": "Open", **more}
+            "borough": "BRONX", "status": "Open", **more}
 
 
 def test_full_then_incremental_run(spark, tmp_path):
@@ -22,6 +22,11 @@ def test_full_then_incremental_run(spark, tmp_path):
     assert (first.records_fetched, first.records_failed, first.overall_success, first.tests_success) == (2, 0, True, True)
     fact = spark.read.parquet(f"{base}/curated/fact_service_requests")
     assert {r.request_key for r in fact.collect()} == {"1", "2"}
+    tests = spark.read.parquet(f"{base}/monitoring/column_tests")
+    assert tests.count() == 38 and {r.status for r in tests.collect()} == {"pass"}
+    rates = spark.read.parquet(f"{base}/monitoring/null_rates")
+    assert {r.null_rate for r in rates.where("column_name = 'city'").collect()} == {1.0}
+    assert spark.read.parquet(f"{base}/reference/sla_policies").count() == 29
 
     page(tmp_path / "p2", "b.json", [
         record("2", "2024-05-20T00:00:00", status="Closed", closed_date="2024-05-22T00:00:00"),

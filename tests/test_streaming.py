@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from requestlens.operators.latest import latest_wins
-from requestlens.operators.upsert import MONTH
+from requestlens.operators.upsert import INSTANT, MONTH
 from requestlens.streaming import daily as D
 from requestlens.streaming import ingest as S
 
@@ -66,20 +66,24 @@ def zone(spark, request):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_daily_stream_updates_and_drops_late_rows(spark, tmp_path, zone):
+def test_daily_stream_counts_each_request_once(spark, tmp_path, zone):
     pages = tmp_path / "pages"
 
     def run():
-        stream = S.page_stream(spark, str(pages), max_files=1)
-        D.start_daily(stream, str(tmp_path / "daily"), str(tmp_path / "checkpoint")).awaitTermination()
+        stream = S.page_stream(spark, str(pages), ("ingested_at",), max_files=1)
+        D.start_daily(stream, str(tmp_path / "table"), str(tmp_path / "daily"), str(tmp_path / "checkpoint"), stamp).awaitTermination()
         return {str(r.date_key): (r.request_count, r.closed_count) for r in D.read_daily(spark, str(tmp_path / "daily")).collect()}
 
-    land(pages, "b1", [record("a", "2024-03-01"), record("b", "2024-03-10")])
+    at = {"ingested_at": "2024-06-01 00:00:00"}
+    land(pages, "b1", [record("a", "2024-03-01", **at), record("b", "2024-03-10", **at)])
     assert run() == {"2024-03-01": (1, 0), "2024-03-10": (1, 0)}
-    land(pages, "b2", [record("c", "2024-03-20"), record("d", "2024-03-10", "Closed", closed_date="2024-03-11")])
-    assert run() == {"2024-03-01": (1, 0), "2024-03-10": (2, 1), "2024-03-20": (1, 0)}
-    land(pages, "b3", [record("e", "2024-03-01"), record("f", "2024-03-15")])
-    assert run() == {"2024-03-01": (1, 0), "2024-03-10": (2, 1), "2024-03-15": (1, 0), "2024-03-20": (1, 0)}
+    at = {"ingested_at": "2024-06-02 00:00:00"}
+    land(pages, "b2", [record("c", "2024-03-20", **at), record("b", "2024-03-10", "Closed", closed_date="2024-03-11", **at)])
+    assert run() == {"2024-03-01": (1, 0), "2024-03-10": (1, 1), "2024-03-20": (1, 0)}
+    at = {"ingested_at": "2024-06-03 00:00:00"}
+    # A late record, and one that moves to another day and month.
+    land(pages, "b3", [record("e", "2024-03-01", **at), record("c", "2024-04-02", **at)])
+    assert run() == {"2024-03-01": (2, 0), "2024-03-10": (1, 1), "2024-04-02": (1, 0)}
 
 
 def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
@@ -88,4 +92,4 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     rows = spark.createDataFrame([("a", "2024-01-01", "x", 1), ("a", "2024-01-01", "y", 2)], "unique_key string, created_date string, status string, ingested_at int")
     for _ in range(2):
         upsert_table(rows, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).drop(MONTH).collect() == latest_wins(rows).collect()
+    assert spark.read.parquet(str(tmp_path / "t")).drop(MONTH, INSTANT).collect() == latest_wins(rows).collect()
