@@ -18,11 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from requestlens.llm.bitmap import mark
 from requestlens.llm.inputs import small_batches
 from requestlens.llm.packing import (
     BYTES_PER_WORD, bucket_count, bucket_slices, groups_of, packed, packed_ascending, text_bytes, unpacked, unpacked_ascending,
 )
 from requestlens.llm.words import mix, pieces
+from requestlens.session import store
 
 WINDOW = 13
 BLOCK_WINDOWS = 2_000_000
@@ -239,6 +241,11 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW, block_windows: int = B
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
-    gone = repeated_intervals(rows, length, block_windows).dropDuplicates(["doc_id", "key"])
-    joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["key"] == gone["key"]), "left")
-    return joined.select(rows["doc_id"], "text", "starts", "ends").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
+    gone = store(repeated_intervals(rows, length, block_windows).dropDuplicates(["doc_id", "key"]), "removed")
+    # Texts that lose nothing need not meet the intervals; all but a few of them are told by a bitmap, without a shuffle.
+    marked = mark(rows, F.col("key"), gone, F.col("key"))
+    touched, whole = marked.where("_marked").drop("_marked"), marked.where("NOT _marked").drop("_marked")
+    joined = touched.join(gone, touched["doc_id"].eqNullSafe(gone["doc_id"]) & (touched["key"] == gone["key"]), "left")
+    nothing = F.expr("cast(null as array<int>)")
+    cut = joined.select(touched["doc_id"], "text", "starts", "ends").unionAll(whole.select("doc_id", "text", nothing.alias("starts"), nothing.alias("ends")))
+    return cut.mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
