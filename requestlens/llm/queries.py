@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from requestlens.llm import decontamination, fingerprints, jaccard, languages, mixing, quality, secrets, sharding, substrings, toxicity
+from requestlens.llm import decontamination, expected, fingerprints, jaccard, languages, mixing, quality, secrets, sharding, substrings, toxicity
 from requestlens.llm.inputs import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,4 +67,8 @@ QUERIES: dict[str, Query] = {
     "op9_shard_documents": op9_shard_documents,
     "op10_link_documents": op10_link_documents,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_remove_repeats": expected.REPEATS,
+    "op6_find_secrets": expected.SECRETS,
+    "op10_link_documents": expected.LINKS,
+}
