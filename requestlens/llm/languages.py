@@ -258,15 +258,18 @@ def fit_languages(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     Learns only from documents whose crc32(doc_id as text) mod 3 is not 1, with a language, a text of at most
     ``SAMPLE_BYTES`` bytes and an id. Only the ``MOST_LANGUAGES`` most frequent languages are learned.
     """
-    drawn_by = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
+    drawn_by = Window.partitionBy("lang").orderBy("_share", "doc_id")
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_remainder(F.col("doc_id"), 3) != 1)
     )
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).select("lang")
-    drawn = usable.join(F.broadcast(common), "lang").where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "lang")
+    fit = usable.where(F.octet_length("text") <= SAMPLE_BYTES)
+    common = fit.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(MOST_LANGUAGES)
+    # Of a frequent language only the ids of small hashes are ranked, about four times as many as are drawn.
+    share = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = fit.join(F.broadcast(common), "lang").where(share * F.col("_n") < 4 * rows).select("doc_id", "lang", share.alias("_share"))
     drawn = drawn.withColumn("_place", F.row_number().over(drawn_by)).where(F.col("_place") <= rows).select("doc_id", "lang").distinct()
     # At most rows * MOST_LANGUAGES pairs of an id and a code.
-    sample = usable.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(drawn), ["doc_id", "lang"]).select("lang", "text").toArrow()
+    sample = fit.join(F.broadcast(drawn), ["doc_id", "lang"]).select("lang", "text").toArrow()
     codes = sample.column("lang").to_pylist()
     languages = sorted(set(codes))
     if not languages:
