@@ -45,54 +45,68 @@ def terms(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 @dataclass
 class Machine:
+    """A bias, and a weight and factors for each slot in use; ``place`` gives their row for a slot, or -1."""
+
     bias: float
+    place: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
 
     def score(self, slots: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        known = self.weights[slots] != 0
-        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[known]
-        slots = slots[known]
+        row = self.place[slots]
+        known = row >= 0
         n = len(bounds) - 1
-        linear = np.bincount(text, self.weights[slots], n)
-        pairs = np.zeros(n)
+        text = np.repeat(np.arange(n), np.diff(bounds))[known]
+        row = row[known]
+        raw = self.bias + np.bincount(text, self.weights[row], n)
         for column in self.factors.T:
-            v = column[slots]
-            pairs += np.bincount(text, v, n) ** 2 - np.bincount(text, v * v, n)
-        return 1 / (1 + np.exp(-np.clip(self.bias + linear + 0.5 * pairs, -40, 40)))
+            v = column[row]
+            raw += 0.5 * (np.bincount(text, v, n) ** 2 - np.bincount(text, v * v, n))
+        return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
+
+
+def choose_slots(chunks: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
+    """The slots whose shares of texts differ most between the classes, by z-score; those in fewer than four texts are left out."""
+    size, positives, n = 1 << SLOT_BITS, int(labels.sum()), len(labels)
+    having, toxic, at = np.zeros(size), np.zeros(size), 0
+    for slots, bounds in chunks:
+        mine = labels[at: at + len(bounds) - 1]
+        having += np.bincount(slots, minlength=size)
+        toxic += np.bincount(slots, np.repeat(mine, np.diff(bounds)), size)
+        at += len(mine)
+    share = (having + 1) / (n + 2)
+    gap = (toxic + 0.5) / (positives + 1) - (having - toxic + 0.5) / (n - positives + 1)
+    z = np.abs(gap) / np.sqrt(share * (1 - share) * (1 / positives + 1 / (n - positives)))
+    z[having < 4] = 0
+    best = np.argsort(-z, kind="stable")[:SLOTS_USED]
+    return best[z[best] > 0]
 
 
-def fit(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, seed: int = SEED, epochs: int = EPOCHS) -> Machine:
-    """Adagrad on the logistic loss, in small batches, over the slots that differ most between the classes.
+def fit(chunks: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = SEED, epochs: int = EPOCHS) -> Machine:
+    """Adagrad on the logistic loss, in small batches, over the chosen slots of chunks of texts; the classes weigh the same.
 
-    Slots in fewer than four sampled texts, and those beyond the first ``SLOTS_USED`` by the z-score of their shares of
-    texts, keep weight 0 and take no part; the classes weigh the same. Without both classes the machine has the share
-    of label 1 as its only, constant score.
+    Without both classes the machine has the share of label 1 as its only, constant score.
     """
     rng = np.random.default_rng(seed)
-    n, size = len(labels), 1 << SLOT_BITS
-    weights, factors = np.zeros(size), np.zeros((size, FACTORS))
-    positives = int(labels.sum())
+    n, positives = len(labels), int(labels.sum())
+    place = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
     if positives in (0, n):
         share = (positives + 0.5) / (n + 1)
-        return Machine(float(np.log(share / (1 - share))) if n else 0.0, weights, factors)
-    text = np.repeat(np.arange(n), np.diff(bounds))
-    having = np.bincount(slots, minlength=size)
-    toxic = np.bincount(slots, labels[text], size)
-    share = (having + 1) / (n + 2)
-    gap = (toxic + 0.5) / (positives + 1) - (having - toxic + 0.5) / (n - positives + 1)
-    z = np.abs(gap) / np.sqrt(share * (1 - share) * (1 / positives + 1 / (n - positives)))
-    z[having < 4] = 0
-    frequent = np.zeros(size, dtype=bool)
-    frequent[np.argsort(-z, kind="stable")[:SLOTS_USED]] = True
-    frequent &= z > 0
-    factors[frequent] = rng.normal(0, 0.01, (int(frequent.sum()), FACTORS))
-    kept = frequent[slots]
-    slots, text = slots[kept], text[kept]
+        return Machine(float(np.log(share / (1 - share))) if n else 0.0, place, np.empty(0), np.empty((0, FACTORS)))
+    chosen = choose_slots(chunks, labels)
+    place[chosen] = np.arange(len(chosen))
+    rows, texts, at = [], [], 0
+    for slots, bounds in chunks:
+        row = place[slots]
+        rows.append(row[row >= 0])
+        texts.append((np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) + at)[row >= 0])
+        at += len(bounds) - 1
+    slots, text = np.concatenate(rows), np.concatenate(texts)
     bounds = np.searchsorted(text, np.arange(n + 1))
+    weights, factors = np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), FACTORS))
     class_weight = np.where(labels == 1, n / (2 * positives), n / (2 * (n - positives)))
     bias, g_bias = 0.0, 1.0
-    g_weights, g_factors = np.full(size, 1.0), np.full((size, FACTORS), 1.0)
+    g_weights, g_factors = np.ones(len(chosen)), np.ones((len(chosen), FACTORS))
     rate, decay = 0.3, 1e-4
     for _ in range(epochs):
         order = rng.permutation(n)
@@ -118,19 +132,18 @@ def fit(slots: np.ndarray, bounds: np.ndarray, labels: np.ndarray, seed: int = S
             g = error.sum()
             g_bias += (g * 64) ** 2
             bias -= rate * g * 64 / np.sqrt(g_bias) / 8
-    return Machine(float(bias), weights.astype(np.float32), factors.astype(np.float32))
+    return Machine(float(bias), place, weights, factors)
+
+
+def fit_sample(sample: pa.Table) -> Machine:
+    """A machine fitted on a table of texts and labels."""
+    chunks = [(slots, bounds) for batch in sample.to_batches() for _, slots, bounds in terms(batch.column(0))]
+    return fit(chunks, sample.column(1).to_numpy().astype(np.int64))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Machine:
     """A machine fitted on at most ``rows`` labelled texts of at most ``SAMPLE_BYTES`` bytes."""
-    sample = labelled_texts(docs, labels, "toxic", learn, rows, SAMPLE_BYTES, SEED)
-    slots, counts = [np.empty(0, np.int32)], []
-    for batch in sample.to_batches():
-        for _, found, bounds in terms(batch.column(0)):
-            slots.append(found)
-            counts.extend(np.diff(bounds).tolist())
-    bounds = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int64)
-    return fit(np.concatenate(slots), bounds, np.asarray(sample.column(1).to_pylist(), dtype=np.int64))
+    return fit_sample(labelled_texts(docs, labels, "toxic", learn, rows, SAMPLE_BYTES, SEED))
 
 
 def toxicity(text: Column, machine: Machine) -> Column:

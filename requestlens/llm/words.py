@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 _SEPARATOR = np.zeros(256, dtype=bool)
