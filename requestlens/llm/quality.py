@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from requestlens.llm.inputs import id_remainder, small_batches
-from requestlens.llm.sampling import labelled_texts
+from requestlens.llm.sampling import fitted, labelled_texts
 from requestlens.llm.words import Words, pieces, sums_before
 
 PASSAGE_WORDS = 64
@@ -160,15 +160,19 @@ def bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield passages(words)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Bags:
-    """A network fitted on at most ``rows`` labelled texts of at most ``SAMPLE_BYTES`` bytes."""
-    sample = labelled_texts(docs, labels, "quality", learn, rows, SAMPLE_BYTES, SEED)
+def fit_sample(sample: pa.Table) -> Bags:
+    """A network fitted on a table of texts and labels."""
     features, counts = [np.empty((0, 16))], [np.empty(0, np.int64)]
     for batch in sample.to_batches():
         for found, first in bags(batch.column(0)):
             features.append(found)
             counts.append(np.diff(first))
-    return fit(np.concatenate(features), sums_before(np.concatenate(counts)), np.asarray(sample.column(1).to_pylist(), dtype=np.int64))
+    return fit(np.concatenate(features), sums_before(np.concatenate(counts)), sample.column(1).to_numpy().astype(np.int64))
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Bags:
+    """A network fitted on at most ``rows`` labelled texts of at most ``SAMPLE_BYTES`` bytes."""
+    return fitted(labelled_texts(docs, labels, "quality", learn, rows, SAMPLE_BYTES, SEED), fit_sample)
 
 
 def quality(text: Column, net: Bags) -> Column:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import TypeVar
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, most_bytes: int, seed: int) -> pa.Table:
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, most_bytes: int, seed: int) -> DataFrame:
     """(text, label) of at most ``rows`` labelled documents for which ``learn``, a condition on doc_id, holds.
 
     The sample follows a hash of the ids. Ids are drawn from the labels first, so at most ``rows`` of them meet the
@@ -30,5 +34,19 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", F.xxhash64("_text"))
         .limit(rows)
         .select("_text", "_label")
-        .toArrow()
     )
+
+
+Model = TypeVar("Model")
+_SAMPLE = pa.schema([("_text", pa.string()), ("_label", pa.int32())])
+
+
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], Model]) -> Model:
+    """The model that ``fit`` makes of a bounded sample, in one task; the driver receives the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches([b.cast(_SAMPLE) for b in batches], _SAMPLE)
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(fit(table))]})
+
+    rows = sample.coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(rows[0]["model"]) if rows else fit(_SAMPLE.empty_table())

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from requestlens.llm.inputs import id_remainder, small_batches
-from requestlens.llm.sampling import labelled_texts
+from requestlens.llm.sampling import fitted, labelled_texts
 from requestlens.llm.words import pieces
 
 SLOT_BITS = 18
@@ -143,7 +143,7 @@ def fit_sample(sample: pa.Table) -> Machine:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Machine:
     """A machine fitted on at most ``rows`` labelled texts of at most ``SAMPLE_BYTES`` bytes."""
-    return fit_sample(labelled_texts(docs, labels, "toxic", learn, rows, SAMPLE_BYTES, SEED))
+    return fitted(labelled_texts(docs, labels, "toxic", learn, rows, SAMPLE_BYTES, SEED), fit_sample)
 
 
 def toxicity(text: Column, machine: Machine) -> Column:
@@ -173,7 +173,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose score is below 0.5, with all their columns."""
+    """The documents whose score is below 0.5, with all their columns; all of them where the labels do not show both classes."""
     small_batches(docs.sparkSession)
     machine = fit_toxicity(docs, labels, id_remainder(F.col("doc_id"), 5) != 0)
-    return docs.where(toxicity(F.col("text"), machine) < 0.5)
+    return docs.where(toxicity(F.col("text"), machine) < 0.5) if len(machine.weights) else docs

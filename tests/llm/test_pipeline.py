@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in names if name.startswith("op")}
+    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in llm.QUERIES} and set(llm.QUERIES) <= names
     assert "pipeline" in names and set(llm.ORACLES) <= set(__spark_entry__.oracle_sql()) and "daily_agency_metrics" in names
 
 
