@@ -2,8 +2,8 @@
 
 The terms of a text are its distinct words without case and outer punctuation, and their first four and five bytes, hashed
 to a fixed number of slots. The score adds a weight per term and, for every pair of terms, the inner product of their
-factors, so two terms that matter only together can raise it. The model is fitted on a bounded sample of labelled texts
-and has a fixed size; scoring reads each text once, where it lies, without a shuffle.
+factors, so two terms that matter only together can raise it. The model is fitted on a bounded sample of labelled texts,
+holds every slot seen there and has a size bound by the number of slots; scoring reads each text once, where it lies, without a shuffle.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ FACTORS = 8
 SAMPLE_ROWS = 8_000
 SAMPLE_BYTES = 40_000
 EPOCHS = 12
-SLOTS_USED = 2048
 SEED = 7
+WEIGHT_RATE, FACTOR_RATE = 0.0375, 0.0125
+WEIGHT_PENALTY, FACTOR_PENALTY = 1.0, 100.0  # of a slot, over all its texts
+HALF_Z, SCALE_FLOOR, HALF_TEXTS = 4.0, 0.02, 100.0
 
 
 def terms(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -45,7 +47,7 @@ def terms(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 @dataclass
 class Machine:
-    """A bias, and a weight and factors for each slot in use; ``place`` gives their row for a slot, or -1."""
+    """A bias, and a weight and factors for each slot of the sample; ``place`` gives their row for a slot, or -1."""
 
     bias: float
     place: np.ndarray
@@ -58,81 +60,83 @@ class Machine:
         n = len(bounds) - 1
         text = np.repeat(np.arange(n), np.diff(bounds))[known]
         row = row[known]
-        raw = self.bias + np.bincount(text, self.weights[row], n)
+        alone = self.weights - 0.5 * (self.factors**2).sum(1)
+        raw = self.bias + np.bincount(text, alone[row], n)
         for column in self.factors.T:
-            v = column[row]
-            raw += 0.5 * (np.bincount(text, v, n) ** 2 - np.bincount(text, v * v, n))
+            raw += 0.5 * np.bincount(text, column[row], n) ** 2
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def choose_slots(chunks: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
-    """The slots whose shares of texts differ most between the classes, by z-score; those in fewer than four texts are left out."""
-    size, positives, n = 1 << SLOT_BITS, int(labels.sum()), len(labels)
-    having, toxic, at = np.zeros(size), np.zeros(size), 0
-    for slots, bounds in chunks:
-        mine = labels[at: at + len(bounds) - 1]
-        having += np.bincount(slots, minlength=size)
-        toxic += np.bincount(slots, np.repeat(mine, np.diff(bounds)), size)
-        at += len(mine)
-    share = (having + 1) / (n + 2)
-    gap = (toxic + 0.5) / (positives + 1) - (having - toxic + 0.5) / (n - positives + 1)
-    z = np.abs(gap) / np.sqrt(share * (1 - share) * (1 / positives + 1 / (n - positives)))
-    z[having < 4] = 0
-    best = np.argsort(-z, kind="stable")[:SLOTS_USED]
-    return best[z[best] > 0]
+def scales(having: np.ndarray, toxic: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far the weight and the factors of slots may move, from the numbers of texts, and of toxic ones, that have them.
+
+    Weights follow the z-score of the toxic share and stay above a floor. Factors follow the number of texts alone, since terms
+    that matter only together need not differ alone.
+    """
+    n, share = len(labels), labels.mean()
+    z2 = (toxic - having * share) ** 2 / ((having + 1) * share * (1 - share) * (1 - having / (n + 1)))
+    return np.maximum(SCALE_FLOOR, z2 / (z2 + HALF_Z**2)), having / (having + HALF_TEXTS)
 
 
 def fit(chunks: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = SEED, epochs: int = EPOCHS) -> Machine:
-    """Adagrad on the logistic loss, in small batches, over the chosen slots of chunks of texts; the classes weigh the same.
+    """Adagrad on the logistic loss, in small batches, over all slots of chunks of texts; the classes weigh the same.
 
-    Without both classes the machine has the share of label 1 as its only, constant score.
+    Rare slots and those without evidence are shrunk: by their scales, and by a penalty fixed per slot, thus larger for each text
+    of a rare one. Without both classes the machine has the share of label 1 as its only, constant score.
     """
     rng = np.random.default_rng(seed)
     n, positives = len(labels), int(labels.sum())
-    place = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+    size = 1 << SLOT_BITS
+    place = np.full(size, -1, dtype=np.int32)
     if positives in (0, n):
         share = (positives + 0.5) / (n + 1)
         return Machine(float(np.log(share / (1 - share))) if n else 0.0, place, np.empty(0), np.empty((0, FACTORS)))
-    chosen = choose_slots(chunks, labels)
-    place[chosen] = np.arange(len(chosen))
-    rows, texts, at = [], [], 0
+    having, toxic, at = np.zeros(size), np.zeros(size), 0
     for slots, bounds in chunks:
-        row = place[slots]
-        rows.append(row[row >= 0])
-        texts.append((np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) + at)[row >= 0])
+        having += np.bincount(slots, minlength=size)
+        toxic += np.bincount(slots, np.repeat(labels[at: at + len(bounds) - 1], np.diff(bounds)), size)
         at += len(bounds) - 1
-    slots, text = np.concatenate(rows), np.concatenate(texts)
-    bounds = np.searchsorted(text, np.arange(n + 1))
-    weights, factors = np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), FACTORS))
+    seen = np.flatnonzero(having)
+    place[seen] = np.arange(len(seen))
+    having = having[seen]
+    weight_scale, factor_scale = scales(having, toxic[seen], labels)
+    texts = [slots[a:b] for slots, bounds in chunks for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    # Weights and factors before they are scaled.
+    weights, factors = np.zeros(len(seen)), rng.normal(0, 0.05, (FACTORS, len(seen)))
     class_weight = np.where(labels == 1, n / (2 * positives), n / (2 * (n - positives)))
     bias, g_bias = 0.0, 1.0
-    g_weights, g_factors = np.ones(len(chosen)), np.ones((len(chosen), FACTORS))
-    rate, decay = 0.3, 1e-4
+    g_weights, g_factors = np.ones(len(seen)), np.ones((FACTORS, len(seen)))
+    number = np.empty(len(seen), dtype=np.int64)
     for _ in range(epochs):
-        order = rng.permutation(n)
-        for batch in np.array_split(order, max(1, n // 64)):
-            lengths = bounds[batch + 1] - bounds[batch]
-            row = np.repeat(np.arange(len(batch)), lengths)
-            s = slots[np.repeat(bounds[batch] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())]
-            v = factors[s]
-            total = np.zeros((len(batch), FACTORS))
-            np.add.at(total, row, v)
-            square = np.bincount(row, (v * v).sum(1), len(batch))
-            raw = bias + np.bincount(row, weights[s], len(batch)) + 0.5 * ((total**2).sum(1) - square)
-            error = (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - labels[batch]) * class_weight[batch] / len(batch)
-            used, where = np.unique(s, return_inverse=True)
-            step = np.bincount(where, error[row], len(used)) + decay * weights[used]
-            g_weights[used] += (step * 64) ** 2
-            weights[used] -= rate * step * 64 / np.sqrt(g_weights[used]) / 8
-            move = np.zeros((len(used), FACTORS))
-            np.add.at(move, where, error[row][:, None] * (total[row] - v))
-            move += decay * factors[used]
-            g_factors[used] += (move * 64) ** 2
-            factors[used] -= 0.05 * move * 64 / np.sqrt(g_factors[used]) / 8
+        for batch in np.array_split(rng.permutation(n), max(1, n // 64)):
+            m = len(batch)
+            slots = place[np.concatenate([texts[i] for i in batch])]
+            row = np.repeat(np.arange(m), [len(texts[i]) for i in batch])
+            texts_with = np.bincount(slots, minlength=len(seen))
+            used = np.flatnonzero(texts_with)
+            number[used] = np.arange(len(used))
+            where = number[slots]
+            part = texts_with[used] / having[used]
+            a, b = weight_scale[used], factor_scale[used]
+            held = factors[:, used]
+            v = held * b
+            total = np.stack([np.bincount(row, column[where], m) for column in v])
+            alone = weights[used] * a - 0.5 * (v * v).sum(0)
+            raw = bias + np.bincount(row, alone[where], m) + 0.5 * (total**2).sum(0)
+            error = (1 / (1 + np.exp(-np.clip(raw, -40, 40))) - labels[batch]) * class_weight[batch]
+            pull = np.bincount(where, error[row], len(used))
+            step = pull * a + WEIGHT_PENALTY * part * weights[used]
+            g_weights[used] += step**2
+            weights[used] -= WEIGHT_RATE * step / np.sqrt(g_weights[used])
+            move = np.stack([np.bincount(where, column[row], len(used)) for column in error * total]) - pull * v
+            move = move * b + FACTOR_PENALTY * part * held
+            past = g_factors[:, used] + move**2
+            g_factors[:, used] = past
+            factors[:, used] = held - FACTOR_RATE * move / np.sqrt(past)
             g = error.sum()
-            g_bias += (g * 64) ** 2
-            bias -= rate * g * 64 / np.sqrt(g_bias) / 8
-    return Machine(float(bias), place, weights, factors)
+            g_bias += g**2
+            bias -= WEIGHT_RATE * g / np.sqrt(g_bias)
+    return Machine(float(bias), place, (weights * weight_scale).astype(np.float32), (factors * factor_scale).T.astype(np.float32))
 
 
 def fit_sample(sample: pa.Table) -> Machine:

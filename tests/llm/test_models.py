@@ -64,6 +64,30 @@ def test_pairs_of_terms_matter_only_together(spark):
     assert ((np.array([r.score for r in got]) >= 0.5) == truth).mean() > 0.97
 
 
+def test_pairs_without_a_difference_term_by_term(spark):
+    """Among thousands of terms, two whose shares are equal in both classes: one of them alone is toxic, both or none are not."""
+    rng = random.Random(3)
+    filler = [f"{rng.randrange(16**6):06x}" for _ in range(5000)]
+    rows, marks = [], []
+    for i in range(4000):
+        one, other = rng.random() < 0.5, rng.random() < 0.5
+        text = rng.sample(filler, 12) + ["insultium"] * one + ["groupish"] * other
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        marks.append((i, 0, int(one != other), ""))
+    got = toxicity.score_toxicity(documents(spark, rows), labels(spark, marks)).where("held_out").collect()
+    truth = np.array([marks[r.doc_id][2] for r in got])
+    assert ((np.array([r.score for r in got]) >= 0.5) == truth).mean() > 0.97
+
+
+def test_every_slot_of_the_sample_is_in_use():
+    texts = [f"common{i % 3} rare{i} " + ("insult" if i % 2 else "praise") for i in range(3000)]
+    chunks = [(slots, bounds) for _, slots, bounds in toxicity.terms(pa.array(texts))]
+    machine = toxicity.fit(chunks, np.arange(3000) % 2, epochs=1)
+    slots = np.unique(np.concatenate([s for s, _ in chunks]))
+    assert len(slots) > 2048 and (machine.place[slots] >= 0).all() and len(machine.weights) == len(slots)
+
+
 def test_attention_finds_one_bad_passage(spark):
     clean, bad = "Some plain words follow each other here. " * 60, "BUY!! $$$ NOW!! ### " * 16
     rows = [(i, clean[: 400 + 37 * (i % 40)] + (bad if i % 2 else "") + clean[: 300 + 53 * (i % 30)]) for i in range(300)]
