@@ -7,8 +7,10 @@ text's language is the one whose spans hold most letters. Model size and work pe
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,20 +29,43 @@ CLIP = 4.0
 PENALTY = 12.0
 SEED = 13
 
-# First bytes of UTF-8 letters by script range; a word belongs to the script of most of its letters.
-SCRIPTS = ["latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "thai", "kana_han", "hangul", "other"]
-_SCRIPT = np.full(256, -1, dtype=np.int8)
-_SCRIPT[ord("A"):ord("Z") + 1] = _SCRIPT[ord("a"):ord("z") + 1] = 0
-_SCRIPT[0xC3:0xCA] = 0
-_SCRIPT[0xCD:0xD0] = 1
-_SCRIPT[0xD0:0xD4] = 2
-_SCRIPT[0xD6:0xD8] = 3
-_SCRIPT[0xD8:0xDC] = 4
-_SCRIPT[0xE0] = 5
-_SCRIPT[0xE1] = 9
-_SCRIPT[0xE3:0xEA] = 7
-_SCRIPT[0xEA:0xEE] = 8
-_SCRIPT[0xF0:0xF5] = 9
+# Scripts by the words of Unicode names; a word belongs to the script of most of its letters. Letters of all others are "other".
+_NAMED = {
+    "LATIN": "latin", "FEMININE": "latin", "MASCULINE": "latin", "MICRO": "latin", "CJK": "kana_han", "IDEOGRAPHIC": "kana_han", "HIRAGANA": "kana_han",
+    "KATAKANA": "kana_han", "KATAKANA-HIRAGANA": "kana_han",
+} | {
+    name: name.lower() for name in (
+        "GREEK", "CYRILLIC", "HEBREW", "ARABIC", "ARMENIAN", "GEORGIAN", "SYRIAC", "THAANA", "NKO", "TIFINAGH", "ETHIOPIC", "DEVANAGARI", "BENGALI", "GURMUKHI",
+        "GUJARATI", "ORIYA", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM", "SINHALA", "THAI", "LAO", "TIBETAN", "MYANMAR", "KHMER", "HANGUL",
+    )
+}
+SCRIPTS = [*dict.fromkeys(_NAMED.values()), "other"]
+
+
+@cache
+def script_table() -> np.ndarray:
+    """The script of each code point that is a letter, -1 for all others."""
+    table = np.full(0x110000, -1, dtype=np.int8)
+    for point in range(0x110000):
+        c = chr(point)
+        if c.isalpha():
+            table[point] = SCRIPTS.index(next((_NAMED[w] for w in unicodedata.name(c, "").split() if w in _NAMED), "other"))
+    return table
+
+
+def letter_scripts(data: np.ndarray) -> np.ndarray:
+    """The script of the letter that begins at each UTF-8 byte, -1 where none does."""
+    table = script_table()
+    out = np.where(data < 0x80, table[data], np.int8(-1))
+    lead = np.flatnonzero(data >= 0xC0)
+    first = data[lead].astype(np.int32)
+    more = [data[np.minimum(lead + k, len(data) - 1)].astype(np.int32) & 0x3F for k in (1, 2, 3)]
+    two = (first & 0x1F) << 6 | more[0]
+    three = (first & 0x0F) << 12 | more[0] << 6 | more[1]
+    four = (first & 0x07) << 18 | more[0] << 12 | more[1] << 6 | more[2]
+    point = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+    out[lead] = table[np.minimum(point, 0x10FFFF)]
+    return out
 
 
 def distinct_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,17 +92,18 @@ def features(words: Words, start: np.ndarray, end: np.ndarray, hashed: np.ndarra
     shift = np.uint64(64 - SLOT_BITS)
     trigrams = mix(before << np.uint64(16) | low[at] << np.uint64(8) | after) >> shift
     whole = hashed >> shift
-    script = _SCRIPT[words.data]
-    letters = np.zeros((n, len(SCRIPTS)), dtype=np.int32)
-    for k in range(len(SCRIPTS)):
-        held = script == k
-        if held.any():
-            before_k = sums_before(held.astype(np.int32))
-            letters[:, k] = before_k[end] - before_k[start]
+    script = letter_scripts(words.data)
+    present = np.flatnonzero(np.bincount(script + 1, minlength=len(SCRIPTS) + 1)[1:])
+    if len(present) == 0:
+        present = np.array([0])
+    letters = np.zeros((n, len(present)), dtype=np.int32)
+    for i, k in enumerate(present):
+        before_k = sums_before((script == k).astype(np.int32))
+        letters[:, i] = before_k[end] - before_k[start]
     count = letters.sum(1)
     return (
         np.concatenate([trigrams, whole]).astype(np.int32), np.concatenate([word, np.arange(n)]),
-        np.where(count > 0, letters.argmax(1), -1), count,
+        np.where(count > 0, present[letters.argmax(1)], -1), count,
     )
 
 
@@ -218,7 +244,7 @@ def label_texts(model: Model, texts: pa.Array) -> pa.Array:
     """Struct of language, score and spans for each text."""
     langs, scores, bounds, span_lang, span_from, span_to = [], [], [0], [], [], []
     names = np.array(model.languages, dtype=object)
-    for row, emission, letters, first in emitted(model, texts):
+    for _, emission, letters, first in emitted(model, texts):
         n, count = len(first) - 1, len(names)
         path = decode(emission, first)
         text = np.repeat(np.arange(n), np.diff(first))
@@ -238,8 +264,7 @@ def label_texts(model: Model, texts: pa.Array) -> pa.Array:
         span_to.append(ends - first[text[at]])
         per_text = np.bincount(text[at], minlength=n)
         for i in range(n):
-            # Bytes that may be letters are counted by range; where there are hardly any, characters decide.
-            if total[i] < 3 and not any(c.isalpha() for c in texts[row + i].as_py() or ""):
+            if total[i] == 0:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
             else:

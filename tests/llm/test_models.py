@@ -128,6 +128,26 @@ def test_spans_of_mixed_text():
     assert got[1]["lang_pred"] == "ru" and [r["lang_pred"] for r in got[2:]] == ["und"] * 3
 
 
+def letters_of(text):
+    (_, words), = pieces(pa.array([text]))
+    return int(languages.features(words, *languages.distinct_words(words)[:3])[3].sum())
+
+
+def test_letters_by_code_point():
+    marks = ["😀😀😀", "。。。", "×××"]
+    assert [letters_of(t) for t in (*marks, "ދިވެހި", "ҳայոց", "ⵜⴰⵎⴰ", "a1é")] == [0, 0, 0, 3, 5, 4, 2]
+    assert {r["lang_pred"] for r in languages.label_texts(small_model(), pa.array(marks)).to_pylist()} == {"und"}
+
+
+def test_words_of_any_script_score():
+    """Languages of scripts outside the common ranges, none of them the first by name."""
+    texts = {"aa": "the house and time", "dv": "ދިވެހި ރާއްޖެ ބަހުން", "hy": "հայոց լեզու տուն", "nqo": "ߒߞߏ ߞߊ߲ ߛߓߍ", "syr": "ܠܫܢܐ ܣܘܪܝܝܐ", "th": "ภาษาไทย บ้าน", "zgh": "ⵜⴰⵎⴰⵣⵉⵖⵜ ⴰⵡⴰⵍ", "chr": "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ"}
+    codes = sorted(texts)
+    model = languages.learn(codes, iter([(pa.array([texts[c] for c in codes]), np.arange(len(codes)))]))
+    got = languages.label_texts(model, pa.array([texts[c].split()[0] for c in codes])).to_pylist()
+    assert [r["lang_pred"] for r in got] == codes
+
+
 def test_decoding_is_exact():
     """Against the plain recursion over all words."""
     rng = np.random.default_rng(5)
