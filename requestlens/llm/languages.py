@@ -25,6 +25,7 @@ SLOT_BITS = 16
 SAMPLE_ROWS = 2_000  # of each language
 SAMPLE_BYTES = 40_000
 MOST_LANGUAGES = 200
+MOST_HELD = 100
 CLIP = 4.0
 PENALTY = 12.0
 SEED = 13
@@ -132,22 +133,51 @@ class Model:
         return out[number], letters[number]
 
 
-def learn(languages: list[str], texts: Iterator[tuple[pa.Array, np.ndarray]]) -> Model:
-    """Naive Bayes shares with half a count added per slot; a language has the scripts of at least a hundredth of its letters."""
-    counts = np.full((1 << SLOT_BITS, len(languages)), 0.5)
-    scripts = np.zeros((len(SCRIPTS), len(languages)))
+def count_slots(texts: Iterator[tuple[pa.Array, np.ndarray]], most: int = MOST_HELD) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(language, slot, count) of texts and their languages by number; the letters of script k count at slot 2**SLOT_BITS + k.
+
+    Counts of at most about ``most`` languages are held; the counts of one language may come in several parts.
+    """
+    size = (1 << SLOT_BITS) + len(SCRIPTS)
+    held: dict[int, np.ndarray] = {}
+
+    def parts() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for code, counts in held.items():
+            at = np.flatnonzero(counts)
+            yield np.full(len(at), code), at, counts[at]
+        held.clear()
+
     for column, label in texts:
         for row, words in pieces(column):
             start, end, hashed, number = distinct_words(words)
             slots, word, script, letters = features(words, start, end, hashed)
-            held = np.zeros((len(start), len(languages)))
-            np.add.at(held, (number, label[row + words.text_of()]), 1)
+            mine = label[row + words.text_of()]
             known = script >= 0
-            for k in range(len(languages)):
-                counts[:, k] += np.bincount(slots, held[word, k], len(counts))
-                scripts[:, k] += np.bincount(script[known], (held[:, k] * letters)[known], len(SCRIPTS))
-    scores = np.log(counts / counts.sum(0))
-    return Model(languages, scores.astype(np.float32), scripts >= 0.01 * np.maximum(1, scripts.sum(0)))
+            for code in np.unique(mine).tolist():
+                times = np.bincount(number[mine == code], minlength=len(start))
+                if code not in held and len(held) >= most:
+                    yield from parts()
+                counts = held.setdefault(code, np.zeros(size, dtype=np.int64))
+                counts[: 1 << SLOT_BITS] += np.bincount(slots, times[word], 1 << SLOT_BITS).astype(np.int64)
+                counts[1 << SLOT_BITS:] += np.bincount(script[known], (times * letters)[known], len(SCRIPTS)).astype(np.int64)
+    yield from parts()
+
+
+def model_of(languages: list[str], parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
+    """Naive Bayes shares with half a count added per slot; a language has the scripts of at least a hundredth of its letters."""
+    size = 1 << SLOT_BITS
+    scores = np.full((size, len(languages)), 0.5, dtype=np.float32)
+    scripts = np.zeros((len(SCRIPTS), len(languages)))
+    for code, slot, count in parts:
+        is_script = slot >= size
+        np.add.at(scripts, (slot[is_script] - size, code[is_script]), count[is_script])
+        np.add.at(scores, (slot[~is_script], code[~is_script]), count[~is_script])
+    scores /= scores.sum(0, dtype=np.float64)
+    return Model(languages, np.log(scores), scripts >= 0.01 * np.maximum(1, scripts.sum(0)))
+
+
+def learn(languages: list[str], texts: Iterator[tuple[pa.Array, np.ndarray]]) -> Model:
+    return model_of(languages, count_slots(texts))
 
 
 def decode(emission: np.ndarray, first: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
@@ -293,22 +323,21 @@ def fit_languages(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     share = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     drawn = fit.join(F.broadcast(common), "lang").where(share * F.col("_n") < 4 * rows).select("doc_id", "lang", share.alias("_share"))
     drawn = drawn.withColumn("_place", F.row_number().over(drawn_by)).where(F.col("_place") <= rows).select("doc_id", "lang").distinct()
-    # At most rows * MOST_LANGUAGES pairs of an id and a code.
-    sample = fit.join(F.broadcast(drawn), ["doc_id", "lang"]).select("lang", "text").toArrow()
-    codes = sample.column("lang").to_pylist()
-    languages = sorted(set(codes))
+    # One text of each drawn id and language, so repeated rows add nothing.
+    sample = fit.join(F.broadcast(drawn), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    languages = sorted(r["lang"] for r in drawn.select("lang").distinct().collect())
     if not languages:
         return None
     number = {code: i for i, code in enumerate(languages)}
-    labels = np.array([number[code] for code in codes])
 
-    def batches() -> Iterator[tuple[pa.Array, np.ndarray]]:
-        at = 0
-        for batch in sample.to_batches():
-            yield batch.column("text"), labels[at: at + batch.num_rows]
-            at += batch.num_rows
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = ((b.column("text"), np.array([number[code] for code in b.column("lang").to_pylist()], dtype=np.int64)) for b in batches if b.num_rows)
+        for code, slot, count in count_slots(texts):
+            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int32()), pa.array(slot, pa.int32()), pa.array(count, pa.int64())], ["code", "slot", "n"])
 
-    return learn(languages, batches())
+    # Texts are counted in tasks; the driver receives the summed counts, which are as many as the model has at most.
+    counts = sample.select("lang", "text").mapInArrow(counted, "code int, slot int, n long").groupBy("code", "slot").agg(F.sum("n").alias("n")).toArrow()
+    return model_of(languages, ((b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in counts.to_batches()))
 
 
 def identify_languages(docs: DataFrame) -> DataFrame:

@@ -112,6 +112,19 @@ def test_languages_of_awkward_rows(spark):
     assert {r.lang_pred for r in languages.identify_languages(unlabelled).collect()} == {"und"}
 
 
+def test_language_sample_stays_in_tasks(spark, monkeypatch):
+    """A repeated row counts once, and the driver receives counts without texts."""
+    rows = [(1, "der hund und das haus", "de")] * 50 + [(7, "the dog and the house", "en")]
+    fetched = []
+    frame = type(spark.range(0))
+    to_arrow = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda self: fetched.append(self.columns) or to_arrow(self))
+    model = languages.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4))
+    once = languages.learn(["de", "en"], iter([(pa.array([rows[0][1], rows[-1][1]]), np.arange(2))]))
+    assert np.allclose(model.scores, once.scores) and (model.scripts == once.scripts).all()
+    assert all("text" not in columns for columns in fetched)
+
+
 def small_model():
     texts = {"de": "der die das und nicht ein eine über schön haus zeit", "en": "the and not a house time over with nice this that", "ru": "дом время это что хорошо не"}
     codes = sorted(texts)
