@@ -8,6 +8,7 @@ text's language is the one whose spans hold most letters. Model size and work pe
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -18,13 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from requestlens.llm.inputs import id_remainder, small_batches
-from requestlens.llm.words import Words, mix, pieces, sums_before
+from requestlens.llm.words import Words, mix, pieces, split, sums_before
 
 UNKNOWN = "und"
 SLOT_BITS = 16
 SAMPLE_ROWS = 2_000  # of each language
-SAMPLE_BYTES = 40_000
-MOST_LANGUAGES = 200
+SAMPLE_BYTES = 40_000  # of each text
+PASSAGE_BYTES = 4_000
 MOST_HELD = 100
 CLIP = 4.0
 PENALTY = 12.0
@@ -307,27 +308,61 @@ def label_texts(model: Model, texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()), spans], ["lang_pred", "score", "spans"])
 
 
+def passages_of(text: str, most: int = SAMPLE_BYTES) -> str:
+    """The text, or whole word passages of at most ``most`` bytes in all, chosen by a hash and in their order.
+
+    Words that begin in the same ``PASSAGE_BYTES`` bytes are a passage. Where no passage is short enough, the first chosen one is cut.
+    """
+    raw = text.encode()
+    if len(raw) <= most:
+        return text
+    data = np.frombuffer(raw, np.uint8)
+    words = split(data, np.array([0, len(data)]))
+    if len(words.start) == 0:
+        return ""
+    block = words.start // PASSAGE_BYTES
+    at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    start, end = words.start[at], words.end[np.append(at[1:], len(block)) - 1]
+    order = np.argsort(mix(block[at].astype(np.uint64) + np.uint64(zlib.crc32(raw[:PASSAGE_BYTES])) + np.uint64(1)), kind="stable")
+    taken, left = [], most
+    for i in order.tolist():
+        size = int(end[i] - start[i]) + 1
+        if size <= left:
+            taken.append(i)
+            left -= size
+    if not taken:
+        return raw[start[order[0]]: start[order[0]] + most].decode(errors="ignore")
+    return " ".join(raw[start[i]: end[i]].decode() for i in sorted(taken))
+
+
 def fit_languages(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     """A model from at most ``rows`` texts of each language, drawn by a hash of the ids; None where no text can be learned from.
 
-    Learns only from documents whose crc32(doc_id as text) mod 3 is not 1, with a language, a text of at most
-    ``SAMPLE_BYTES`` bytes and an id. Only the ``MOST_LANGUAGES`` most frequent languages are learned.
+    Learns only from documents whose crc32(doc_id as text) mod 3 is not 1, with a language, a text and an id, and learns
+    every language of such a document. Of a text above ``SAMPLE_BYTES`` bytes it learns from passages.
     """
     drawn_by = Window.partitionBy("lang").orderBy("_share", "doc_id")
-    usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(
+    fit = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_remainder(F.col("doc_id"), 3) != 1)
     )
-    fit = usable.where(F.octet_length("text") <= SAMPLE_BYTES)
-    common = fit.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(MOST_LANGUAGES)
+    sizes = [(r["lang"], r["_n"]) for r in fit.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("_n")).collect()]
+    languages = sorted(lang for lang, _ in sizes)
+    if not languages:
+        return None
     # Of a frequent language only the ids of small hashes are ranked, about four times as many as are drawn.
     share = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    drawn = fit.join(F.broadcast(common), "lang").where(share * F.col("_n") < 4 * rows).select("doc_id", "lang", share.alias("_share"))
-    drawn = drawn.withColumn("_place", F.row_number().over(drawn_by)).where(F.col("_place") <= rows).select("doc_id", "lang").distinct()
+    sized = docs.sparkSession.createDataFrame(sizes, "lang string, _n long")
+    drawn = fit.join(F.broadcast(sized), "lang").where(share * F.col("_n") < 4 * rows).select("doc_id", "lang", share.alias("_share")).distinct()
+    drawn = drawn.withColumn("_place", F.row_number().over(drawn_by)).where(F.col("_place") <= rows).select("doc_id", "lang")
+
+    @F.arrow_udf("string")
+    def passages(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([passages_of(t) for t in texts.to_pylist()], pa.string())
+
     # One text of each drawn id and language, so repeated rows add nothing.
-    sample = fit.join(F.broadcast(drawn), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
-    languages = sorted(r["lang"] for r in drawn.select("lang").distinct().collect())
-    if not languages:
-        return None
+    chosen = fit.join(F.broadcast(drawn), ["doc_id", "lang"]).select("doc_id", "lang", passages(F.col("text")).alias("text"))
+    sample = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     number = {code: i for i, code in enumerate(languages)}
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

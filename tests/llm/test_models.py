@@ -125,6 +125,24 @@ def test_language_sample_stays_in_tasks(spark, monkeypatch):
     assert all("text" not in columns for columns in fetched)
 
 
+def test_every_language_is_learned(spark):
+    """More than 200 languages, one with long texts only."""
+    rows = [(i, " ".join(f"{c}{i % 230:03d}{c}" for c in "abcdefgh"), f"l{i % 230:03d}") for i in range(2300)]
+    rows += [(i, " ".join(f"wort{j % 700}lang" for j in range(8_000)), "zz") for i in range(5000, 5004)]
+    model = languages.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    assert model.languages == [f"l{k:03d}" for k in range(230)] + ["zz"]
+    got = languages.label_texts(model, pa.array(["wort5lang wort6lang wort7lang"])).to_pylist()
+    assert got[0]["lang_pred"] == "zz"
+
+
+def test_passages_of_long_texts():
+    text = " ".join(f"wörter{i}" for i in range(30_000))
+    kept = languages.passages_of(text)
+    assert 30_000 < len(kept.encode()) <= languages.SAMPLE_BYTES and set(kept.split()) <= set(text.split())
+    assert languages.passages_of("short é") == "short é" and languages.passages_of(" " * 50_000) == ""
+    assert languages.passages_of("語" * 50_000) == "語" * (languages.SAMPLE_BYTES // 3)
+
+
 def small_model():
     texts = {"de": "der die das und nicht ein eine über schön haus zeit", "en": "the and not a house time over with nice this that", "ru": "дом время это что хорошо не"}
     codes = sorted(texts)
