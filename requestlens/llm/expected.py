@@ -78,3 +78,54 @@ spans AS (
 SELECT t.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
   sha256(coalesce({_LISTED} FILTER (WHERE kind < 3), '')) AS base_sha256, coalesce({_LISTED}, '') AS spans, count(*) FILTER (WHERE kind >= 3) AS n_weak
 FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id"""
+
+
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    nearest = """a{n} AS MATERIALIZED (
+  SELECT vec, p, min([CAST(list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), e]) AS best
+  FROM points JOIN c{n} USING (p) GROUP BY vec, p
+)"""
+    moved = """c{next} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.y, c.y) AS y FROM c{n} c LEFT JOIN (
+    SELECT p, e, list(v ORDER BY i) AS y FROM (
+      SELECT p, e, i, CAST((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v FROM (
+        SELECT p, best[2] AS e, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{n} JOIN points USING (vec, p)
+      ) GROUP BY p, e, i
+    ) GROUP BY p, e
+  ) m ON m.p = c.p AND m.e = c.e
+)"""
+    steps = ",\n".join(nearest.format(n=n) + ",\n" + moved.format(n=n, next=n + 1) for n in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS vec, vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+points AS MATERIALIZED (
+  SELECT vec, vec_id, CAST(p AS BIGINT) AS p, x[p * len(x) // {parts} + 1: (p + 1) * len(x) // {parts}] AS x FROM kept, range({parts}) AS r(p)
+),
+c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, min(x) AS y
+  FROM points WHERE vec_id IN (SELECT DISTINCT vec_id FROM kept WHERE vec_id IS NOT NULL ORDER BY vec_id LIMIT {entries}) GROUP BY p, vec_id
+),
+{steps},
+{nearest.format(n=rounds)},
+coded AS (
+  SELECT vec, string_agg(lpad(lower(to_hex(best[2])), 2, '0'), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a{rounds} GROUP BY vec
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) FROM c{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec)"""
+
+
+CODES = _codes()
+
+NEAREST = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.x, c.x) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  )
+) WHERE rank <= 5"""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from requestlens.llm import decontamination, expected, fingerprints, jaccard, languages, mixing, quality, secrets, sharding, substrings, toxicity
+from requestlens.llm import (
+    decontamination, expected, fingerprints, jaccard, languages, mixing, neighbours, quality, secrets, sharding, substrings, toxicity,
+    vector_codes,
+)
 from requestlens.llm.inputs import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +58,16 @@ def op10_link_documents(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_documents(given(spark, folder, "documents"))
 
 
+def op12_compress_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    codes, codebooks = vector_codes.encode_vectors(given(spark, folder, "embeddings"))
+    digest = F.lit(vector_codes.digest(codebooks))
+    return vector_codes.with_label_error(codes).select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op13_find_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_neighbours(given(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Query] = {
     "op1_score_toxicity": op1_score_toxicity,
     "op2_mix_sources": op2_mix_sources,
@@ -66,9 +79,13 @@ QUERIES: dict[str, Query] = {
     "op8_score_quality": op8_score_quality,
     "op9_shard_documents": op9_shard_documents,
     "op10_link_documents": op10_link_documents,
+    "op12_compress_vectors": op12_compress_vectors,
+    "op13_find_neighbours": op13_find_neighbours,
 }
 ORACLES: dict[str, str] = {
     "op4_remove_repeats": expected.REPEATS,
     "op6_find_secrets": expected.SECRETS,
     "op10_link_documents": expected.LINKS,
+    "op12_compress_vectors": expected.CODES,
+    "op13_find_neighbours": expected.NEAREST,
 }
