@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from requestlens.llm import (
-    decontamination, expected, fingerprints, jaccard, languages, mixing, neighbours, quality, secrets, sharding, substrings, toxicity,
+    alignment, decontamination, expected, fingerprints, jaccard, languages, mixing, neighbours, quality, secrets, sharding, substrings, toxicity,
     vector_codes,
 )
 from requestlens.llm.inputs import given
@@ -58,6 +58,10 @@ def op10_link_documents(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_documents(given(spark, folder, "documents"))
 
 
+def op11_align_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(given(spark, folder, "documents"))
+
+
 def op12_compress_vectors(spark: SparkSession, folder: str) -> DataFrame:
     codes, codebooks = vector_codes.encode_vectors(given(spark, folder, "embeddings"))
     digest = F.lit(vector_codes.digest(codebooks))
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_score_quality": op8_score_quality,
     "op9_shard_documents": op9_shard_documents,
     "op10_link_documents": op10_link_documents,
+    "op11_align_tokens": op11_align_tokens,
     "op12_compress_vectors": op12_compress_vectors,
     "op13_find_neighbours": op13_find_neighbours,
 }
