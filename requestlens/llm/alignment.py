@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from requestlens.llm.cover_trees import spread
 from requestlens.llm.inputs import small_batches
-from requestlens.llm.tokens import Segments, Tokenizers
+from requestlens.llm.tokens import Segments, Tokenizers, distinct
 from requestlens.session import fresh_path
 
 TOKENIZERS = "/opt/tokenizers"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Segments kept in a task from block to block, and the characters of them.
-HELD, HELD_CHARS = 200_000, 16 << 20
+HELD, HELD_CHARS = 500_000, 48 << 20
 _BLOCK = (
     "doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
     "groups_sha256 array<string>, segments binary, segment_first binary, links binary, link_first binary, pair array<bigint>, docs array<int>"
@@ -74,10 +74,10 @@ class _Documents:
         pair, links = np.unique(known.pairs[spread(known.first[used], many)], return_inverse=True)
         link_first = np.concatenate([[0], np.cumsum(many)])
         # Each document counts once for a pair, however often its segments have it.
-        once = np.unique((document << 32) | local)
+        once = distinct((document << 32) | local)
         mine = once & 0xFFFFFFFF
         entries = np.repeat(once >> 32, many[mine]) * len(pair) + links[spread(link_first[mine], many[mine])]
-        docs = np.bincount(np.unique(entries) % max(1, len(pair)), minlength=len(pair))
+        docs = np.bincount(distinct(entries) % max(1, len(pair)), minlength=len(pair))
         out = {
             "doc_id": [doc_id for doc_id, _ in self.rows], "n_a": sums[:, 0], "n_b": sums[:, 1], "n_groups": sums[:, 2], "n_links": sums[:, 3],
             "groups_sha256": digests, "segments": local.astype("<u4").tobytes(), "segment_first": first.astype("<i8").tobytes(),
@@ -176,8 +176,8 @@ def aligned_groups(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 if not text:
                     continue
-                _, a, b = tokenizers.encode([text])
-                if not (a.exact[0] and b.exact[0]):
+                _, a, b = tokenizers.encode(text)
+                if not (a.exact and b.exact):
                     continue
                 ends = np.intersect1d(a.end, b.end)
                 cut_a, cut_b = np.searchsorted(a.end, ends, "right")[:-1], np.searchsorted(b.end, ends, "right")[:-1]

@@ -21,6 +21,8 @@ import numpy as np
 _ALONE = re.compile(r"(?<=\S) (?=\S)")
 _CROWDED = re.compile(r"\s\s|^\s|\s\Z")
 _SPACE = "▁"
+_NONE = np.empty(0, np.int64)
+_TOGETHER = 1 << 16
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -41,6 +43,12 @@ def _decoded_pieces(model) -> list[bytes]:
     return found
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
+
+
 def segments(text: str) -> list[str]:
     """The text cut at lone spaces, which are left out; each segment is tokenized with a space before it."""
     return _ALONE.split(text) if _CROWDED.search(text) else text.split(" ")
@@ -56,12 +64,11 @@ def runs(text: str, most: int = 1 << 20) -> Iterator[str]:
 
 @dataclass
 class Spans:
-    """Tokens of several texts, one after the other: ids, and the byte where each ends, counted over all texts."""
+    """Tokens one after the other: ids, and the byte where each ends; ``exact``: together they have the bytes of the text."""
 
     ids: np.ndarray
     end: np.ndarray
-    first: np.ndarray
-    exact: np.ndarray
+    exact: bool
 
 
 def cut_ends(sizes: np.ndarray, span_start: np.ndarray, span_end: np.ndarray, byte_at: np.ndarray) -> np.ndarray:
@@ -99,37 +106,66 @@ class Tokenizers:
         for entry, i in entries.items():
             self.a_bytes[i] = bytes(map(letters.__getitem__, entry))
         self.b_bytes = _decoded_pieces(self.pieces)
+        self.a_names, self.b_names = list(map(str, range(len(self.a_bytes)))), list(map(str, range(len(self.b_bytes))))
         self.a_size = np.array(list(map(len, self.a_bytes)), np.int64)
         self.b_size = np.array(list(map(len, self.b_bytes)), np.int64)
 
-    def _spans(self, wholes: list[bytes], ids: Sequence[Sequence[int]], offsets: Sequence[Sequence[tuple[int, int]]], entries: list[bytes], size: np.ndarray, shift: int) -> Spans:
-        exact, ends, base = np.ones(len(wholes), bool), [], 0
-        for n, (whole, mine, spans) in enumerate(zip(wholes, ids, offsets)):
-            if b"".join(map(entries.__getitem__, mine)) != whole:
-                exact[n] = False
-                ends.append(np.full(len(mine), base + len(whole)))
-            else:
-                data = np.frombuffer(whole, np.uint8)
-                byte_at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(whole))
-                span = np.array(spans, np.int64).reshape(-1, 2) + shift
-                sizes = size[np.array(mine, np.int64)]
-                found = cut_ends(sizes, span[:, 0], span[:, 1], byte_at)
-                counted = np.cumsum(sizes)
-                # A library that reports another span than its token's bytes does not move a token.
-                ends.append(base + (found if np.array_equal(found, counted) else counted))
+    def _spans(self, whole: bytes, ids: Sequence[int], spans: Sequence[tuple[int, int]], entries: list[bytes], size: np.ndarray, shift: int) -> Spans:
+        flat = np.array(ids, np.int64)
+        if b"".join(map(entries.__getitem__, ids)) != whole:
+            return Spans(flat, np.full(len(flat), len(whole)), False)
+        data = np.frombuffer(whole, np.uint8)
+        byte_at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(whole))
+        span = np.array(spans, np.int64).reshape(-1, 2) + shift
+        found, counted = cut_ends(size[flat], span[:, 0], span[:, 1], byte_at), np.cumsum(size[flat])
+        # A library that reports another span than its token's bytes does not move a token.
+        return Spans(flat, found if np.array_equal(found, counted) else counted, True)
+
+    def encode(self, text: str) -> tuple[bytes, Spans, Spans]:
+        """A text with a space before it as bytes; its tokens of the byte-level tokenizer, and of the piece tokenizer, which adds the space."""
+        whole = b" " + text.encode()
+        a = self.byte_level.encode(" " + text, add_special_tokens=False)
+        b = self.pieces.encode(text, return_type="offset_mapping")
+        return whole, self._spans(whole, a.ids, a.offsets, self.a_bytes, self.a_size, 0), self._spans(whole, b["ids"], b["offsets"], self.b_bytes, self.b_size, 1)
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, Spans, Spans, np.ndarray]:
+        """Many segments: their ends in bytes one after the other, the tokens of both kinds over all of them, and which are exact.
+
+        Segments that start and end without white space are joined by single spaces and tokenized together; where that does
+        not give back their bytes, and for all others, each segment is tokenized alone.
+        """
+        stop, left, right, exact = [np.zeros(1, np.int64)], [], [], []
+        base = 0
+
+        def add(some: list[str]) -> None:
+            nonlocal base
+            whole, a, b = self.encode(" ".join(some))
+            if len(some) > 1 and not (a.exact and b.exact):
+                for text in some:
+                    add([text])
+                return
+            stop.append(base + np.cumsum([len(text.encode()) + 1 for text in some]))
+            left.append(Spans(a.ids, a.end + base, a.exact))
+            right.append(Spans(b.ids, b.end + base, b.exact))
+            exact.append(np.full(len(some), a.exact and b.exact and bool(some[0])))
             base += len(whole)
-        first = np.cumsum([0, *map(len, ids)])
-        flat = np.fromiter((i for mine in ids for i in mine), np.int64, int(first[-1]))
-        return Spans(flat, np.concatenate([np.empty(0, np.int64), *ends]), first, exact)
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], Spans, Spans]:
-        """Tokens of each text with a space before it: of the byte-level tokenizer, and of the piece tokenizer, which adds it."""
-        wholes = [b" " + text.encode() for text in texts]
-        a = self.byte_level.encode_batch([" " + text for text in texts], add_special_tokens=False)
-        b = self.pieces.encode(texts, return_type="offset_mapping", num_threads=1)
-        left = self._spans(wholes, [e.ids for e in a], [e.offsets for e in a], self.a_bytes, self.a_size, 0)
-        right = self._spans(wholes, [e["ids"] for e in b], [e["offsets"] for e in b], self.b_bytes, self.b_size, 1)
-        return wholes, left, right
+        together: list[str] = []
+        size = 0
+        for text in texts:
+            alone = not text or text[0].isspace() or text[-1].isspace() or _SPACE in text
+            if together and (alone or size + len(text) > _TOGETHER):
+                add(together)
+                together, size = [], 0
+            if alone:
+                add([text])
+            else:
+                together.append(text)
+                size += len(text) + 1
+        if together:
+            add(together)
+        a, b = (Spans(np.concatenate([_NONE, *(s.ids for s in side)]), np.concatenate([_NONE, *(s.end for s in side)]), True) for side in (left, right))
+        return np.concatenate(stop), a, b, np.concatenate([np.empty(0, bool), *exact])
 
 
 @dataclass
@@ -150,23 +186,25 @@ class Aligned:
 
 def align(tokenizers: Tokenizers, texts: list[str]) -> Aligned:
     """The texts that differ in bytes from their tokens have no tokens, groups and links here."""
-    wholes, a, b = tokenizers.encode(texts)
-    exact = a.exact & b.exact & np.array([bool(text) for text in texts], bool)
-    stop = np.cumsum([0, *map(len, wholes)])
-    text_a, text_b = np.repeat(np.arange(len(texts)), np.diff(a.first)), np.repeat(np.arange(len(texts)), np.diff(b.first))
+    stop, a, b, exact = tokenizers.encode_all(texts)
+    text_a, text_b = np.searchsorted(stop, a.end) - 1, np.searchsorted(stop, b.end) - 1
     a_ids, a_end, text_a = (part[exact[text_a]] for part in (a.ids, a.end, text_a))
     b_ids, b_end, text_b = (part[exact[text_b]] for part in (b.ids, b.end, text_b))
     # Between two neighbouring ends of either kind, one token of A overlaps one of B; each such stretch is another pair.
-    ends = np.union1d(a_end, b_end)
+    every = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+    twice = every[1:] == every[:-1]
+    ends, common = every[np.append(True, ~twice)[: len(every)]], every[1:][twice]
     at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
     pairs = (a_ids[at_a] << 32) | b_ids[at_b]
-    common = np.intersect1d(a_end, b_end)
     of_text = np.searchsorted(stop, common, "left") - 1
     after_a, after_b = np.searchsorted(a_end, common, "right"), np.searchsorted(b_end, common, "right")
-    names_a, names_b = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
+    names_a = list(map(tokenizers.a_names.__getitem__, a_ids.tolist()))
+    names_b = list(map(tokenizers.b_names.__getitem__, b_ids.tolist()))
     groups, from_a, from_b = [], 0, 0
     for to_a, to_b in zip(after_a.tolist(), after_b.tolist()):
-        groups.append(",".join(names_a[from_a:to_a]) + "|" + ",".join(names_b[from_b:to_b]))
+        one_a = names_a[from_a] if to_a - from_a == 1 else ",".join(names_a[from_a:to_a])
+        one_b = names_b[from_b] if to_b - from_b == 1 else ",".join(names_b[from_b:to_b])
+        groups.append(f"{one_a}|{one_b}")
         from_a, from_b = to_a, to_b
     n_groups = np.bincount(of_text, minlength=len(texts))
     bounds = np.cumsum([0, *n_groups.tolist()]).tolist()
