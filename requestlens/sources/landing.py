@@ -47,3 +47,14 @@ def with_payload(df: DataFrame) -> DataFrame:
 def land_lines(df: DataFrame, path: str, columns: list[str]) -> None:
     """Write records as JSON lines, one folder per batch."""
     df.select("batch_id", *columns).write.mode("errorifexists").partitionBy("batch_id").json(path)
+
+
+def land_in_turn(df: DataFrame, path: str, columns: list[str], turn: str, turns: int, files: int) -> None:
+    """Write records as JSON lines in the order of the column ``turn``, 0 to ``turns`` - 1, each in ``files`` files.
+
+    A file stream takes files by age, so with ``files`` files per trigger every turn is a micro-batch. ``df`` is a stored table
+    with at least that many rows in every turn.
+    """
+    for number in range(turns):
+        mine = df.where(F.col(turn) == number).select(*columns).repartition(files)
+        mine.write.mode("append").json(path)
