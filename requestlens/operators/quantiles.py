@@ -34,7 +34,7 @@ def _holding_ranks(histogram: DataFrame, keys: Sequence[str], before: Column) ->
 
 
 def _counts() -> list[Column]:
-    return [F.count("*").alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most")]
+    return [F.sum("_weight").alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most")]
 
 
 def _locate(rows: DataFrame, keys: Sequence[str], quantile: float, width: float) -> DataFrame:
@@ -56,7 +56,7 @@ def _rows_in(rows: DataFrame, spans: DataFrame, keys: Sequence[str]) -> DataFram
 
 def grouped_quantile(
     df: DataFrame, by: Sequence[str], value: str, name: str, quantile: float = 0.5, width: float = 1.0,
-    largest_bucket: int = LARGEST_BUCKET,
+    largest_bucket: int = LARGEST_BUCKET, weight: str | None = None,
 ) -> DataFrame:
     """Continuous quantile of the non-null ``value`` per group, exact, for at least one grouping column.
 
@@ -64,10 +64,12 @@ def grouped_quantile(
     bucket holds more than ``largest_bucket`` rows and several values, the range of its values is divided. Only the rows
     of the final buckets are counted by value and ranked. So no task ever holds the values of a whole group, unlike the
     built-in percentile, which merges all values of a group into one map. ``df`` is read at least twice, so it should be
-    a stored table; the buckets found are stored so that the join back is planned by their true size.
+    a stored table; the buckets found are stored so that the join back is planned by their true size. With ``weight``, a
+    row stands for that many equal values, so that stored histograms can be merged.
     """
     keys = list(by)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"))
+    times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"), times.alias("_weight"))
     spans = store(_locate(rows, keys, quantile, width), "quantile-buckets")
     large = (F.col("_n") > largest_bucket) & (F.col("_least") < F.col("_most"))
     while not spans.where(large).isEmpty():
@@ -75,11 +77,11 @@ def grouped_quantile(
         inside = _rows_in(rows, spans.where(large), keys).withColumnRenamed("_bucket", "_outer")
         share = (F.col("_value") - F.col("_least")) / (F.col("_most") - F.col("_least"))
         part = F.floor(share * F.lit(DIVIDE_BY)).alias("_bucket")
-        finer = inside.select(*keys, "_outer", "_before", *_RANKS, part, "_value").groupBy(*keys, "_outer", "_before", *_RANKS, "_bucket").agg(*_counts())
+        finer = inside.select(*keys, "_outer", "_before", *_RANKS, part, "_value", "_weight").groupBy(*keys, "_outer", "_before", *_RANKS, "_bucket").agg(*_counts())
         finer = _holding_ranks(finer, [*keys, "_outer"], F.col("_before")).drop("_outer")
         spans = store(spans.where(~large).unionByName(finer), "quantile-buckets")
     found = _rows_in(rows, spans, keys)
-    counted = found.groupBy(*keys, "_least", "_before", *_RANKS, "_value").agg(F.count("*").alias("_n"))
+    counted = found.groupBy(*keys, "_least", "_before", *_RANKS, "_value").agg(F.sum("_weight").alias("_n"))
     within = Window.partitionBy(*keys, "_least").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumn("_end", F.col("_before") + F.sum("_n").over(within))
     start = F.col("_end") - F.col("_n")

@@ -18,11 +18,14 @@ def _stamped(df: DataFrame, as_of: str | None) -> DataFrame:
     return df if as_of is None else df.withColumn("dbt_updated_at", F.lit(as_of).cast("timestamp_ntz"))
 
 
-def dim_agency(requests: DataFrame, as_of: str | None = None, one_name: bool = True) -> DataFrame:
-    """One row per agency code under its most frequent name (lowest on ties); or every distinct pair."""
+def dim_agency(requests: DataFrame, as_of: str | None = None, one_name: bool = True, weight: str | None = None) -> DataFrame:
+    """One row per agency code under its most frequent name (lowest on ties); or every distinct pair.
+
+    With ``weight``, a row stands for that many requests."""
     rows = requests.where(F.col("agency_code").isNotNull())
     if one_name:
-        counted = rows.groupBy("agency_code", "agency_name").agg(F.count("*").alias("n"))
+        requests_of = F.count("*") if weight is None else F.sum(weight)
+        counted = rows.groupBy("agency_code", "agency_name").agg(requests_of.alias("n"))
         # Smallest (no name, -count, name) struct = named before unnamed, then most frequent, then alphabetical.
         choice = F.min(F.struct(F.col("agency_name").isNull().alias("unnamed"), (-F.col("n")).alias("n"), "agency_name"))
         names = counted.groupBy("agency_code").agg(choice["agency_name"].alias("agency_name"))

@@ -188,3 +188,16 @@ def status_changes(
 
 def illegal_status_changes(changes: DataFrame) -> DataFrame:
     return changes.groupBy("from_status", "to_status", "is_legal").agg(F.count("*").alias("changes"))
+
+
+def merged_status_changes(changes: DataFrame, status: str = "status") -> DataFrame:
+    """Status changes of a merge: the stored version against the incoming one, from the change feed of the table.
+
+    Only replaced rows are looked at, once; versions that were never stored are not judged.
+    """
+    before, after = F.col(f"before.{status}"), F.col(f"after.{status}")
+    legal = [F.struct(F.lit(a), F.lit(b)) for a, b in V.STATUS_CHANGES]
+    pairs = changes.where(F.col("change") == "update").select("merge", before.alias("from_status"), after.alias("to_status"))
+    changed = pairs.where(~F.col("from_status").eqNullSafe(F.col("to_status")))
+    verdict = F.coalesce(F.struct("from_status", "to_status").isin(*legal), F.lit(False)).alias("is_legal")
+    return changed.groupBy("merge", "from_status", "to_status", verdict).agg(F.count("*").alias("changes"))

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from requestlens import fixed_values as V
 from requestlens.operators.cursor import batch_name, created_at, lookback_start, stamp
 from requestlens.operators.dead_letters import ingest_stats, with_error
-from requestlens.operators.upsert import INSTANT, MONTH, path_exists, upsert_table
+from requestlens.operators.merge import MergedTable
+from requestlens.operators.upsert import INSTANT, MONTH, path_exists
 from requestlens.plans import checks, dimensions, marts, monitors, suite
 from requestlens.plans import fact as facts
-from requestlens.plans.enriched import enriched_requests
+from requestlens.plans.incremental import DAILY, ENRICHED, FACT, MONTHLY, MonthlyModels
 from requestlens.plans.marts import newest_month
 from requestlens.plans.run_summary import summarize
 from requestlens.plans.staging import staged_requests
@@ -60,33 +61,35 @@ def ingest(
     rejected = landed.where(F.col("_error").isNotNull())
     rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{base}/{REJECTED}")
     fit = conform(landed.where(F.col("_error").isNull()).drop("_error", CORRUPT))
-    upsert_table(fit, f"{base}/{REQUESTS}")
+    MergedTable(spark, f"{base}/{REQUESTS}").merge(fit, as_of)
     return ingest_stats(landed, time.monotonic() - began), fit
 
 
-def build_models(spark: SparkSession, base: str, as_of: str) -> dict[str, DataFrame]:
-    """All models from the stored requests, each shared one written once and read back."""
-    requests = spark.read.parquet(f"{base}/{REQUESTS}").drop(MONTH, INSTANT)
+def build_models(spark: SparkSession, base: str, as_of: str, whole: bool = False) -> dict[str, DataFrame]:
+    """All models over the stored requests.
+
+    Models by month are refreshed where merges have changed requests since the last run, or everywhere when ``whole``;
+    dimensions come from stored partials, and the scorecard from the newest months of the fact.
+    """
+    table, monthly = MergedTable(spark, f"{base}/{REQUESTS}"), MonthlyModels(spark, base)
+    requests = table.rows().drop(MONTH, INSTANT)
     staged = staged_requests(requests)
     staged.createOrReplaceTempView("stg_requests")
     policies = _save(policy_frame(spark), f"{base}/reference/sla_policies")
-    enriched = _save(enriched_requests(staged, policies, as_of), f"{base}/intermediate/requests_enriched")
+    dates = _save(dimensions.dim_date(spark, as_of=as_of), f"{base}/curated/dim_date")
+    monthly.follow(table, policies, dates, as_of, whole)
     models = {
         "raw_requests": requests,
         "stg_requests": staged,
-        "int_requests_enriched": enriched,
-        "int_daily_agency_metrics": _save(marts.daily_agency_metrics(enriched), f"{base}/intermediate/daily_agency_metrics"),
-        "dim_date": _save(dimensions.dim_date(spark, as_of=as_of), f"{base}/curated/dim_date"),
+        "int_requests_enriched": monthly.read(ENRICHED).withColumnRenamed(MONTH, "created_month_key"),
+        "int_daily_agency_metrics": monthly.read(DAILY).drop(MONTH),
+        "dim_date": dates,
     }
     for name in ("agency", "borough", "complaint_type"):
-        builder = getattr(dimensions, f"dim_{name}")
-        models[f"dim_{name}"] = _save(builder(enriched, as_of), f"{base}/curated/dim_{name}")
-    dims = {name: models[f"dim_{name}"] for name in ("agency", "borough", "complaint_type")}
-    facts.write_fact(facts.build_fact(enriched, dims), f"{base}/curated/fact_service_requests")
-    fact = facts.read_fact(spark, f"{base}/curated/fact_service_requests")
+        models[f"dim_{name}"] = _save(getattr(monthly, f"dim_{name}")(as_of), f"{base}/curated/dim_{name}")
+    fact = monthly.read(FACT).withColumnRenamed(MONTH, facts.MONTH)
     models["fact_service_requests"] = fact
-    monthly = marts.monthly_borough_performance(fact, models["dim_date"], models["dim_borough"])
-    models["agg_monthly_borough_performance"] = _save(monthly, f"{base}/curated/agg_monthly_borough_performance")
+    models["agg_monthly_borough_performance"] = monthly.read(MONTHLY).drop(MONTH)
     card = marts.agency_sla_scorecard(fact, models["dim_agency"])
     models["agg_agency_sla_scorecard"] = _save(card, f"{base}/curated/agg_agency_sla_scorecard")
     return models
@@ -114,11 +117,14 @@ def run(
         clean = clean and not blocked
     built = clean and not skip_models
     if built:
-        models = build_models(spark, base, as_of)
+        models = build_models(spark, base, as_of, whole=full)
         columns = _save(checks.run_column_tests(models, checks.request_model_tests()), f"{base}/monitoring/column_tests")
         facts_tested = _save(checks.fact_checks(models["fact_service_requests"]), f"{base}/monitoring/fact_checks")
         tested = facts_tested.select("passed").union(columns.select((F.col("status") != "fail").alias("passed")))
         watch(models["raw_requests"], base, as_of)
+        table = MergedTable(spark, f"{base}/{REQUESTS}")
+        changed = monitors.merged_status_changes(table.changes().where(F.col("merge") == table.last()))
+        _save(changed, f"{base}/monitoring/status_changes")
     return summarize(stats, results, tested, models_built=built or (clean and skip_models), fail_on_critical=fail_on_critical)
 
 

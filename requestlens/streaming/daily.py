@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from requestlens.functions import standardize as S
 from requestlens.functions.temporal import parse_datetime, resolution_days
 from requestlens.operators.dead_letters import with_error
-from requestlens.operators.upsert import INSTANT, MONTH, path_exists, upsert_table, write_months
+from requestlens.operators.merge import UPDATE, MergedTable
+from requestlens.operators.upsert import INSTANT, MONTH, path_exists, write_months
 from requestlens.session import store
 from requestlens.sources.landing import CORRUPT, conform
 from requestlens.streaming.ingest import Stamp, stamp_now, start_stream
@@ -33,10 +34,6 @@ def daily_metrics(requests: DataFrame) -> DataFrame:
     )
 
 
-def _days_of(rows: DataFrame) -> DataFrame:
-    return rows.select(F.to_date(INSTANT).alias("date_key")).distinct()
-
-
 def refresh_days(days: DataFrame, requests: DataFrame, path: str) -> None:
     """Replace the given days in the stored daily table by what the requests say now.
 
@@ -59,25 +56,26 @@ def start_daily(
     pages: DataFrame, table_path: str, path: str, checkpoint: str, stamp: Stamp = stamp_now, ties: list[str] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Upsert each micro-batch and compute again the days it touches: those of its rows, and those where their keys lived before.
+    """Merge each micro-batch and compute again the days it touches: those of its rows, and those where their keys lived before.
 
-    So a request counts once, whatever the number of its versions, and late records are counted like others. A replayed
-    micro-batch finds its own rows in the table and computes the same days again.
+    So a request counts once, whatever the number of its versions, and late records are counted like others. The days come
+    from the change feed of the merge. A replayed micro-batch changes nothing; the days of the last merge are computed
+    once more in that case, as the attempt before may have died in between.
     """
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
+    def run(batch: DataFrame, epoch: int) -> None:
         landed = with_error(conform(stamp(batch, epoch)))
-        fit = store(landed.where(F.col("_error").isNull()).drop("_error", CORRUPT).withColumn(INSTANT, parse_datetime(F.col("created_date"))), "stream-batch")
-        days = _days_of(fit)
-        if path_exists(spark, table_path):
-            homes = spark.read.parquet(table_path).select("unique_key", INSTANT).join(fit.select("unique_key"), "unique_key", "left_semi")
-            days = days.union(_days_of(homes)).distinct()
-        days = store(days, "stream-days")
-        upsert_table(fit, table_path, ties=ties)
-        refresh_days(days, spark.read.parquet(table_path), path)
-
-    return start_stream(pages, merge, checkpoint, interval)
+        fit = landed.where(F.col("_error").isNull()).drop("_error", CORRUPT)
+        table = MergedTable(batch.sparkSession, table_path, ties=ties)
+        before = table.last()
+        number = table.merge(fit, f"epoch {epoch}")
+        changes = table.changes().where(F.col("merge").between(max(before, 1), number))
+        moved = changes.where(F.col("change") == UPDATE)
+        days = changes.select(F.to_date(f"after.{INSTANT}").alias("date_key")).union(moved.select(F.to_date(f"before.{INSTANT}"))).distinct()
+        if table.exists():
+            refresh_days(store(days, "stream-days"), table.rows(), path)
+
+    return start_stream(pages, run, checkpoint, interval)
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Streaming jobs against the batch result, over several micro-batches."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from requestlens.operators.latest import latest_wins
 from requestlens.operators.upsert import INSTANT, MONTH
 from requestlens.streaming import daily as D
 from requestlens.streaming import ingest as S
+from requestlens.streaming import windowed as W
 
 
 def land(folder, batch, records, extra=""):
@@ -93,3 +95,73 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     for _ in range(2):
         upsert_table(rows, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).drop(MONTH, INSTANT).collect() == latest_wins(rows).collect()
+
+
+def landed_by_turn(spark, folder, turns):
+    for number, records in enumerate(turns):
+        folder.mkdir(exist_ok=True)
+        (folder / f"{number}.json").write_text("\n".join(json.dumps({**r, "batch_id": str(number)}) for r in records))
+        os.utime(folder / f"{number}.json", (1_700_000_000 + number, 1_700_000_000 + number))
+
+
+def test_windowed_days_are_kept_and_dropped_by_spark(spark, tmp_path):
+    turns = [
+        [record("a", "2024-01-01T10:00:00"), record("b", "2024-01-01T11:00:00", "Closed", closed_date="2024-01-03T11:00:00")],
+        [record("c", "2024-02-01T10:00:00"), record("d", "2024-01-01T12:00:00"), record(None, "2024-02-01"), record("x", "soon")],
+        [record("e", "2024-03-01T10:00:00"), record("f", "2024-01-01T13:00:00"), record("g", "2024-02-01T13:00:00")],
+        [record("h", "2024-03-02T10:00:00"), record("i", "2024-02-01T14:00:00"), record("j", "2024-02-24T14:00:00")],
+        [record("l", "2024-03-03T10:00:00"), record("m", "2024-02-01T15:00:00"), record("n", "2024-01-01T15:00:00")],
+    ]
+    landed_by_turn(spark, tmp_path / "pages", turns)
+
+    def run():
+        stream = S.page_stream(spark, str(tmp_path / "pages"), max_files=1)
+        query = W.start_windowed(stream, str(tmp_path / "daily"), str(tmp_path / "checkpoint"), "7 days")
+        query.awaitTermination()
+        return query.recentProgress, {str(r.date_key): tuple(r)[3:] for r in W.read_windowed(spark, str(tmp_path / "daily")).collect()}
+
+    progress, days = run()
+    # Rows are judged by the newest creation of the turns before the previous one: m and n come after 2024-02-23, all others in time.
+    assert days == {
+        "2024-01-01": (4, 1, 3, 1, 2.0), "2024-02-01": (3, 0, 3, 0, None), "2024-02-24": (1, 0, 1, 0, None),
+        "2024-03-01": (1, 0, 1, 0, None), "2024-03-02": (1, 0, 1, 0, None), "2024-03-03": (1, 0, 1, 0, None),
+    }
+    state = [p.stateOperators[0] for p in progress]
+    assert sum(s.numRowsRemoved for s in state) >= 2 and sum(s.numRowsDroppedByWatermark for s in state) == 2
+    assert state[-1].numRowsTotal <= 4
+    landed_by_turn(spark, tmp_path / "more", [[record("k", "2024-03-02T11:00:00")]])
+    (tmp_path / "more" / "0.json").rename(tmp_path / "pages" / "9.json")
+    assert run()[1]["2024-03-02"] == (2, 0, 2, 0, None)
+
+
+def test_groups_merge_with_missing_names_and_replays(spark, tmp_path):
+    path, schema = str(tmp_path / "daily"), "date_key date, agency_code string, borough string, request_count long, resolution_days_sum double"
+
+    def merge(*rows):
+        df = spark.createDataFrame([(d, a, b, n, 1.0) for d, a, b, n in rows], schema.replace("date_key date", "date_key string"))
+        W.merge_groups(df.withColumn("date_key", F.to_date("date_key")), path)
+        return {(str(r.date_key), r.agency_code, r.borough): r.request_count for r in spark.read.parquet(path).collect()}
+
+    merge(("2024-01-01", None, "BRONX", 1), ("2024-01-02", "HPD", "BRONX", 1), ("2024-02-01", "HPD", None, 5))
+    want = {("2024-01-01", None, "BRONX"): 2, ("2024-01-02", "HPD", "BRONX"): 1, ("2024-02-01", "HPD", None): 5}
+    assert merge(("2024-01-01", None, "BRONX", 2)) == want
+    assert merge(("2024-01-01", None, "BRONX", 2)) == want
+    assert merge() == want
+
+
+def test_a_key_returns_after_the_horizon(spark, tmp_path):
+    days = ["2024-01-01", "2024-01-20", "2024-02-20", "2024-03-20", "2024-04-20"]
+    turns = [[record("a", day), record(str(n), day)] for n, day in enumerate(days)]
+    turns[1].append(record("0", "2024-01-02"))
+    landed_by_turn(spark, tmp_path / "pages", turns)
+    query = (
+        S.deduplicated(S.page_stream(spark, str(tmp_path / "pages"), max_files=1), "7 days").select("unique_key", "created_date").writeStream
+        .format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    found = sorted((r.unique_key, r.created_date) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    # The watermark passes the first record by the horizon in the third turn, and the state is forgotten at its end.
+    assert [d for k, d in found if k == "a"] == ["2024-01-01", "2024-03-20"]
+    assert [k for k, _ in found if k != "a"] == ["0", "1", "2", "3", "4"]
+    assert sum(p.stateOperators[0].numRowsRemoved for p in query.recentProgress) >= 3
