@@ -10,8 +10,8 @@ from requestlens.catalog.oracle import CURRENT, FACT, FIT, RAW, STAGED, over, po
 from requestlens.catalog.registry import query
 from requestlens.operators import cursor as C
 from requestlens.operators import dead_letters as L
-from requestlens.operators import row_index as P
 from requestlens.operators import upsert as U
+from requestlens.operators.pages import OrderedTable
 from requestlens.plans import fact as T
 from requestlens.session import fresh_path, store
 from requestlens.sources import landing
@@ -66,26 +66,43 @@ def inc_since_filter(spark, folder):
     return C.since_filter(rows, _SINCE).select("unique_key", "created_at", "status")
 
 
+_ordered_tables: dict[tuple[str, str], OrderedTable] = {}
+
+
+def _ordered(spark, folder):
+    """The current requests by creation and key, stored once in an application for each folder and shared by the pages of it."""
+    name = (spark.sparkContext.applicationId, folder)
+    if name not in _ordered_tables:
+        rows = I.with_time(I.current(spark, folder, "status")).select("unique_key", "created_at", "status")
+        _ordered_tables[name] = OrderedTable.write(rows, fresh_path(spark, "ordered"), _ORDER)
+    return _ordered_tables[name]
+
+
 @query("inc_page", over(CURRENT, """
 SELECT unique_key, created_at, status FROM cur ORDER BY created_at, unique_key LIMIT 500 OFFSET 1000"""))
 def inc_page(spark, folder):
-    rows = I.with_time(I.current(spark, folder, "status")).select("unique_key", "created_at", "status")
-    return P.fetch_page(rows, [F.asc(c) for c in _ORDER], 1000, 500)
+    return _ordered(spark, folder).page(1000, 500)
 
 
 @query("inc_page_deep", over(CURRENT, """
 SELECT unique_key, created_at, status FROM cur ORDER BY created_at, unique_key LIMIT 700 OFFSET 3500"""))
 def inc_page_deep(spark, folder):
-    rows = I.with_time(I.current(spark, folder, "status")).select("unique_key", "created_at", "status")
-    return P.fetch_page(rows, [F.asc(c) for c in _ORDER], 3500, 700)
+    return _ordered(spark, folder).page(3500, 700)
+
+
+@query("inc_page_after", over(CURRENT, """
+SELECT unique_key, created_at, status FROM cur WHERE (created_at, unique_key) > (TIMESTAMP '2023-05-17 08:00:00', '5')
+ORDER BY created_at, unique_key LIMIT 650"""))
+def inc_page_after(spark, folder):
+    key = [F.lit("2023-05-17 08:00:00").cast("timestamp_ntz"), F.lit("5")]
+    return _ordered(spark, folder).page_after(key, 650)
 
 
 @query("inc_page_counts", over(CURRENT, """
 SELECT (rn - 1) // 5000 AS page, count(*) AS rows, min(created_at) AS first_created, max(created_at) AS last_created
 FROM (SELECT created_at, row_number() OVER (ORDER BY created_at, unique_key) AS rn FROM cur) GROUP BY 1"""))
 def inc_page_counts(spark, folder):
-    rows = I.with_time(I.current(spark, folder)).select("unique_key", "created_at")
-    return P.page_counts(rows, [F.asc(c) for c in _ORDER], 5000)
+    return _ordered(spark, folder).page_counts(5000)
 
 
 @query("inc_high_water_mark", over(FIT, "SELECT max(created_at) AS high_water_mark FROM fit"))
