@@ -13,37 +13,47 @@ from requestlens.operators import dead_letters as L
 from requestlens.operators import upsert as U
 from requestlens.operators.pages import OrderedTable
 from requestlens.plans import fact as T
+from requestlens.schemas import API_FIELDS
 from requestlens.session import fresh_path, store
 from requestlens.sources import landing
 from requestlens.sources.seeds import policy_frame, read_policies
-from requestlens.sources.star_requests import AS_OF
+from requestlens.sources.star_requests import AS_OF, RULES
 
 _VERSIONS = ["status", "resolution_description"]
-_LANDED = [
-    "unique_key", "created_date", "closed_date", "agency", "complaint_type", "borough", "location", "status",
-    "ingested_at", "source_row",
-]
 _SINCE = "2024-06-01 00:00:00"
 _ORDER = ["created_at", "unique_key"]
 
 
-def _landed_pages(spark, folder):
-    path = fresh_path(spark, "pages")
-    landing.land_lines(I.raw(spark, folder, *_LANDED, "batch_id"), path, _LANDED)
-    return path
+_PAGE_ROWS = 2000
+_FILLED = [name for name in API_FIELDS if name in RULES]
 
 
 @query("src_json_pages", over(RAW, f"""
 SELECT batch_id, count(*) AS records, count(unique_key) AS keys, count(closed_date) AS closed_texts, count(location) AS locations,
-  count(DISTINCT agency) AS agencies, CAST(sum(length(created_date)) AS BIGINT) AS created_length, CAST(sum(length(source_row)) AS BIGINT) AS row_length
+  count(DISTINCT agency) AS agencies, CAST(sum(length(created_date)) AS BIGINT) AS created_length, CAST(sum(length(source_row)) AS BIGINT) AS row_length,
+  {" + ".join(f"count({name})" for name in _FILLED)} AS filled, {len(API_FIELDS) - len(_FILLED)} AS empty_fields, 1 AS corrupt_pages
 FROM raw GROUP BY 1"""))
 def src_json_pages(spark, folder):
-    """Land all raw rows as JSON files and read them back as text."""
-    pages = landing.read_pages(spark, _landed_pages(spark, folder), array_pages=False, extra=("ingested_at", "source_row"))
+    """Land all raw rows with all fields as array pages, and a page that is cut off in every batch; read them back as text."""
+    path = fresh_path(spark, "pages")
+    rows = store(landing.conform(I.raw(spark, folder)), "page-rows")
+    columns = [*API_FIELDS, "source_row"]
+    landing.land_arrays(rows, path, columns, _PAGE_ROWS)
+    cut = rows.select("batch_id").distinct().select("batch_id", F.lit(-1).alias("page"), F.lit('[{"unique_key": "cut off", "status": "Op').alias("value"))
+    cut.write.mode("append").partitionBy("batch_id", "page").text(path)
+    pages = landing.read_pages(spark, path, array_pages=True, extra=("source_row",))
+    whole = F.col(landing.CORRUPT).isNull()
+
+    def filled(name):
+        return F.count(F.when(whole, F.col(name)))
+
+    counts = {name: filled(name) for name in API_FIELDS}
     return pages.groupBy("batch_id").agg(
-        F.count("*").alias("records"), F.count("unique_key").alias("keys"), F.count("closed_date").alias("closed_texts"),
-        F.count("location").alias("locations"), F.count_distinct("agency").alias("agencies"),
-        F.sum(F.length("created_date")).alias("created_length"), F.sum(F.length("source_row")).alias("row_length"),
+        F.count_if(whole).alias("records"), counts["unique_key"].alias("keys"), counts["closed_date"].alias("closed_texts"),
+        counts["location"].alias("locations"), F.count_distinct(F.when(whole, F.col("agency"))).alias("agencies"),
+        F.sum(F.when(whole, F.length("created_date"))).alias("created_length"), F.sum(F.when(whole, F.length("source_row"))).alias("row_length"),
+        sum(counts.values(), F.lit(0).cast("bigint")).alias("filled"),
+        sum(((count == 0).cast("int") for count in counts.values()), F.lit(0)).alias("empty_fields"), F.count_if(~whole).alias("corrupt_pages"),
     )
 
 

@@ -34,6 +34,21 @@ def parse_datetime(spark, folder):
     )
 
 
+@query("parse_datetime_numbers", over(STAGED, """
+SELECT unique_key, created_at, closed_at FROM stg"""))
+def parse_datetime_numbers(spark, folder):
+    """Times that come as numbers, milliseconds since 1970, through the staged projection."""
+    rows = I.current(spark, folder, "closed_date")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def millis(name):
+        instant = D.parse_datetime(F.nullif(F.trim(name), F.lit("")))
+        return F.floor(F.timestamp_diff("MICROSECOND", epoch, instant) / 1000).alias(name)
+
+    numbers = rows.select("unique_key", "ingested_at", millis("created_date"), millis("closed_date"))
+    return staged_requests(numbers).select("unique_key", "created_at", "closed_at")
+
+
 @query("stg_text_clean", over(RAW, """
 SELECT upper(trim(agency)) AS agency_code, trim(agency_name) AS agency_name, trim(complaint_type) AS complaint_type,
   upper(trim(location_type)) AS location_type, trim(status) AS status, count(*) AS requests

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from requestlens.functions.temporal import from_epoch_millis
 from requestlens.schemas import API_FIELDS, RAW, RAW_ALL_STRING
 
 CORRUPT = "_corrupt"
+TIMES = ["created_date", "closed_date", "resolution_action_updated_date"]
 
 
 def page_schema(extra: tuple[str, ...] = ()) -> T.StructType:
@@ -33,11 +35,25 @@ def api_projection(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Give ``df`` every raw column; what the input leaves out is null. Extra columns are kept."""
+    """Give ``df`` every raw column; what the input leaves out is null. Extra columns are kept.
+
+    Times that come as numbers are milliseconds since 1970, in UTC; they and timestamps become text of the first accepted layout.
+    """
     known = set(RAW.fieldNames())
+    typed = {name: instant for name in TIMES if name in df.columns and (instant := _instant(df, name)) is not None}
+    if typed:
+        df = df.withColumns({name: F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for name, instant in typed.items()})
     return df.to(T.StructType(RAW.fields + [field for field in df.schema.fields if field.name not in known]))
 
 
+def _instant(df: DataFrame, name: str) -> Column | None:
+    """A column that holds numbers or timestamps as a zone-free timestamp; none for text."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        return from_epoch_millis(F.col(name))
+    return F.col(name).cast("timestamp_ntz") if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)) else None
+
+
 def with_payload(df: DataFrame) -> DataFrame:
     """Fill ``raw_payload`` with the record as JSON; null fields are left out, as the source does."""
     present = [name for name in API_FIELDS if name in df.columns]
@@ -49,6 +65,17 @@ def land_lines(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select("batch_id", *columns).write.mode("errorifexists").partitionBy("batch_id").json(path)
 
 
+def land_arrays(df: DataFrame, path: str, columns: list[str], page_rows: int) -> None:
+    """Write records as pages: JSON documents, each an array of about ``page_rows`` records, one file per page in a folder per batch.
+
+    Records are dealt to the pages of their batch by a hash, so a page is never larger than a few times its share.
+    """
+    batches = df.groupBy("batch_id").agg(F.greatest(F.ceil(F.count("*") / page_rows), F.lit(1)).alias("_pages"))
+    dealt = df.join(batches, "batch_id").withColumn("page", F.pmod(F.xxhash64(*columns), F.col("_pages")))
+    pages = dealt.groupBy("batch_id", "page").agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
+    pages.write.mode("append").partitionBy("batch_id", "page").text(path)
+
+
 def land_in_turn(df: DataFrame, path: str, columns: list[str], turn: str, turns: int, files: int) -> None:
     """Write records as JSON lines in the order of the column ``turn``, 0 to ``turns`` - 1, each in ``files`` files.
 
