@@ -172,7 +172,8 @@ def test_links_of_awkward_rows(spark):
     assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([-5, 1, 2, 3, 4, 5, 6, 8, 9, 12, 15, None], key=str)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [components.EDGES_OF_A_TASK, 20, 0])
+def test_components(spark, most):
     rng = random.Random(9)
     edges = [(rng.randint(0, 120), rng.randint(0, 120)) for _ in range(70)] + [(1000 + i, 1001 + i) for i in range(40)] + [(3000, 3001 + i) for i in range(50)]
     parent = {n: n for e in edges for n in e}
@@ -184,14 +185,14 @@ def test_components(spark):
 
     for a, b in edges:
         parent[find(a)] = find(b)
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long"), most).collect()}
     loops = {n for n in parent if all(a == b for a, b in edges if n in (a, b))}
     assert set(got) == set(parent) - loops
     groups = {}
     for n, c in got.items():
         groups.setdefault(c, set()).add(find(n))
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len({find(n) for n in got})
-    assert components.connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert components.connected_components(spark.createDataFrame([], "a long, b long"), most).collect() == []
 
 
 def similar_windows(items, text):
