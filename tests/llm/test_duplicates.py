@@ -1,5 +1,6 @@
 """Window removal, Jaccard join and decontamination against brute force."""
 
+import math
 import random
 from collections import Counter
 
@@ -12,6 +13,7 @@ from requestlens.llm.words import pieces
 from tests.llm.rows import LONG, PASSAGE, TEXTS, awkward, documents, nothing, words
 
 FOLDER = "/root/testdata/sf0.001"
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 UPPER = {c: c - 32 for c in range(ord("a"), ord("z") + 1)}
 
 
@@ -196,19 +198,60 @@ def test_components(spark, most):
 
 
 def similar_windows(items, text):
-    """All windows of every item's size."""
-    index = decontamination.build(items)
-    found = set()
-    for _, held in pieces(pa.array([text])):
-        hashes = held.hashes(lower=True)
-        for item in index.items:
-            size = min(item.size, len(hashes))
-            for a in range(len(hashes) - size + 1):
-                if index.similarity(item, Counter(decontamination.shingles_of(hashes[a: a + size])[0].tolist())) >= 0.8:
-                    found.add(item.item_id)
+    """All windows of every item's size, with shingles and weights worked out on their own."""
+    def shingles(w):
+        return Counter(tuple(w[i: i + 5]) for i in range(len(w) - 4))
+
+    known = [(i, words((t or "").translate(LOWER))) for i, t in items]
+    known = [(i, w, shingles(w)) for i, w in known if len(w) >= 5]
+    having = Counter(s for *_, counted in known for s in counted)
+    own, found = words((text or "").translate(LOWER)), set()
+    for item_id, w, counted in known:
+        size = min(len(w), len(own))
+        for a in range(len(own) - size + 1):
+            window = shingles(own[a: a + size])
+            weigh = {s: math.log(1 + len(known) / max(1, having[s])) for s in window.keys() | counted.keys()}
+            smaller = sum(weigh[s] * min(window[s], counted[s]) for s in weigh)
+            larger = sum(weigh[s] * max(window[s], counted[s]) for s in weigh)
+            if larger and smaller / larger >= 0.8 - 1e-9:
+                found.add(item_id)
     return found
 
 
+def test_similarity_does_not_depend_on_other_items_or_slices(spark, monkeypatch):
+    rng = random.Random(12)
+    item = [f"q{i}" for i in range(59)]
+    text = " ".join([*item[:53], *(f"x{i}" for i in range(6))])
+    others = [(i + 1, " ".join(f"z{rng.randint(0, 10**6)}" for _ in range(30))) for i in range(98)]
+    for items in ([(0, " ".join(item))], [(0, " ".join(item)), *others]):
+        for size in (decontamination.SLICE_BYTES, 3000):
+            monkeypatch.setattr(decontamination, "SLICE_BYTES", size)
+            benchmark = spark.createDataFrame(items, "item_id long, text string")
+            passages = decontamination.find_contamination(documents(spark, [(1, text)]), benchmark).first().passages
+            assert [(p.item_id, round(p.similarity, 6)) for p in passages] == [(0, round(49 / 61, 6))]
+
+
+def test_shared_shingles_weigh_alike_in_every_slice(spark, monkeypatch):
+    rng = random.Random(13)
+    shared = " ".join(f"s{i}" for i in range(12))
+    items = [(i, f"{shared} " + " ".join(f"i{i}_{rng.randint(0, 99)}" for _ in range(25))) for i in range(40)]
+    rows = [(i, t.rsplit(" ", rng.randint(0, 4))[0]) for i, t in items] + [(100, shared)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    results = []
+    for size in (decontamination.SLICE_BYTES, 2000):
+        monkeypatch.setattr(decontamination, "SLICE_BYTES", size)
+        found = decontamination.find_contamination(documents(spark, rows), benchmark).collect()
+        results.append({r.doc_id: [(p.item_id, p.first_word, round(p.similarity, 9)) for p in sorted(r.passages, key=lambda p: p.item_id)] for r in found})
+    assert results[0] == results[1] and sum(map(len, results[0].values())) >= 30
+
+
+def test_short_items_and_items_without_an_id(spark):
+    benchmark = spark.createDataFrame([(7, "One two"), (None, PASSAGE), (8, "a b c d"), (9, ""), (10, None)], "item_id long, text string")
+    rows = [(1, " one\tTWO "), (2, "one two three"), (3, f"before {PASSAGE} after"), (4, "a b c d"), (5, ""), (6, None), (7, "one")]
+    got = {r.doc_id: (r.contaminated, r.item_ids) for r in decontamination.find_contamination(documents(spark, rows), benchmark).collect()}
+    assert got == {1: (True, [7]), 2: (False, []), 3: (True, [None]), 4: (True, [8]), 5: (False, []), 6: (False, []), 7: (False, [])}
+
+
 def test_contamination_against_all_windows(spark):
     rng = random.Random(6)
     items = [(i, " ".join(f"q{rng.randint(0, 60)}" for _ in range(rng.randint(8, 45)))) for i in range(25)]
@@ -222,13 +265,28 @@ def test_contamination_against_all_windows(spark):
             part = part[rng.randint(0, 2):]
             text[len(text) // 2:len(text) // 2] = [w.upper() if rng.random() < 0.2 else w for w in part]
         rows.append((i, " ".join(text)))
-    benchmark = spark.createDataFrame([*items, (None, "a b c d e f"), (99, None), (98, "too short"), items[0]], "item_id long, text string")
-    got = {r.doc_id: set(r.item_ids) for r in decontamination.find_contamination(documents(spark, rows), benchmark).collect()}
+    benchmark = spark.createDataFrame([*items, (99, None), (98, "too short"), items[0]], "item_id long, text string")
+    got = {r.doc_id: set(r.item_ids) - {None} for r in decontamination.find_contamination(documents(spark, rows), benchmark).collect()}
     want = {i: similar_windows(items, t) for i, t in rows}
     missed = sum(len(want[i] - got[i]) for i in want)
     assert all(got[i] <= want[i] for i in want)
-    # Fingerprints of windows at the very threshold may lie beyond the radius.
-    assert missed <= 0.03 * sum(len(w) for w in want.values()) and sum(len(w) for w in want.values()) > 30
+    assert missed == 0 and sum(len(w) for w in want.values()) > 30
+
+
+@pytest.mark.parametrize("size", [59, 200])
+def test_windows_at_the_threshold_are_found(spark, size):
+    rng = random.Random(size)
+    items = [(i, " ".join(f"q{rng.randint(0, 10**6)}" for _ in range(size))) for i in range(20)]
+    rows = []
+    for i, t in items:
+        w, most = t.split(), (size - 4) // 9
+        run = rng.choice([most, most, most - 1, most + 1])
+        at = rng.choice([0, size - run])
+        w[at: at + run] = [f"x{rng.randint(0, 10**6)}" for _ in range(run)]
+        rows.append((i, " ".join([f"w{rng.randint(0, 99)}" for _ in range(rng.randint(0, 40))] + w)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: set(r.item_ids) for r in decontamination.find_contamination(documents(spark, rows), benchmark).collect()}
+    assert got == {i: similar_windows(items, t) for i, t in rows} and 6 < sum(map(len, got.values())) < 20
 
 
 def test_whole_items_are_always_found(spark):
