@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from requestlens import fixed_values as V
 from requestlens.catalog import inputs as I
 from requestlens.catalog.oracle import CURRENT, FACT, FIT, RAW, STAGED, over, policies
-from requestlens.catalog.registry import query
+from requestlens.catalog.registry import ORACLES, query
 from requestlens.operators import cursor as C
 from requestlens.operators import dead_letters as L
 from requestlens.operators import upsert as U
@@ -202,6 +204,15 @@ def ingest_stats(spark, folder):
     return L.ingest_stats(I.raw(spark, folder, "unique_key", "created_date", "ingested_at", "batch_id"))
 
 
+@query("ingest_observed", ORACLES["ingest_stats"])
+def ingest_observed(spark, folder):
+    """The statistics of every batch, seen while the batch is written."""
+    rows = store(I.raw(spark, folder, "unique_key", "created_date", "ingested_at", "batch_id"), "observed-input")
+    batches = [f"batch_{batch}" for batch in range(5)]
+    found = [L.observed_stats(rows.where(F.col("batch_id") == batch), batch)[1] for batch in batches]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query("record_count_since", over(FIT, f"""
 SELECT 'all' AS scope, count(*) AS record_count FROM fit UNION ALL
 SELECT 'since', count(*) FROM fit WHERE created_at >= TIMESTAMP '{_SINCE}'"""))

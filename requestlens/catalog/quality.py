@@ -17,7 +17,8 @@ from requestlens.plans import marts as M
 from requestlens.plans import suite as Q
 from requestlens.plans.fact import build_fact
 from requestlens.plans.run_summary import summarize
-from requestlens.session import store
+from requestlens.plans.suite_store import SuiteCounts
+from requestlens.session import fresh_path, store
 
 c = F.col
 _SUITE = Q.request_suite()
@@ -143,6 +144,16 @@ def x_suite_results(spark, folder):
     return _results(spark, folder)
 
 
+@query("x_suite_merged", over(_RESULTS, "SELECT * FROM results"))
+def x_suite_merged(spark, folder):
+    """The suite over all rows, from counts that were stored batch by batch."""
+    rows = store(I.raw(spark, folder, *_SUITE_COLUMNS, "batch_id"), "suite-input")
+    counts = SuiteCounts(spark, fresh_path(spark, "suite-counts"), _SUITE)
+    for batch in range(5):
+        counts.add(rows.where(F.col("batch_id") == f"batch_{batch}"), f"batch_{batch}")
+    return counts.results()
+
+
 _STATS = """count(*) AS evaluated_expectations, count(*) FILTER (WHERE success) AS successful_expectations,
   count(*) FILTER (WHERE NOT success) AS failed_expectations, bool_and(success) AS success"""
 

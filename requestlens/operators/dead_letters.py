@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from requestlens.functions.temporal import parse_datetime
+from requestlens.session import store
 from requestlens.sources.landing import CORRUPT
 
 
@@ -55,3 +56,25 @@ def ingest_stats(df: DataFrame, seconds: float | None = None) -> DataFrame:
     )
     rate = F.col("upserted") / F.greatest(F.col("duration_seconds"), F.lit(1 if seconds is None else 0.001))
     return per_batch.withColumn("records_per_second", F.round(rate, 2))
+
+
+def observed_stats(df: DataFrame, batch_id: str, label: str = "landed") -> tuple[DataFrame, DataFrame]:
+    """Store one batch with its errors, and its statistics as one row in the layout of ``ingest_stats``.
+
+    The statistics are observed while the rows are written, so they cost no second scan. Returns (stored rows, statistics).
+    """
+    spark = df.sparkSession
+    seen = Observation(label)
+    span = F.timestamp_diff("SECOND", F.min("ingested_at"), F.max("ingested_at"))
+    watched = with_error(df).observe(
+        seen, F.count("*").alias("fetched"), F.count_if(F.col("_error").isNull()).alias("upserted"),
+        F.count_if(F.col("_error").isNotNull()).alias("failed"), span.alias("duration_seconds"),
+    )
+    stored = store(watched, label)
+    counts = seen.get
+    row = spark.createDataFrame(
+        [(batch_id, counts["fetched"], counts["upserted"], counts["failed"], counts["duration_seconds"])],
+        "batch_id string, fetched long, upserted long, failed long, duration_seconds long",
+    )
+    rate = F.col("upserted") / F.greatest(F.col("duration_seconds"), F.lit(1))
+    return stored, row.withColumn("records_per_second", F.round(rate, 2))

@@ -138,19 +138,23 @@ def _repeated_rows(df: DataFrame, column: str, by: Sequence[str], name: str) ->
     return counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(name))
 
 
-def evaluate(df: DataFrame, suite: dict, by: Sequence[str] = ()) -> DataFrame:
-    """One row per expectation (and per group of ``by``) with counts and the verdict."""
-    rules = list(enumerate(suite["expectations"], start=1))
-    groups = list(by)
+def row_counts(df: DataFrame, suite: dict, groups: Sequence[str] = ()) -> DataFrame:
+    """One aggregate with the rows, and per expectation the missing and unexpected values; uniqueness is not part of it."""
     aggregates = [F.count("*").alias("_rows")]
-    for number, rule in rules:
+    for number, rule in enumerate(suite["expectations"], start=1):
         kind, column = rule["expectation_type"], rule["kwargs"].get("column")
         if column:
             aggregates.append(F.count_if(F.col(column).isNull()).alias(f"_missing{number}"))
         if kind not in (UNIQUE, ROW_COUNT):
             aggregates.append(F.count_if(unexpected(rule)).alias(f"_unexpected{number}"))
-    metrics = df.groupBy(*groups).agg(*aggregates)
-    for number, rule in rules:
+    return df.groupBy(*groups).agg(*aggregates)
+
+
+def evaluate(df: DataFrame, suite: dict, by: Sequence[str] = ()) -> DataFrame:
+    """One row per expectation (and per group of ``by``) with counts and the verdict."""
+    groups = list(by)
+    metrics = row_counts(df, suite, groups)
+    for number, rule in enumerate(suite["expectations"], start=1):
         if rule["expectation_type"] == UNIQUE:
             name = f"_unexpected{number}"
             repeated = _repeated_rows(df, rule["kwargs"]["column"], groups, name)
@@ -158,6 +162,12 @@ def evaluate(df: DataFrame, suite: dict, by: Sequence[str] = ()) -> DataFrame:
                 metrics = join_on_group(metrics, repeated, groups).fillna({name: 0})
             else:
                 metrics = metrics.withColumn(name, repeated.scalar())
+    return verdicts(metrics, suite, groups)
+
+
+def verdicts(metrics: DataFrame, suite: dict, groups: Sequence[str] = ()) -> DataFrame:
+    """The results of a suite from its counts: those of ``row_counts``, and of the repeated rows of unique columns."""
+    rules = list(enumerate(suite["expectations"], start=1))
     entries = []
     for number, rule in rules:
         kind, kwargs, meta = rule["expectation_type"], rule["kwargs"], rule.get("meta", {})

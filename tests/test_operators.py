@@ -190,3 +190,17 @@ def test_conform_and_payload(spark):
     full = conform(df)
     assert full.first().latitude is None and "batch_id" in full.columns
     assert with_payload(df).first().raw_payload == '{"unique_key":"1"}'
+
+
+def test_statistics_are_observed_while_a_batch_is_written(spark):
+    from requestlens.operators import dead_letters
+
+    rows = spark.createDataFrame(
+        [("a", "2024-01-01", "2024-06-01 00:00:00", "b"), (None, "2024-01-01", "2024-06-01 00:00:10", "b"), ("c", "soon", None, "b")],
+        "unique_key string, created_date string, ingested_at string, batch_id string",
+    ).withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+    stored, stats = dead_letters.observed_stats(rows, "b")
+    assert stats.collect() == dead_letters.ingest_stats(rows).select(stats.columns).collect()
+    assert stored.where("_error IS NULL").count() == 1
+    nothing = dead_letters.observed_stats(rows.limit(0), "b")[1].first()
+    assert (nothing.fetched, nothing.upserted, nothing.failed, nothing.duration_seconds) == (0, 0, 0, None)
