@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from requestlens.llm.jaccard import PERCENT, SHINGLE
-from requestlens.llm.secrets import ASSIGN, CERTAIN, SCOPE, WEAK
 from requestlens.llm.substrings import WINDOW
 
 _SPLIT = r"'[\x20\x09-\x0D]+'"
@@ -43,38 +42,50 @@ FROM sizes s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON
 LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = s.doc_id"""
 
 
-def _literal(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
+# Patterns of the contract, in its order, then those of the weak parts.
+_ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_ACCESS_NAME = (
+    "[Aa][Cc][Cc][Ee][Ss][Ss]_?[Kk][Ee][Yy]_?[Ii][Dd]|[Cc][Ll][Ii][Ee][Nn][Tt]_?[Ii][Dd]|[Uu][Ss][Ee][Rr]_?[Nn][Aa][Mm][Ee]|[Uu][Ss][Ee][Rr]_?[Ii][Dd]|[Ll][Oo][Gg][Ii][Nn]"
+)
+_PARTS = [
+    ("assign", _ASSIGN, "length(regexp_extract(m, '^' || pattern, 1)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(m) >= 20"),
+    ("hex", "[0-9a-f]+", "length(m) >= 24"),
+    ("weak_access", rf"""(?:{_ACCESS_NAME})["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=-]{{3,}}""", "true"),
+    ("weak_secret", "[A-Za-z0-9+/=]{40,}", "length(m) = 40"),
+    ("endpoint", r"""(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb|amqp)://[^\x20\x09-\x0D"'<>]+""", "true"),
+]
 
 
-def _found(number: int, pattern: str) -> str:
+def _found(number: int, pattern: str, keep: str) -> str:
     """Matches of one kind with the lengths of the pieces before them."""
-    text = _literal(pattern)
-    keep = {"assign": f"length(regexp_extract(m, {_literal('^' + ASSIGN)}, 1)) >= 6", "weak_secret": "length(m) = 40"}
-    kept = keep.get([*CERTAIN, *WEAK][number][0], "true")
+    literal = "'" + pattern.replace("'", "''") + "'"
     return f"""
   SELECT doc_id, kind, start, start + length(m) AS "end" FROM (
     SELECT doc_id, {number} AS kind, m, sum(length(gap)) OVER o + sum(length(m)) OVER o - length(m) AS start FROM (
-      SELECT doc_id, unnest(ms) AS m, unnest(list_slice(regexp_split_to_array(text, {text}), 1, len(ms))) AS gap, unnest(range(len(ms))) AS i
-      FROM (SELECT doc_id, text, regexp_extract_all(text, {text}) AS ms FROM t))
+      SELECT doc_id, unnest(ms) AS m, unnest(list_slice(regexp_split_to_array(text, {literal}), 1, len(ms))) AS gap, unnest(range(len(ms))) AS i
+      FROM (SELECT doc_id, text, regexp_extract_all(text, {literal}) AS ms FROM t))
     WINDOW o AS (PARTITION BY doc_id ORDER BY i))
-  WHERE {kept}"""
+  WHERE {keep.replace("'^' || pattern", "'^" + literal[1:])}"""
+
+
+def _beside(kinds: str) -> str:
+    """A part of these kinds starts at most 400 code points before or after p."""
+    return f"EXISTS (SELECT 1 FROM parts q WHERE q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.kind IN ({kinds}) AND q.start BETWEEN p.start - 400 AND p.start + 400)"
 
 
-_NAMES = "[" + ", ".join(f"'{kind}'" for kind, _, _ in [*CERTAIN, *WEAK]) + "]"
+_ACCESS_BESIDE, _SECRET_BESIDE = _beside("1, 3"), _beside("0, 2, 4")
+_NAMES = "[" + ", ".join(f"'{kind}'" for kind, _, _ in _PARTS) + "]"
 _LISTED = f"string_agg({_NAMES}[kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(\"end\" AS BIGINT), ',' ORDER BY start, kind)"
 SECRETS = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-found AS ({" UNION ALL ".join(_found(number, pattern) for number, (_, pattern, _) in enumerate([*CERTAIN, *WEAK]))}),
+found AS ({" UNION ALL ".join(_found(number, pattern, keep) for number, (_, pattern, keep) in enumerate(_PARTS))}),
 parts AS (
   SELECT doc_id, kind, start, "end" FROM (SELECT *, max(CASE WHEN kind < 3 THEN "end" END) OVER (PARTITION BY doc_id ORDER BY start, kind) AS covered FROM found)
   WHERE kind < 3 OR covered IS NULL OR covered < "end"),
-placed AS (SELECT *, CAST(start AS BIGINT) // {SCOPE // 2} - unnest([0, 1]) AS scope FROM parts),
-scopes AS (SELECT doc_id, scope, bool_or(kind IN (1, 3)) AS has_access, bool_or(kind IN (0, 2, 4)) AS has_secret FROM placed GROUP BY ALL),
 spans AS (
-  SELECT doc_id, kind, start, "end" FROM parts WHERE kind < 3 UNION ALL
-  SELECT DISTINCT doc_id, kind, start, "end" FROM placed JOIN scopes USING (doc_id, scope)
-  WHERE (kind = 3 AND has_secret) OR (kind = 4 AND has_access) OR (kind = 5 AND has_access AND has_secret))
+  SELECT doc_id, kind, start, "end" FROM parts p
+  WHERE kind < 3 OR (kind = 3 AND {_SECRET_BESIDE}) OR (kind = 4 AND {_ACCESS_BESIDE}) OR (kind = 5 AND {_ACCESS_BESIDE} AND {_SECRET_BESIDE}))
 SELECT t.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
   sha256(coalesce({_LISTED} FILTER (WHERE kind < 3), '')) AS base_sha256, coalesce({_LISTED}, '') AS spans, count(*) FILTER (WHERE kind >= 3) AS n_weak
 FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id"""

@@ -1,8 +1,9 @@
 """Secrets in texts: three certain patterns, and weak parts that count only where complementary parts stand nearby.
 
 Matches are found with the regular expressions of Spark SQL. The pieces of the text between the matches give their
-offsets by running sums. Parts then join scopes, overlapping stretches of the text, by equality on the scope's number;
-a scope that holds complementary parts confirms the weak ones in it.
+offsets by running sums. An interval join then looks for the complements of a weak part in the scope around it, the stretch
+that begins and ends a fixed number of code points from its start. Its equality key is a cell of the text, as long as that
+distance: a scope meets its own cell and the two beside it, and of each the first and the last complement decide.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from requestlens.session import store
 
 
-
 def either_case(word: str) -> str:
     """A pattern for the ASCII letters of a word in either case; flags for that differ between engines beyond ASCII."""
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -80,25 +80,35 @@ def find_parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The certain parts, and the weak ones that a scope confirms.
+    """The certain parts, and the weak ones that complementary parts nearby confirm.
+
+    The scope of a part reaches from ``scope`` code points before its start to as many after it, both included, and holds the
+    parts that start there. A weak access identifier needs a secret in its scope (certain or weak), a weak secret an access
+    identifier, an endpoint both. A weak part that a certain part covers adds nothing and is left out.
 
-    Scopes are ``scope`` code points long and begin at every half; a part lies in those that hold its start. A weak access
-    identifier needs a secret in one of its scopes (certain or weak), a weak secret an access identifier, an endpoint
-    both of them in the same scope. A weak part that a certain part covers adds nothing and is left out.
+    A cell sends one row with the first and last start of either kind of complement, however many parts it holds: the last one
+    in the cell before, any in the same and the first in the cell after are those nearest to a part. So a part meets three rows.
     """
-    half = scope // 2
+    if scope < 1:
+        raise ValueError("scope must be positive")
     before = Window.partitionBy("_row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     certain_to = F.max(F.when(F.col("kind") < 3, F.col("end"))).over(before)
     linked = store(parts.withColumn("_to", certain_to).where("kind < 3 OR _to IS NULL OR _to < end").drop("_to"), "parts")
-    placed = linked.withColumn("_scope", F.explode(F.expr(f"array(start div {half}, start div {half} - 1)")))
-    is_access, is_secret = F.col("kind").isin(1, 3), F.col("kind").isin(0, 2, 4)
-    scopes = placed.groupBy("_row", "_scope").agg(F.max(is_access).alias("_access"), F.max(is_secret).alias("_secret"))
+    access, secret = (F.when(F.col("kind").isin(*kinds), F.col("start")) for kinds in ((1, 3), (0, 2, 4)))
+    cells = linked.groupBy("_row", F.expr(f"start div {scope}").alias("_cell")).agg(
+        F.min(access).alias("_access_from"), F.max(access).alias("_access_to"), F.min(secret).alias("_secret_from"), F.max(secret).alias("_secret_to")
+    )
+    weak = linked.where("kind >= 3").withColumn("_cell", F.explode(F.expr(f"transform(array(-1, 0, 1), d -> start div {scope} + d)")))
+
+    def near(what: str) -> F.Column:
+        return F.expr(f"coalesce(least(abs(_{what}_from - start), abs(_{what}_to - start)) <= {scope}, false)")
+
     confirmed = (
-        placed.where("kind >= 3")
-        .join(scopes, ["_row", "_scope"])
-        .where(F.expr("(kind = 3 AND _secret) OR (kind = 4 AND _access) OR (kind = 5 AND _access AND _secret)"))
+        weak.join(cells, ["_row", "_cell"])
+        .groupBy("_row", "kind", "start", "end")
+        .agg(F.max(near("access")).alias("_access"), F.max(near("secret")).alias("_secret"))
+        .where("(kind = 3 AND _secret) OR (kind = 4 AND _access) OR (kind = 5 AND _access AND _secret)")
         .select("_row", "kind", "start", "end")
-        .distinct()
     )
     return linked.where("kind < 3").unionByName(confirmed)
 

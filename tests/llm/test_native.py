@@ -192,6 +192,42 @@ def test_weak_parts_need_their_complement(spark):
     assert got[5].spans.startswith("endpoint:0:20,access:21:41,assign:42:59")
 
 
+WEAK = [
+    (3, re.compile(r"""(?:access_?key_?id|client_?id|user_?name|user_?id|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=-]{3,}""", re.I | re.A)),
+    (4, re.compile(r"[A-Za-z0-9+/=]{40,}")),
+    (5, re.compile(r"""(?:https?|ftp|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb|amqp)://[^\x20\x09-\x0D"'<>]+""")),
+]
+KINDS = ("assign", "access", "hex", "weak_access", "weak_secret", "endpoint")
+
+
+def expected_spans(text):
+    """All pairs of parts by their true distance."""
+    base = expected_base(text)
+    weak = [(m.start(), k, m.end()) for k, p in WEAK for m in p.finditer(text) if k != 4 or len(m[0]) == 40]
+    parts = base + [w for w in weak if not any(b[:2] <= w[:2] and b[2] >= w[2] for b in base)]
+    beside = lambda p, kinds: any(q[1] in kinds and abs(q[0] - p[0]) <= 400 for q in parts)
+    needs = {3: [(0, 2, 4)], 4: [(1, 3)], 5: [(1, 3), (0, 2, 4)]}
+    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(p for p in parts if all(beside(p, kinds) for kinds in needs.get(p[1], []))))
+
+
+def test_linked_parts_by_true_distance(spark):
+    rng = random.Random(9)
+    parts = ["client_id=app-17 ", "Zz9" * 13 + "Q ", "https://db.example/x ", f"AKIA{'A' * 16} ", "password=abc12345 ", "login: bob ", "0123456789abcdef01234567 ", "é " * 60, "word " * 30]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))) for i in range(300)]
+    rows.append((1000, "".join(rng.choice(parts) for _ in range(5000))))
+    got = check_secrets(spark, rows)
+    assert {i: r.spans for i, r in got.items()} == {i: expected_spans(t) for i, t in rows}
+    assert sum(r.n_weak for r in got.values()) > 500
+
+
+def test_links_do_not_depend_on_the_offset(spark):
+    block = "client_id = app-17 " + "x " * 130 + "Zz9" * 13 + "Q"
+    got = check_secrets(spark, [(n, "é" * n + " " + block) for n in range(0, 900, 25)])
+    assert {r.n_weak for r in got.values()} == {2}
+    edge = check_secrets(spark, [(n, f"login: bob{' ' * (n - 10)}{'Zz9' * 13}Q") for n in (399, 400, 401)])
+    assert [edge[n].n_weak for n in (399, 400, 401)] == [2, 2, 0]
+
+
 def test_secrets_of_nothing(spark):
     assert secrets.find_secrets(nothing(spark)).collect() == []
     assert secrets.find_secrets(awkward(spark)).count() == len(TEXTS)
