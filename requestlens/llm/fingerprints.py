@@ -9,21 +9,22 @@ length of a difference estimates how many pairs of words two texts do not share.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from requestlens.llm.inputs import small_batches
+from requestlens.llm.sharding import positions
 from requestlens.llm.words import mix, pieces
+from requestlens.session import store
 
 EXACT_LANES = 8
 NEAR_LANES = 128
 RANGE_BYTES = 32 << 20
-MOST_RANGES = 10_000
 
 _LANE_KEYS = mix(np.arange(1, EXACT_LANES + 1, dtype=np.uint64) * np.uint64(0x9E6C63D0676A9A99))
 
@@ -143,53 +144,56 @@ def fingerprint_documents(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Da
     after the last comes the first, and a single document follows itself. The edited text has its last
     floor(n_chars / 4) code points replaced by as many, or all, from the next text's beginning. Null texts count as empty; two
     texts without words have equal fingerprints. Fingerprints are hexadecimal: the exact lanes, then the similarity lanes,
-    little-endian. Texts are dealt once, by ranges of ids of about ``range_bytes`` bytes, at most
-    ``MOST_RANGES`` ranges; a range is streamed in order and never held. Other columns are not read.
+    little-endian. Other columns are not read.
+
+    Ranges are cut where the sum of the bytes before a row passes a multiple of ``range_bytes``, so they hold about as many
+    bytes each, also where ids are null or repeat. Only ids, hashes and sizes are ordered for that. Texts are dealt once, a
+    partition per range; a range is streamed in order and never held. The cuts, 32 bytes for each range, go to all tasks; on
+    corpora of many TB take a larger ``range_bytes``, so that the shuffle has no more partitions than the cluster bears.
     """
     spark = docs.sparkSession
     small_batches(spark)
     last = (1 << 63) - 1
+    # A row's number only parts rows of equal id and text, which give equal results wherever they lie: the first cut
+    # inside such a group moves to its beginning, so no other row's range depends on how rows were numbered.
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(last)).alias("_id"), F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"),
-    )
-    total = rows.agg(F.sum(F.octet_length("_text") + 16).alias("b")).first()["b"] or 0
-    ranges = int(min(MOST_RANGES, max(1, -(-total // range_bytes))))
-    cuts = []
-    if ranges > 1:
-        shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-        cuts = sorted(set(rows.agg(F.percentile_approx("_id", shares, F.lit(max(10_000, 10 * ranges))).alias("c")).first()["c"] or []))
-    ranged = rows.withColumn("_range", _range_of("_id", cuts))
-    # A row per range, at most MOST_RANGES of them: the first id, which the range before borrows.
-    firsts = sorted((r["_range"], r["f"]) for r in ranged.groupBy("_range").agg(F.min("_id").alias("f")).collect())
-    if not firsts:
+    ).withColumns({"_tie": F.xxhash64("_text"), "_row": F.monotonically_increasing_id()})
+    sizes = store(rows.select("_id", "_tie", "_row", (F.octet_length("_text") + 16).cast("long").alias("_bytes")), "sizes")
+    cut = positions(sizes, ["_id", "_tie", "_row"], "_bytes").groupBy(F.expr(f"_before div {range_bytes}")).agg(F.min(F.struct("_id", "_tie", "_row")).alias("c"))
+    # A row per range.
+    cuts = sorted(tuple(r["c"]) for r in cut.collect())
+    if not cuts:
         return spark.createDataFrame([], SCHEMA)
-    lenders = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
-    lent = F.broadcast(spark.createDataFrame(lenders, "_id long, _to int"))
-    dealt = ranged.join(lent, "_id", "left").select(
-        "doc_id", "_id", "_text", F.xxhash64("_text").alias("_tie"),
-        F.explode(
-            F.when(F.col("_to").isNull(), F.array(F.struct(F.col("_range"), F.lit(False).alias("_borrowed")))).otherwise(
-                F.array(F.struct(F.col("_range"), F.lit(False).alias("_borrowed")), F.struct(F.col("_to").alias("_range"), F.lit(True).alias("_borrowed")))
-            )
-        ).alias("_at"),
+    cuts = [c if i and c[:2] == cuts[i - 1][:2] else (*c[:2], -1) for i, c in enumerate(cuts)]
+    ranged = rows.withColumn("_range", _range_of(cuts[1:])(F.col("_id"), F.col("_tie"), F.col("_row"))).select("_range", "doc_id", "_id", "_tie", "_text")
+    # Each range borrows a row: one with the id and the text that the range after it, or the first one, begins with.
+    lenders = spark.createDataFrame([(c[0], c[1], i - 1 if i else len(cuts) - 1) for i, c in enumerate(cuts)], "_id long, _tie long, _to int")
+    lent = (
+        rows.join(F.broadcast(lenders.select("_id", "_tie").distinct()), ["_id", "_tie"], "left_semi").groupBy("_id", "_tie")
+        .agg(F.first("doc_id").alias("doc_id"), F.first("_text").alias("_text"))
+        .join(F.broadcast(lenders), ["_id", "_tie"]).select(F.col("_to").alias("_range"), "doc_id", "_id", "_tie", "_text")
     )
     ordered = (
-        dealt.select("doc_id", "_id", "_text", "_tie", "_at.*")
-        .repartition(ranges, "_range")
+        ranged.withColumn("_borrowed", F.lit(False)).unionByName(lent.withColumn("_borrowed", F.lit(True)))
+        .repartitionById(len(cuts), F.col("_range"))
         .sortWithinPartitions("_range", "_borrowed", "_id", "_tie")
         .select("_range", "_borrowed", "doc_id", "_text")
     )
     return ordered.mapInArrow(_walk, SCHEMA)
 
 
-def _range_of(column: str, cuts: list[int]) -> F.Column:
-    """Number of cuts at or below a value, by one look at every 100th cut and one at the hundred after it."""
-    if not cuts:
-        return F.lit(0)
-    coarse = F.array(*[F.lit(c).cast("long") for c in cuts[99::100]]) if len(cuts) >= 100 else None
-    whole = F.array(*[F.lit(c).cast("long") for c in cuts])
-    if coarse is None:
-        return F.size(F.filter(whole, lambda c: c <= F.col(column)))
-    hundreds = F.size(F.filter(coarse, lambda c: c <= F.col(column))) * 100
-    return hundreds + F.size(F.filter(F.slice(whole, hundreds + 1, F.lit(100)), lambda c: c <= F.col(column)))
+def _range_of(cuts: list[tuple[int, int, int]]) -> Callable[[Column, Column, Column], Column]:
+    """A column function: the number of cuts at or below (id, hash, row number)."""
+    order = np.dtype([("id", "<i8"), ("tie", "<i8"), ("row", "<i8")])
+    sorted_cuts = np.array(cuts, dtype=order)
+
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array, ties: pa.Array, numbers: pa.Array) -> pa.Array:
+        keys = np.empty(len(ids), dtype=order)
+        for name, column in (("id", ids), ("tie", ties), ("row", numbers)):
+            keys[name] = column.to_numpy()
+        return pa.array(np.searchsorted(sorted_cuts, keys, side="right"), pa.int32())
+
+    return range_of

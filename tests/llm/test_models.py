@@ -3,13 +3,15 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from requestlens.llm import fingerprints, languages, quality, toxicity
-from requestlens.llm.words import pieces
+from requestlens.llm.words import mix, pieces
 from tests.llm.rows import LONG, TEXTS, awkward, documents, labels, nothing
 
 FOLDER = "/root/testdata/sf0.1"
@@ -229,6 +231,44 @@ def test_fingerprints_of_awkward_rows(spark):
     assert one[0].near_next == 1.0 and one[0].edited_sha256 == hashlib.sha256(fingerprints.edit("only one of these", "only one of these").encode()).hexdigest()
 
 
+def plain_fingerprint(text):
+    """Exact lanes and signed pairs of words of one text, by loops over its lines; its hashes of ranges come from the library."""
+    exact, near = [0] * fingerprints.EXACT_LANES, [0] * fingerprints.NEAR_LANES
+    for line in text.split("\n"):
+        words = line.split()
+        if not words:
+            continue
+        parts = [int(hashed_range(w)) for w in words]
+        whole = hashed_range(line.strip())
+        for k, key in enumerate(fingerprints._LANE_KEYS):
+            exact[k] = (exact[k] + int(mix(np.array([whole ^ key]))[0])) % 2**64
+        pairs = parts if len(parts) == 1 else [int(mix(np.array([(3 * a + b) % 2**64], np.uint64))[0]) for a, b in zip(parts, parts[1:])]
+        for h in pairs:
+            near[h % fingerprints.NEAR_LANES] += 1 if h >> 32 & 1 else -1
+    return b"".join(v.to_bytes(8, "little") for v in exact) + b"".join((v % 2**16).to_bytes(2, "little") for v in near)
+
+
+def hashed_range(text):
+    (_, words), = pieces(pa.array([text]))
+    return words.range_hashes([(words.start[:1], words.end[-1:])])[0][0]
+
+
+def test_fingerprints_against_plain_sums():
+    rng = random.Random(8)
+    texts = ["\n".join(" ".join(rng.choices(["ab", "é", "😀", "cd", "xyz"], k=rng.randint(0, 9))) for _ in range(rng.randint(0, 12))) for _ in range(60)]
+    assert fingerprints.encoded(*fingerprints.fingerprints(pa.array(texts))) == [plain_fingerprint(t) for t in texts]
+
+
+def test_ranges_of_one_id_are_cut_by_bytes(spark):
+    rows = [(None, f"null id {i} " * 5) for i in range(200)] + [(7, "the same text")] * 300 + [(8, f"other {i}") for i in range(50)] + [(1, "w " * 5000)]
+    docs = documents(spark, rows, 7)
+    got = fingerprints.fingerprint_documents(docs, 2000)
+    assert Counter(r.doc_id for r in got.collect()) == Counter(i for i, _ in rows)
+    assert sum(r.near_next == 1.0 for r in got.collect() if r.doc_id == 7) >= 299
+    tasks = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) > 10 and max(r["count"] for r in tasks) < 80
+
+
 def test_fingerprints_add_and_subtract():
     lines = [f"line {i} has words {i * 7 % 11}" for i in range(12)]
     one = lambda *parts: fingerprints.encoded(*fingerprints.fingerprints(pa.array(["\n".join(parts)])))[0]
