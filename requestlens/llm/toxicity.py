@@ -146,7 +146,7 @@ def fit_sample(sample: pa.Table) -> Machine:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Machine:
-    """A machine fitted on at most ``rows`` labelled texts of at most ``SAMPLE_BYTES`` bytes."""
+    """A machine fitted on at most ``rows`` labelled texts, of long ones on passages of at most ``SAMPLE_BYTES`` bytes in all."""
     return fitted(labelled_texts(docs, labels, "toxic", learn, rows, SAMPLE_BYTES, SEED), fit_sample)
 
 
@@ -177,7 +177,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose score is below 0.5, with all their columns; all of them where the labels do not show both classes."""
+    """The documents whose score is below 0.5, with all their columns; all of them where the labels do not show both classes.
+
+    Null and empty texts score by the bias alone, repeated rows alike. Ids matter to the choice of the labels learned from only; documents
+    with a null id are scored like others. An empty table gives no rows; other columns are passed on unread.
+    """
     small_batches(docs.sparkSession)
     machine = fit_toxicity(docs, labels, id_remainder(F.col("doc_id"), 5) != 0)
     return docs.where(toxicity(F.col("text"), machine) < 0.5) if len(machine.weights) else docs

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from requestlens.llm import fingerprints, languages, quality, toxicity
+from requestlens.llm.sampling import labelled_texts
 from requestlens.llm.words import mix, pieces
 from tests.llm.rows import LONG, TEXTS, awkward, documents, labels, nothing
 
@@ -97,6 +98,93 @@ def test_attention_finds_one_bad_passage(spark):
     assert all(r.predicted == 1 - r.doc_id % 2 for r in got)
 
 
+def test_quality_learns_wording(spark):
+    """Texts of one typography: only the choice of a few words among thousands tells the classes apart."""
+    rng = random.Random(5)
+    marks, rows = [], []
+    for i in range(1500):
+        y = rng.random() < 0.5
+        telling = [f"{'sound' if y else 'dross'}{k}" for k in range(150)]
+        rows.append((i, " ".join(rng.choice(telling) if rng.random() < 0.05 else f"words{rng.randrange(3000)}" for _ in range(rng.randint(60, 400)))))
+        marks.append((i, int(y), 0, ""))
+    got = quality.score_quality(documents(spark, rows), labels(spark, marks)).where("held_out").collect()
+    assert area(np.array([r.score for r in got]), np.array([marks[r.doc_id][1] for r in got])) > 0.95
+
+
+@pytest.mark.parametrize(("score", "label"), [(toxicity.score_toxicity, "toxic"), (quality.score_quality, "quality")])
+def test_classes_of_long_texts_are_learned(spark, score, label):
+    """One class has only texts above the bytes that are learned from of one text."""
+    long = "vile insultium !! " * 8000
+    rows = [(i, f"{long} {i}" if i % 2 else f"plain words {i} " * 20) for i in range(60)]
+    got = score(documents(spark, rows), labels(spark, [(i, i % 2, i % 2, "") for i, _ in rows])).where("held_out").collect()
+    assert {r.doc_id % 2 for r in got} == {0, 1} and all(r.predicted == r.doc_id % 2 for r in got)
+
+
+def test_sample_keeps_to_its_bytes(spark):
+    rows = [(i, f"{i:04d} " * 200) for i in range(100)]
+    marks = labels(spark, [(i, i % 2, 0, "") for i, _ in rows])
+    drawn = lambda most, total: labelled_texts(documents(spark, rows), marks, "quality", F.lit(True), 50, most, 1, total).collect()
+    assert len(drawn(5000, 1 << 30)) == 50 and len(drawn(5000, 9500)) == 10
+    assert all(len(r["_text"]) <= 100 for r in drawn(100, 1 << 30))
+
+
+def test_machine_against_all_pairs():
+    rng = np.random.default_rng(2)
+    place = np.full(1 << toxicity.SLOT_BITS, -1, dtype=np.int32)
+    place[:30] = rng.permutation(30)
+    machine = toxicity.Machine(-0.3, place, rng.normal(0, 0.5, 30), rng.normal(0, 0.3, (30, toxicity.FACTORS)))
+    texts = [sorted(rng.choice(40, rng.integers(0, 12), replace=False).tolist()) for _ in range(50)]
+    got = machine.score(np.array([x for t in texts for x in t], dtype=np.int32), np.cumsum([0] + [len(t) for t in texts]))
+    for text, score in zip(texts, got, strict=True):
+        known = [place[x] for x in text if place[x] >= 0]
+        raw = machine.bias + sum(machine.weights[i] for i in known)
+        raw += sum(machine.factors[i] @ machine.factors[j] for n, i in enumerate(known) for j in known[:n])
+        assert score == pytest.approx(1 / (1 + np.exp(-raw)))
+
+
+def small_net():
+    rng = np.random.default_rng(3)
+    h, w = quality.HIDDEN, quality.FEATURES + quality.EMBEDDED
+    shapes = {"e": (1 << quality.SLOT_BITS, quality.EMBEDDED), "a": (w, h), "b": (h,), "v": (h, h), "u": (h, h), "w": (h,), "c": (h,), "d": (1,)}
+    net = quality.Bags(rng.normal(0, 0.1, quality.FEATURES), rng.uniform(0.5, 2, quality.FEATURES), {k: rng.normal(0, 0.3, s) for k, s in shapes.items()})
+    size = np.array([3, 0, 64, 5, 1, 64, 64, 9])
+    bags = quality.Passages(rng.normal(0, 1, (8, quality.FEATURES)), np.array([0, 1, 2, 4, 8]), rng.integers(0, 1 << quality.SLOT_BITS, size.sum()).astype(np.int32), size)
+    return net, bags
+
+
+def test_attention_against_plain_loops():
+    net, bags = small_net()
+    p, words = net.parts, np.split(bags.slots, np.cumsum(bags.size)[:-1])
+    for text, score in enumerate(net.score(bags)):
+        encoded, raw = [], []
+        for i in range(bags.first[text], bags.first[text + 1]):
+            embedded = sum((p["e"][s] for s in words[i]), np.zeros(quality.EMBEDDED)) / max(1, len(words[i])) ** 0.5
+            h = np.tanh(np.concatenate([(bags.features[i] - net.mean) / net.spread, embedded]) @ p["a"] + p["b"])
+            encoded.append(h)
+            raw.append(sum(p["w"][k] * np.tanh(h @ p["v"][:, k]) / (1 + np.exp(-(h @ p["u"][:, k]))) for k in range(quality.HIDDEN)))
+        weights = np.exp(raw) / np.exp(raw).sum()
+        z = sum(w * h for w, h in zip(weights, encoded, strict=True))
+        assert score == pytest.approx(1 / (1 + np.exp(-(z @ p["c"] + p["d"][0]))))
+
+
+def test_slopes_against_differences():
+    net, bags = small_net()
+    truth = np.array([1, 0, 0, 1])
+    loss = lambda: -np.log(np.where(truth == 1, net.score(bags), 1 - net.score(bags))).sum()
+    slopes = net.slopes(bags, net.score(bags) - truth)
+    rng = np.random.default_rng(4)
+    for name, part in net.parts.items():
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in part.shape) if name != "e" else (rng.choice(bags.slots), rng.integers(0, quality.EMBEDDED))
+            kept = part[at]
+            part[at] = kept + 1e-5
+            up = loss()
+            part[at] = kept - 1e-5
+            down = loss()
+            part[at] = kept
+            assert slopes[name][at] == pytest.approx((up - down) / 2e-5, rel=1e-4, abs=1e-8)
+
+
 def test_languages_held_out(spark):
     docs = given(spark, "documents")
     got = languages.identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
