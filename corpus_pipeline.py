@@ -34,8 +34,8 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each row of the mix, with its shard and slot."""
-    return sharding.assign_shards(docs)
+    """The corpus: each row of the mix with its text, shard and slot, the shards as ``sharding.assign_shards`` has them."""
+    return sharding.shard_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

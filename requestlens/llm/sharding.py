@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from requestlens.session import store
 
 ROW_OVERHEAD = 8
+COLUMNS = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 
 def positions(rows: DataFrame, order: list[str], size: str) -> DataFrame:
@@ -52,21 +53,44 @@ def assign_shards(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     to laws by key and is always null. Equal texts may lie in different shards: a group of copies that holds a third of all
     bytes could not stay whole in shards of equal size. An empty table gives no rows; other columns are not read.
     """
+    return _placed(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row")), n_shards).drop("_row")
+
+
+def shard_documents(docs: DataFrame, n_shards: int = 24) -> DataFrame:
+    """The documents themselves with their shards: the columns of ``assign_shards``, then those of ``docs``, text included.
+
+    Rows are numbered in a stored copy, which the shards are joined to, so every copy of a repeated row has its own slot.
+    A column of ``docs`` named like one of ``assign_shards`` is left out; doc_id is cast to long. An empty table gives no rows.
+    """
+    others = [c for c in docs.columns if c not in COLUMNS]
+    numbered = store(
+        docs.select(
+            "doc_id", "text", F.monotonically_increasing_id().alias("_row"), F.struct(F.lit(0).alias("_0"), *[docs[f"`{c}`"] for c in others]).alias("_others")
+        ),
+        "numbered",
+    )
+    placed = _placed(numbered.select("doc_id", "text", "_row"), n_shards)
+    joined = placed.join(numbered.select("_row", "_others"), "_row")
+    return joined.select(*COLUMNS, *[F.col(f"_others.`{c}`").alias(c) for c in others])
+
+
+def _placed(rows: DataFrame, n_shards: int) -> DataFrame:
+    """The columns of ``assign_shards`` and _row, for rows of doc_id, text and _row."""
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
     narrow = store(
-        docs.select(
+        rows.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_OVERHEAD).alias("size"),
             F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-            F.monotonically_increasing_id().alias("_row"),
+            "_row",
         ).withColumn("_null", F.col("doc_id").isNull()),
         "sizes",
     )
     placed = positions(narrow, ["_null", "doc_id", "text_crc32", "size", "_row"], "size")
     sharded = store(
         placed.select(
-            "doc_id", "size", "text_crc32", "_index",
+            "_row", "doc_id", "size", "text_crc32", "_index",
             F.least(F.lit(n_shards - 1), F.expr(f"(2 * _before + size) * {n_shards} div (2 * _sum)")).cast("int").alias("shard"),
         ),
         "shards",
@@ -75,5 +99,5 @@ def assign_shards(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     # At most n_shards rows.
     return sharded.join(F.broadcast(firsts), "shard").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_index") - F.col("_first")).alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
+        F.lit(None).cast("int").alias("grown_shard"), "_row",
     )

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from requestlens.llm import mixing, secrets, sharding
 from tests.llm.rows import TEXTS, awkward, documents, nothing, words
@@ -46,6 +47,17 @@ def test_shards_of_awkward_rows(spark):
         sharding.assign_shards(nothing(spark), 0)
 
 
+def test_sharded_documents_keep_their_texts(spark):
+    docs = awkward(spark).withColumn("a.b", F.lit("dot")).withColumn("_row", F.lit(5))
+    got = sharding.shard_documents(docs, 4)
+    rows = got.collect()
+    assert got.columns == [*sharding.COLUMNS, *[c for c in docs.columns if c not in sharding.COLUMNS]]
+    assert sorted([tuple(r[:3]) + tuple(r[4:6]) for r in rows], key=str) == expected_shards([(i, t) for i, t, _, _ in TEXTS], 4)
+    assert Counter((r.doc_id, r.text, r.lang, r.source) for r in rows) == Counter(TEXTS)
+    assert all(r.text_crc32 == zlib.crc32((r.text or "").encode()) and r["a.b"] == "dot" and r["_row"] == 5 for r in rows)
+    assert sharding.shard_documents(nothing(spark)).collect() == []
+
+
 def test_shards_of_one_repeated_row(spark):
     rows = [(1, "same")] * 300
     got = sharding.assign_shards(documents(spark, rows, 5), 6).collect()

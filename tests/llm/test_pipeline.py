@@ -36,6 +36,8 @@ def test_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         tables.append(corpus_pipeline.store(stage(spark, tables[-1], FOLDER), "stage"))
     given, clean, single, safe, mixed, sharded = ([tuple(r) for r in t.collect()] for t in tables)
+    delivered = tables[-1].select(docs.columns).collect()
+    assert Counter(tuple(r) for r in delivered) == Counter(mixed)
     assert all(t.columns == docs.columns for t in tables[:-1])
     scores = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, truth).collect()}
     assert {r[0] for r in clean} == {i for i, s in scores.items() if s < 0.5}
