@@ -206,7 +206,10 @@ def similar_windows(items, text):
     known = [(i, w, shingles(w)) for i, w in known if len(w) >= 5]
     having = Counter(s for *_, counted in known for s in counted)
     own, found = words((text or "").translate(LOWER)), set()
+    all_own = set(shingles(own))
     for item_id, w, counted in known:
+        if all_own.isdisjoint(counted):
+            continue  # nothing shared, similarity 0
         size = min(len(w), len(own))
         for a in range(len(own) - size + 1):
             window = shingles(own[a: a + size])
