@@ -257,7 +257,7 @@ _FACT_SQL = f"""request_key, created_date_key, closed_date_key, agency_key, comp
 def mart_roundtrip(spark, folder):
     """The fact written as a month-partitioned table and read back."""
     path = fresh_path(spark, "fact-months")
-    T.write_fact(I.fact(spark, folder).drop("dbt_updated_at"), path)
+    T.write_fact(I.placed_fact(spark, folder).drop("dbt_updated_at"), path, placed=True)
     return T.read_fact(spark, path).drop(T.MONTH)
 
 
