@@ -1,8 +1,11 @@
 """Work that grows with the input: how often rows are shuffled and stored, and how evenly they are dealt."""
 
 import datetime as dt
+import os
 
 
+from pyspark.sql import functions as F
+
 from requestlens.plans import fact as T
 from requestlens.sources.star_requests import raw_requests
 
@@ -52,3 +55,89 @@ def test_fact_dealt_by_month_early_is_written_without_another_exchange(spark, tm
     T.write_fact(I.fact(spark, folder), f"{tmp_path}/plain")
     placed, plain = (T.read_fact(spark, f"{tmp_path}/{name}") for name in ("placed", "plain"))
     assert plain.count() > 0 and sorted(map(str, placed.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_pages_and_lines_are_landed_compressed_and_read_back(spark, tmp_path):
+    from requestlens.sources import landing as L
+
+    rows = spark.createDataFrame([(f"k{n}", "Open", f"b{n % 2}") for n in range(50)], "unique_key string, status string, batch_id string")
+    L.land_arrays(rows, f"{tmp_path}/pages", ["unique_key", "status"], 7)
+    L.land_lines(rows.repartition(2), f"{tmp_path}/lines", ["unique_key", "status"])
+    for name, arrays in (("pages", True), ("lines", False)):
+        files = [p.name for p in (tmp_path / name).rglob("part-*")]
+        assert files and all(f.endswith(".gz") for f in files)
+        back = L.read_pages(spark, f"{tmp_path}/{name}", arrays).select("unique_key", "status", "batch_id")
+        assert sorted(back.collect()) == sorted(rows.collect())
+
+
+def test_turns_get_as_many_files_as_their_rows_need(spark):
+    from requestlens.sources.landing import files_per_turn
+
+    rows = spark.range(30_000).withColumn("turn", (F.col("id") % 3 > 0).cast("int"))
+    assert files_per_turn(rows, "turn", 4, 10_000_000) == 4
+    assert files_per_turn(rows, "turn", 4, 2_500) == 8
+    assert files_per_turn(rows, "turn", 4, 10) == 10  # the smaller turn has 10,000 rows
+    assert files_per_turn(rows.limit(0), "turn", 4) == 4
+
+
+def test_stream_pages_are_landed_by_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    from requestlens.catalog import streams
+
+    seen = []
+    monkeypatch.setattr(streams, "FILE_ROWS", 5)
+    monkeypatch.setattr(streams, "land_lines", lambda rows, path, columns: seen.append(rows.rdd.getNumPartitions()))
+    monkeypatch.setattr(streams.S, "page_stream", lambda *args, max_files: seen.append(max_files))
+    folder = _star(spark, tmp_path / "in")
+    streams._pages(spark, folder, 2)
+    assert seen == [8, 20]  # 40 lines, two micro-batches of four tasks, which leave up to five files each
+
+
+def test_months_are_replaced_without_a_second_copy(spark, tmp_path, monkeypatch):
+    from requestlens import session
+    from requestlens.operators import merge as G
+    from requestlens.operators import upsert as U
+
+    stored = []
+    for module in (U, G):
+        monkeypatch.setattr(module, "store", lambda df, label: stored.append(label) or session.store(df, label))
+    schema = "unique_key string, created_date string, status string, ingested_at timestamp_ntz"
+
+    def batch(day, *rows):
+        return spark.createDataFrame([(k, c, s, dt.datetime(2024, 6, day)) for k, c, s in rows], schema)
+
+    first = batch(1, ("a", "2024-01-05", "Open"), ("b", "2024-02-05", "Open"), ("c", "2024-01-07", "Open"))
+    second = batch(2, ("a", "2024-02-06", "Closed"), ("c", "2024-03-01", "Closed"), ("d", "2024-02-01", "Open"))
+    table = G.MergedTable(spark, f"{tmp_path}/merged")
+    for number, rows in enumerate((first, second, second)):
+        U.upsert_table(rows, f"{tmp_path}/upserted")
+        table.merge(rows, f"batch {number}")
+    want = {("a", "Closed", "2024-02-01"), ("b", "Open", "2024-02-01"), ("c", "Closed", "2024-03-01"), ("d", "Open", "2024-02-01")}
+    for name in ("merged", "upserted"):
+        assert {(r.unique_key, r.status, str(r[U.MONTH])) for r in spark.read.parquet(f"{tmp_path}/{name}").collect()} == want
+        assert not os.path.exists(f"{tmp_path}/{name}/{U.MONTH}=2024-01-01")
+    assert set(stored) == {"upsert-batch", "merge-batch"}
+
+
+def test_models_are_written_where_they_are_read(spark, tmp_path, monkeypatch):
+    from requestlens.plans import incremental as N
+
+    written = []
+    monkeypatch.setattr(N, "store", lambda df, label: written.append(label) or df)
+    models = N.MonthlyModels(spark, str(tmp_path))
+    months = [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    rows = spark.createDataFrame([(months[n % 2], n) for n in range(10)], f"{N.MONTH} date, n int")
+    assert models._replace(rows, "model", months, placed=True).count() == 10
+    assert models._replace(rows.where("n % 2 = 0"), "model", months).count() == 5
+    assert [p.name for p in tmp_path.glob("model/created_month=*")] == ["created_month=2024-01-01"] and not written
+
+
+def test_texts_are_copied_once_on_their_way_to_the_shards(spark, monkeypatch):
+    from requestlens.llm import sharding
+
+    copies = {}
+    plain = sharding.store
+    monkeypatch.setattr(sharding, "store", lambda df, label, *more: copies.setdefault(label, df.schema.simpleString()) and plain(df, label, *more))
+    docs = spark.createDataFrame([(n, f"text {n}" if n else None, "x") for n in (0, 1, 2, 3, 3, 3)], "doc_id long, text string, source string")
+    found = sharding.shard_documents(docs, 2)
+    assert sorted((r.doc_id, r.text or "", r.source) for r in found.collect()) == sorted((r.doc_id, r.text or "", r.source) for r in docs.collect())
+    assert copies["numbered"].count("text") == 1
