@@ -64,12 +64,11 @@ def shard_documents(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     """
     others = [c for c in docs.columns if c not in COLUMNS]
     numbered = store(
-        docs.select(
-            "doc_id", "text", F.monotonically_increasing_id().alias("_row"), F.struct(F.lit(0).alias("_0"), *[docs[f"`{c}`"] for c in others]).alias("_others")
-        ),
-        "numbered",
+        docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), F.struct(F.lit(0).alias("_0"), *[docs[f"`{c}`"] for c in others]).alias("_others")),
+        "numbered", "zstd",
     )
-    placed = _placed(numbered.select("doc_id", "text", "_row"), n_shards)
+    # The copy holds the text once, among the other columns.
+    placed = _placed(numbered.select("doc_id", F.col("_others.text").alias("text"), "_row"), n_shards)
     joined = placed.join(numbered.select("_row", "_others"), "_row")
     return joined.select(*COLUMNS, *[F.col(f"_others.`{c}`").alias(c) for c in others])
 
