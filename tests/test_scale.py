@@ -32,8 +32,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_lines_are_dealt_once_to_meet_large_orders(spark, tmp_path):
+def test_lines_are_dealt_once_to_meet_large_orders(spark, tmp_path, monkeypatch):
     folder = _star(spark, tmp_path)
+    monkeypatch.setattr("requestlens.sources.star_requests.LARGE_ORDERS", 0)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
