@@ -40,7 +40,7 @@ def src_json_pages(spark, folder):
     path = fresh_path(spark, "pages")
     rows = store(landing.conform(I.raw(spark, folder)), "page-rows")
     columns = [*API_FIELDS, "source_row"]
-    landing.land_arrays(rows, path, columns, _PAGE_ROWS)
+    landing.land_arrays(rows, path, columns, _PAGE_ROWS, "gzip")
     cut = rows.select("batch_id").distinct().select("batch_id", F.lit(-1).alias("page"), F.lit('[{"unique_key": "cut off", "status": "Op').alias("value"))
     cut.write.mode("append").partitionBy("batch_id", "page").text(path)
     pages = landing.read_pages(spark, path, array_pages=True, extra=("source_row",))

@@ -62,7 +62,7 @@ def test_pages_and_lines_are_landed_compressed_and_read_back(spark, tmp_path):
     from requestlens.sources import landing as L
 
     rows = spark.createDataFrame([(f"k{n}", "Open", f"b{n % 2}") for n in range(50)], "unique_key string, status string, batch_id string")
-    L.land_arrays(rows, f"{tmp_path}/pages", ["unique_key", "status"], 7)
+    L.land_arrays(rows, f"{tmp_path}/pages", ["unique_key", "status"], 7, "gzip")
     L.land_lines(rows.repartition(2), f"{tmp_path}/lines", ["unique_key", "status"])
     for name, arrays in (("pages", True), ("lines", False)):
         files = [p.name for p in (tmp_path / name).rglob("part-*")]
