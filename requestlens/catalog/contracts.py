@@ -10,6 +10,7 @@ from requestlens.catalog.registry import query
 from requestlens.plans.contract import contract_report
 from requestlens.schemas import API_FIELDS
 from requestlens.session import fresh_path
+from requestlens.sources.landing import FILE_ROWS
 from requestlens.sources.star_requests import RULES
 from requestlens.sources.tables import table
 
@@ -34,7 +35,9 @@ def _landed_lines(spark, folder):
     whole = F.when(number == "", record).otherwise(F.concat(F.expr("'{'"), number, F.lit(", "), F.substring(record, F.lit(2), F.length(record))))
     line = F.when(F.expr(_CUT), F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
     path = fresh_path(spark, "contract-lines")
-    rows.select("batch_id", line.alias("value")).write.partitionBy("batch_id").text(path)
+    # Compressed files are read whole, so their rows are limited.
+    landed = rows.select("batch_id", line.alias("value")).write.partitionBy("batch_id").option("maxRecordsPerFile", FILE_ROWS)
+    landed.text(path, compression="lz4")
     return spark.read.schema("value string, batch_id string").text(path)
 
 

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from requestlens.session import store
+
 _TYPE = r"^[A-Z]+"
 
 
@@ -29,34 +31,48 @@ def payload_schema(df: DataFrame, payload: str, by: Sequence[str]) -> DataFrame:
     return parsed(df, payload, by).groupBy(*by).agg(F.schema_of_variant_agg("value").alias("payload_schema"))
 
 
-def field_types(df: DataFrame, payload: str, declared: Mapping[str, str], by: Sequence[str]) -> DataFrame:
-    """(by, field, found_type, records, retyped) of every field with a value other than JSON null.
+def _field_counts(df: DataFrame, payload: str, declared: Mapping[str, str], by: Sequence[str]) -> DataFrame:
+    """(by, field, found_type, records, retyped, unreadable) from one parse of the payloads.
 
-    ``found_type`` is the common type of the values, VARIANT where they have none; ``retyped`` counts values whose own
-    type is not the declared one. One record per value is aggregated in the tasks, so a group of any size reaches the shuffle
-    with one row per field and task.
+    A payload without fields is a row without a field, so every group is present; one that is no JSON counts as unreadable there.
     """
     spark = df.sparkSession
-    rows = parsed(df, payload, by).select(*by, F.col("value").alias("_document"))
-    each = rows.lateralJoin(spark.tvf.variant_explode(F.col("_document").outer())).where(F.col("key").isNotNull() & ~F.is_variant_null("value"))
+    rows = parsed(df, payload, by).select(
+        *by, (F.col("payload").isNotNull() & F.col("value").isNull()).alias("_unreadable"), F.col("value").alias("_document")
+    )
+    each = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("_document").outer()))
+    each = each.withColumn("value", F.when(F.col("key").isNotNull() & ~F.is_variant_null("value"), F.col("value")))
     own = _plain(F.schema_of_variant("value"))
     pairs = [F.lit(text) for pair in declared.items() for text in pair]
     wanted = F.element_at(F.create_map(*pairs), F.col("key")) if pairs else F.lit(None).cast("string")
     return each.groupBy(*by, F.col("key").alias("field")).agg(
         _plain(F.schema_of_variant_agg("value")).alias("found_type"),
-        F.count("*").alias("records"),
+        F.count("value").alias("records"),
         F.count_if(own != wanted).alias("retyped"),
+        F.count_if("_unreadable").alias("unreadable"),
     )
 
 
+def field_types(df: DataFrame, payload: str, declared: Mapping[str, str], by: Sequence[str]) -> DataFrame:
+    """(by, field, found_type, records, retyped) of every field with a value other than JSON null.
+
+    ``found_type`` is the common type of the values, VARIANT where they have none; ``retyped`` counts values whose own
+    type is not the declared one. One record per value is aggregated in the tasks, so a group of any size reaches the shuffle
+    with one row per field and task.
+    """
+    return _field_counts(df, payload, declared, by).where(F.col("records") > 0).drop("unreadable")
+
+
 def contract_report(df: DataFrame, payload: str, declared: Mapping[str, str], by: Sequence[str]) -> DataFrame:
     """(by, field, declared_type, found_type, records, retyped, status) for every group of payloads.
 
     ``status`` is known, retyped (some value has another type), unknown (not declared), or missing (declared, and no record of the
     group has it). A group with payloads that are no JSON has a row without a field, of status unreadable. ``by`` has no nulls.
+    The payloads are parsed once; the counts, one row per group and field, are stored.
     """
-    found = field_types(df, payload, declared, by)
-    counts = parsed(df, payload, by).groupBy(*by).agg(F.count_if(F.col("payload").isNotNull() & F.col("value").isNull()).alias("records"))
+    counted = store(_field_counts(df, payload, declared, by), "contract-fields")
+    found = counted.where(F.col("records") > 0).drop("unreadable")
+    counts = counted.groupBy(*by).agg(F.sum("unreadable").alias("records"))
     fields = F.array(*[F.struct(F.lit(name).alias("field"), F.lit(kind).alias("declared_type")) for name, kind in declared.items()])
     expected = counts.select(*by, F.inline(fields))
     status = (

@@ -142,3 +142,18 @@ def test_texts_are_copied_once_on_their_way_to_the_shards(spark, monkeypatch):
     found = sharding.shard_documents(docs, 2)
     assert sorted((r.doc_id, r.text or "", r.source) for r in found.collect()) == sorted((r.doc_id, r.text or "", r.source) for r in docs.collect())
     assert copies["numbered"].count("text") == 1
+
+
+def test_contract_lines_are_landed_compressed_and_parsed_once(spark, tmp_path, monkeypatch):
+    from requestlens.catalog import contracts
+    from requestlens.plans import contract as C
+
+    calls = []
+    plain = C.parsed
+    monkeypatch.setattr(contracts, "fresh_path", lambda spark, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(contracts, "FILE_ROWS", 3)
+    monkeypatch.setattr(C, "parsed", lambda *args: calls.append(1) or plain(*args))
+    report = contracts.mon_contract(spark, _star(spark, tmp_path / "in")).collect()
+    files = [p.name for p in (tmp_path / "contract-lines").rglob("part-*")]
+    assert len(files) >= 10 and all(f.endswith(".txt.lz4") for f in files) and len(calls) == 1
+    assert sum(r.records for r in report if r.field == "complaint_type" or r.status == "unreadable") == 40 - 5 + 6
