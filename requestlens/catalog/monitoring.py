@@ -146,7 +146,7 @@ def _profile_sql(source: str, columns) -> str:
 
 @query("profile_columns", over(RAW, _profile_sql("raw", _PROFILED)))
 def profile_columns(spark, folder):
-    return M.profile(I.raw(spark, folder, *_PROFILED), exact=True)
+    return M.profile(store(I.raw(spark, folder, *_PROFILED), "profiled"), exact=True)
 
 
 _EVENTS = "(SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, CAST(value AS DECIMAL(30, 6)) AS value) FROM events)"

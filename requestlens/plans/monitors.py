@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -134,24 +135,30 @@ def uncastable(df: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
     return counted.select(F.inline(F.array(*entries)))
 
 
+def _exact_profile(df: DataFrame, name: str, text: Column) -> DataFrame:
+    """The profile of one column, a row if ``df`` has any."""
+    values = df.select(text.alias("value")).groupBy("value").agg(F.count("*").alias("n"))
+    measured = values.agg(
+        F.sum("n").alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("value").alias("distinct_count"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+    )
+    return measured.where(F.col("row_count").isNotNull()).select(F.lit(name).alias("column_name"), "*")
+
+
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """Rows, nulls, distinct values, minimum and maximum (as text) per column.
 
-    The default counts distinct values approximately in one aggregate. ``exact`` counts every value per column once,
-    combined per task before the shuffle, so repeated values and nulls cost little.
+    The default counts distinct values approximately in one aggregate. ``exact`` counts every value of a column once, combined
+    per task before the shuffle, so repeated values and nulls cost little. Each column is read on its own, so a task holds the
+    distinct values of one column only; ``df`` should be a stored table.
     """
     names = list(columns or df.columns)
     text = {name: F.col(name).cast("string") for name in names}
     if exact:
-        pairs = [F.struct(F.lit(name).alias("column_name"), text[name].alias("value")) for name in names]
-        values = df.select(F.inline(F.array(*pairs))).groupBy("column_name", "value").agg(F.count("*").alias("n"))
-        return values.groupBy("column_name").agg(
-            F.sum("n").alias("row_count"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-            F.count("value").alias("distinct_count"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
-        )
+        return reduce(DataFrame.unionByName, [_exact_profile(df, name, text[name]) for name in names])
     measured = df.agg(F.count("*").alias("_rows"), *[
         F.struct(
             F.count_if(F.col(name).isNull()).alias("nulls"), F.approx_count_distinct(text[name]).alias("distinct"),

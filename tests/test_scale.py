@@ -157,3 +157,13 @@ def test_contract_lines_are_landed_compressed_and_parsed_once(spark, tmp_path, m
     files = [p.name for p in (tmp_path / "contract-lines").rglob("part-*")]
     assert len(files) >= 10 and all(f.endswith(".txt.lz4") for f in files) and len(calls) == 1
     assert sum(r.records for r in report if r.field == "complaint_type" or r.status == "unreadable") == 40 - 5 + 6
+
+
+def test_exact_profile_holds_one_column_at_a_time(spark):
+    from requestlens.plans.monitors import profile
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, "c")], "n int, t string")
+    found = profile(df, exact=True)
+    assert "Generate" not in _plan(found)
+    assert sorted(map(tuple, found.collect())) == [("n", 3, 0, 2, "1", "2"), ("t", 3, 1, 2, "a", "c")]
+    assert profile(df.limit(0), exact=True).count() == 0
