@@ -167,3 +167,16 @@ def test_exact_profile_holds_one_column_at_a_time(spark):
     assert "Generate" not in _plan(found)
     assert sorted(map(tuple, found.collect())) == [("n", 3, 0, 2, "1", "2"), ("t", 3, 1, 2, "a", "c")]
     assert profile(df.limit(0), exact=True).count() == 0
+
+
+def test_many_raw_columns_are_derived_for_chosen_versions_only(spark, tmp_path, monkeypatch):
+    from requestlens.catalog import inputs as I
+
+    folder = _star(spark, tmp_path)
+    found = I.current(spark, folder, *I.FACT_INPUT, "batch_id")
+    # Names of agencies are written after the window, so no exchange carries them.
+    assert _plan(found).index("NYPD") < _plan(found).index("Window [")
+    monkeypatch.setattr(I, "MANY", 100)
+    plain = I.current(spark, folder, *I.FACT_INPUT, "batch_id")
+    assert plain.columns == found.columns and _plan(plain).index("NYPD") > _plan(plain).index("Window [")
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect())) and found.count() > 0
