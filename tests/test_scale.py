@@ -180,3 +180,29 @@ def test_many_raw_columns_are_derived_for_chosen_versions_only(spark, tmp_path,
     plain = I.current(spark, folder, *I.FACT_INPUT, "batch_id")
     assert plain.columns == found.columns and _plan(plain).index("NYPD") > _plan(plain).index("Window [")
     assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect())) and found.count() > 0
+
+
+def test_versions_are_told_apart_where_the_lines_were_dealt(spark, tmp_path, monkeypatch):
+    from requestlens.catalog import inputs as I
+    from requestlens.operators.latest import latest_wins
+
+    folder = _star(spark, tmp_path)
+    monkeypatch.setattr("requestlens.sources.star_requests.LARGE_ORDERS", 0)
+    # One order comes twice, once without a date: its newer versions may be unfit and must not hide a fit one.
+    day = dt.datetime(1996, 3, 1, 10, 30)
+    orders = [(k, 0, "F", 1.0, date, "1") for k, date in [(0, day), (1, day), (2, None), (3, day), (3, None), (4, day), (503, day), (997, day)]]
+    spark.createDataFrame(orders, spark.read.parquet(f"{folder}/orders.parquet").schema).write.mode("overwrite").parquet(f"{folder}/orders.parquet")
+    lines = [(k, p, s, n, 1.0, 1.0, 0.0, 0.0, "R", "O", day) for k in (0, 1, 2, 3, 4, 503, 997) for p in range(3) for s in (0, 1) for n in (1, None)]
+    spark.createDataFrame(lines, spark.read.parquet(f"{folder}/lineitem.parquet").schema).write.mode("overwrite").parquet(f"{folder}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for columns in (["closed_date"], ["closed_date", "agency", "agency_name", "complaint_type", "location_type", "status"]):
+            got = I.current(spark, folder, *columns)
+            # One exchange each for lines and orders.
+            assert _plan(got).count("Exchange") == 2
+            expected = latest_wins(I.fit(spark, folder, *columns), ties=I.TIES)
+            assert got.columns == expected.columns and got.count() == 3
+            assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
