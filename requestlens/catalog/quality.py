@@ -102,8 +102,8 @@ def _suite_input(spark, folder):
 
 
 def _results(spark, folder):
-    """The raw rows are derived once: row-level and uniqueness expectations both read the stored table."""
-    return Q.evaluate(store(_suite_input(spark, folder), "suite-input"), _SUITE)
+    """The raw rows are derived once: row-level and uniqueness expectations both read the stored keys and flags."""
+    return Q.evaluate_flagged(store(Q.flagged(_suite_input(spark, folder), _SUITE), "suite-flags"), _SUITE)
 
 
 def _subset(*numbers):

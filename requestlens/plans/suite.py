@@ -133,6 +133,31 @@ def unexpected(rule: dict) -> Column:
     raise ValueError(f"unknown expectation type {kind}")
 
 
+def _flags(suite: dict) -> dict[str, Column]:
+    """Per flag its condition: values that are missing, by column, and values a rule counts as unexpected, by number."""
+    flags = {}
+    for number, rule in enumerate(suite["expectations"], start=1):
+        kind, column = rule["expectation_type"], rule["kwargs"].get("column")
+        if column:
+            flags[f"_null_{column}"] = F.col(column).isNull()
+        if kind not in (NOT_NULL, UNIQUE, ROW_COUNT):
+            flags[f"_wrong{number}"] = unexpected(rule)
+    return flags
+
+
+def _unique_columns(suite: dict) -> list[str]:
+    return list(dict.fromkeys(rule["kwargs"]["column"] for rule in suite["expectations"] if rule["expectation_type"] == UNIQUE))
+
+
+def flagged(df: DataFrame, suite: dict, by: Sequence[str] = ()) -> DataFrame:
+    """All that ``evaluate_flagged`` reads of each row: groups, unique columns and flags.
+
+    Both of its branches read the rows, so these are worth storing where ``df`` is costly; they are much narrower.
+    """
+    kept = list(dict.fromkeys([*by, *_unique_columns(suite)]))
+    return df.select(*kept, *[flag.alias(name) for name, flag in _flags(suite).items()])
+
+
 def _repeated_rows(df: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:
     counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_n"))
     return counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(name))
@@ -140,20 +165,33 @@ def _repeated_rows(df: DataFrame, column: str, by: Sequence[str], name: str) ->
 
 def row_counts(df: DataFrame, suite: dict, groups: Sequence[str] = ()) -> DataFrame:
     """One aggregate with the rows, and per expectation the missing and unexpected values; uniqueness is not part of it."""
+    return _counts(df, suite, groups, _flags(suite))
+
+
+def _counts(df: DataFrame, suite: dict, groups: Sequence[str], flags: dict[str, Column]) -> DataFrame:
     aggregates = [F.count("*").alias("_rows")]
     for number, rule in enumerate(suite["expectations"], start=1):
         kind, column = rule["expectation_type"], rule["kwargs"].get("column")
         if column:
-            aggregates.append(F.count_if(F.col(column).isNull()).alias(f"_missing{number}"))
+            aggregates.append(F.count_if(flags[f"_null_{column}"]).alias(f"_missing{number}"))
         if kind not in (UNIQUE, ROW_COUNT):
-            aggregates.append(F.count_if(unexpected(rule)).alias(f"_unexpected{number}"))
+            wrong = flags[f"_null_{column}" if kind == NOT_NULL else f"_wrong{number}"]
+            aggregates.append(F.count_if(wrong).alias(f"_unexpected{number}"))
     return df.groupBy(*groups).agg(*aggregates)
 
 
 def evaluate(df: DataFrame, suite: dict, by: Sequence[str] = ()) -> DataFrame:
     """One row per expectation (and per group of ``by``) with counts and the verdict."""
-    groups = list(by)
-    metrics = row_counts(df, suite, groups)
+    return _evaluated(df, suite, list(by), _flags(suite))
+
+
+def evaluate_flagged(rows: DataFrame, suite: dict, by: Sequence[str] = ()) -> DataFrame:
+    """``evaluate`` on the rows of ``flagged`` with the same suite and groups."""
+    return _evaluated(rows, suite, list(by), {name: F.col(name) for name in _flags(suite)})
+
+
+def _evaluated(df: DataFrame, suite: dict, groups: list[str], flags: dict[str, Column]) -> DataFrame:
+    metrics = _counts(df, suite, groups, flags)
     for number, rule in enumerate(suite["expectations"], start=1):
         if rule["expectation_type"] == UNIQUE:
             name = f"_unexpected{number}"

@@ -206,3 +206,39 @@ def test_versions_are_told_apart_where_the_lines_were_dealt(spark, tmp_path, mon
             assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_suites_store_keys_and_flags_instead_of_texts(spark, tmp_path):
+    from requestlens.catalog import QUERIES
+
+    folder = _star(spark, tmp_path)
+    for name, kept in (("x_gate", set()),):
+        files = QUERIES[name](spark, folder).inputFiles()
+        assert files and all("/suite-flags-" in file for file in files)
+        read = set(spark.read.parquet(os.path.dirname(files[0])).columns)
+        assert {"unique_key", "_null_agency", "_wrong12", *kept} <= read
+        assert all(column in {"unique_key", *kept} or column.startswith("_") for column in read)
+
+
+def test_flagged_rows_give_the_results_of_the_rows(spark):
+    from requestlens.plans import suite as Q
+
+    rules = [
+        Q.expectation(Q.NOT_NULL, "d", "critical", column="k"),
+        Q.expectation(Q.UNIQUE, "d", "critical", column="k"),
+        Q.expectation(Q.UNIQUE, "d", "critical", column="x"),
+        Q.expectation(Q.IN_SET, "d", "info", column="x", value_set=["1", "2"]),
+        Q.expectation(Q.BETWEEN, "d", "info", column="x", min_value=0, max_value=1.5),
+        Q.expectation(Q.ROW_COUNT, "d", "info", min_value=1, max_value=3),
+    ]
+    suite = {"expectations": rules}
+    rows = spark.createDataFrame(
+        [("a", "1", 1), ("a", "2", 1), (None, "3", 1), (None, None, None), ("b", "x", None), ("b", "x", 2), ("c", None, 2)],
+        "k string, x string, g int",
+    )
+    for by in ([], ["g"], ["k"]):
+        flagged = Q.flagged(rows, suite, by)
+        assert set(flagged.columns) == {"k", "x", *by, "_null_k", "_null_x", "_wrong4", "_wrong5"}
+        expected = Q.evaluate(rows, suite, by).collect()
+        assert len(expected) == 6 * len({tuple(row[name] for name in by) for row in rows.collect()})
+        assert sorted(map(str, Q.evaluate_flagged(flagged, suite, by).collect())) == sorted(map(str, expected))
