@@ -191,7 +191,8 @@ counted AS (SELECT *, CASE WHEN unique_key IS NOT NULL THEN count(*) OVER (PARTI
     _results_sql("counted", "created_day")))
 def x_suite_by_day(spark, folder):
     rows = _suite_input(spark, folder).withColumn("created_day", F.to_date(created_at()))
-    return Q.evaluate(rows, _SUITE, ["created_day"])
+    flags = store(Q.flagged(rows, _SUITE, ["created_day"]), "suite-flags")
+    return Q.evaluate_flagged(flags, _SUITE, ["created_day"])
 
 
 @query("x_key_format", over(RAW, """

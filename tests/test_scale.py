@@ -212,7 +212,7 @@ def test_suites_store_keys_and_flags_instead_of_texts(spark, tmp_path):
     from requestlens.catalog import QUERIES
 
     folder = _star(spark, tmp_path)
-    for name, kept in (("x_gate", set()),):
+    for name, kept in (("x_gate", set()), ("x_suite_by_day", {"created_day"})):
         files = QUERIES[name](spark, folder).inputFiles()
         assert files and all("/suite-flags-" in file for file in files)
         read = set(spark.read.parquet(os.path.dirname(files[0])).columns)
