@@ -1,6 +1,6 @@
 """Tokens of two tokenizers matched by the bytes they cover, and how often ids meet over all documents.
 
-Tasks tokenize blocks of documents. A block is stored as one row: what is known of each document at once, its segments by
+Tasks tokenize blocks of documents. A block is stored as one row, numbered by its task: what is known of each document at once, its segments by
 number, the links of each distinct segment, and in how many of its documents each linked id pair occurs. Pairs are counted over
 all blocks; each block then gets back the counts of its own distinct pairs, and sums them by segment and by document.
 So a pair travels once for a block, not for an occurrence, and texts do not travel at all.
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,10 @@ TOKENIZERS = "/opt/tokenizers"
 BLOCK_BYTES = 4 << 20
 # Segments kept in a task from block to block, and the characters of them.
 HELD, HELD_CHARS = 500_000, 48 << 20
+# Rows of blocks in a file: a reader or writer in a task holds them at once, each of several MB.
+FILE_BLOCKS = 4
 _BLOCK = (
-    "doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
+    "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
     "groups_sha256 array<string>, segments binary, segment_first binary, links binary, link_first binary, pair array<bigint>, docs array<int>"
 )
 _LISTS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
@@ -35,8 +38,9 @@ _LISTS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 class _Documents:
     """The documents of a block while it is filled."""
 
-    def __init__(self, tokenizers: Tokenizers) -> None:
+    def __init__(self, tokenizers: Tokenizers, first: int = 0) -> None:
         self.tokenizers = tokenizers
+        self.number = first
         self.known = Segments(tokenizers)
         self.rows: list[tuple[int | None, str]] = []
         self.size = 0
@@ -79,19 +83,25 @@ class _Documents:
         entries = np.repeat(once >> 32, many[mine]) * len(pair) + links[spread(link_first[mine], many[mine])]
         docs = np.bincount(distinct(entries) % max(1, len(pair)), minlength=len(pair))
         out = {
-            "doc_id": [doc_id for doc_id, _ in self.rows], "n_a": sums[:, 0], "n_b": sums[:, 1], "n_groups": sums[:, 2], "n_links": sums[:, 3],
+            "block": self.number, "doc_id": [doc_id for doc_id, _ in self.rows], "n_a": sums[:, 0], "n_b": sums[:, 1], "n_groups": sums[:, 2], "n_links": sums[:, 3],
             "groups_sha256": digests, "segments": local.astype("<u4").tobytes(), "segment_first": first.astype("<i8").tobytes(),
             "links": links.astype("<u4").tobytes(), "link_first": link_first.astype("<i8").tobytes(), "pair": pair, "docs": docs.astype(np.int32),
         }
-        self.rows, self.size = [], 0
+        self.rows, self.size, self.number = [], 0, self.number + 1
         if len(known.numbers) > HELD or sum(map(len, known.groups)) > HELD_CHARS:
             self.known = Segments(self.tokenizers)
         return out
 
 
+def _released(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Give back what the C library holds of freed memory, which would add up over the blocks of a worker."""
+    pa.system_memory_pool().release_unused()
+    return batch
+
+
 def _blocks(docs: DataFrame, folder: str) -> DataFrame:
     schema = pa.schema([
-        ("doc_id", pa.list_(pa.int64())), *((name, pa.list_(pa.int64())) for name in _LISTS[1:5]), ("groups_sha256", pa.list_(pa.string())),
+        ("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), *((name, pa.list_(pa.int64())) for name in _LISTS[1:5]), ("groups_sha256", pa.list_(pa.string())),
         ("segments", pa.binary()), ("segment_first", pa.binary()), ("links", pa.binary()), ("link_first", pa.binary()),
         ("pair", pa.list_(pa.int64())), ("docs", pa.list_(pa.int32())),
     ])
@@ -99,13 +109,13 @@ def _blocks(docs: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            held = held or _Documents(Tokenizers(folder))
+            held = held or _Documents(Tokenizers(folder), TaskContext.get().partitionId() << 32)
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 if held.rows and held.size > BLOCK_BYTES:
-                    yield pa.RecordBatch.from_pylist([held.block()], schema)
+                    yield _released(pa.RecordBatch.from_pylist([held.block()], schema))
                 held.add(doc_id, text.as_py())
         if held and held.rows:
-            yield pa.RecordBatch.from_pylist([held.block()], schema)
+            yield _released(pa.RecordBatch.from_pylist([held.block()], schema))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _BLOCK)
 
@@ -150,13 +160,11 @@ def align_documents(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     path = fresh_path(spark, "token-blocks")
-    _blocks(docs, folder).write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    # A block is named by its file and place, which do not change once it is written.
-    name = F.concat_ws("/", "_metadata.file_path", "_metadata.row_index")
+    _blocks(docs, folder).write.mode("errorifexists").options(compression="zstd", maxRecordsPerFile=FILE_BLOCKS).parquet(path)
     stored, again = (spark.read.schema(_BLOCK).parquet(path) for _ in range(2))
-    pairs = stored.select(name.alias("of"), F.posexplode("pair").alias("i", "pair"))
+    pairs = stored.select(F.col("block").alias("of"), F.posexplode("pair").alias("i", "pair"))
     counts = pairs.join(pair_counts(stored), "pair").select("of", "i", "n", "best")
-    blocks = again.select(name.alias("block"), *_LISTS, "segments", "segment_first", "links", "link_first", F.size("pair").alias("pairs"))
+    blocks = again.select("block", *_LISTS, "segments", "segment_first", "links", "link_first", F.size("pair").alias("pairs"))
     done = counts.groupBy("of").cogroup(blocks.groupBy("block"))
     columns = ", ".join(f"{name} {'string' if name == 'groups_sha256' else 'bigint'}" for name in [*_LISTS, "n_best", "count_sum"])
     return done.applyInArrow(_summed, columns).select(

@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -215,12 +214,20 @@ def align(tokenizers: Tokenizers, texts: list[str]) -> Aligned:
     )
 
 
+class Numbers(dict):
+    """Texts numbered in the order in which they are looked up. It refers to nothing else, so it is freed as soon as it is left."""
+
+    def __missing__(self, text: str) -> int:
+        self[text] = number = len(self)
+        return number
+
+
 class Segments:
     """Aligned segments by number, each worked out once until ``most`` of them are held."""
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.tokenizers = tokenizers
-        self.numbers: dict[str, int] = defaultdict(lambda: len(self.numbers))
+        self.numbers = Numbers()
         self.done = 0
         self.held = 0
         self.exact = np.empty(0, bool)

@@ -1,7 +1,10 @@
 """Aligned tokens against the definition: whole texts, tokens one by one, all overlaps."""
 
+import gc
 import hashlib
 import json
+import os
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -9,6 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from requestlens.llm import alignment
 from requestlens.llm.alignment import TOKENIZERS, align_documents, aligned_groups
 from requestlens.llm.tokens import Segments, Tokenizers, cut_ends, runs, segments
 from tests.llm.rows import LONG, TEXTS, awkward, documents, nothing
@@ -146,3 +150,28 @@ def test_every_entry_has_its_bytes(tokenizers):
     assert all(tokenizers.a_bytes[i] == bytes(LETTERS[c] for c in entry) for entry, i in vocabulary.items())
     # No piece has a space after another character; cutting texts at lone spaces rests on it.
     assert not any(b" " in piece.lstrip(b" ") for piece in tokenizers.b_bytes)
+
+
+def test_segments_are_freed_as_soon_as_they_are_left(tokenizers):
+    gc.disable()
+    try:
+        known = Segments(tokenizers)
+        assert known.number("a b a").tolist() == [0, 1, 0] and list(known.numbers) == ["a", "b"]
+        gone = weakref.ref(known)
+        del known
+        assert gone() is None
+    finally:
+        gc.enable()
+
+
+def test_files_of_blocks_hold_few_rows(spark):
+    text = "over and over " * (alignment.BLOCK_BYTES // 14 + 1)
+    rows = [(n, text) for n in range(alignment.FILE_BLOCKS + 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    folder = os.path.dirname(alignment.fresh_path(spark, "token-blocks"))
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = align_documents(docs).collect()
+    assert {r.doc_id for r in found} == set(range(len(rows))) and len({r[1:] for r in found}) == 1
+    (stored,) = [f"{folder}/{name}" for name in os.listdir(folder) if name not in before and name.startswith("token-blocks")]
+    assert len([name for name in os.listdir(stored) if name.startswith("part-")]) == 2
+    assert sorted(r.block for r in spark.read.parquet(stored).collect()) == list(range(len(rows)))
