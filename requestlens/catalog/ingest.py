@@ -19,7 +19,7 @@ from requestlens.schemas import API_FIELDS
 from requestlens.session import fresh_path, store
 from requestlens.sources import landing
 from requestlens.sources.seeds import policy_frame, read_policies
-from requestlens.sources.star_requests import AS_OF, RULES
+from requestlens.sources.star_requests import AS_OF, RULES, derived, request_lines
 
 _VERSIONS = ["status", "resolution_description"]
 _SINCE = "2024-06-01 00:00:00"
@@ -36,12 +36,17 @@ SELECT batch_id, count(*) AS records, count(unique_key) AS keys, count(closed_da
   {" + ".join(f"count({name})" for name in _FILLED)} AS filled, {len(API_FIELDS) - len(_FILLED)} AS empty_fields, 1 AS corrupt_pages
 FROM raw GROUP BY 1"""))
 def src_json_pages(spark, folder):
-    """Land all raw rows with all fields as array pages, and a page that is cut off in every batch; read them back as text."""
+    """Land all raw rows with all fields as array pages, and a page that is cut off in every batch; read them back as text.
+
+    Lines are dealt to pages before the raw columns, which are several times as wide, are derived from them.
+    """
     path = fresh_path(spark, "pages")
-    rows = store(landing.conform(I.raw(spark, folder)), "page-rows")
+    lines = store(request_lines(spark, folder, list(RULES)).select("*", *derived(["batch_id"])), "page-lines", "zstd")
+    dealt = landing.deal_pages(lines, _PAGE_ROWS, lines.columns)
+    rows = landing.conform(dealt.select("batch_id", "page", *derived([name for name in RULES if name != "batch_id"])))
     columns = [*API_FIELDS, "source_row"]
-    landing.land_arrays(rows, path, columns, _PAGE_ROWS, "gzip")
-    cut = rows.select("batch_id").distinct().select("batch_id", F.lit(-1).alias("page"), F.lit('[{"unique_key": "cut off", "status": "Op').alias("value"))
+    landing.land_arrays(rows, path, columns, _PAGE_ROWS, "gzip", dealt=True)
+    cut = lines.select("batch_id").distinct().select("batch_id", F.lit(-1).alias("page"), F.lit('[{"unique_key": "cut off", "status": "Op').alias("value"))
     cut.write.mode("append").partitionBy("batch_id", "page").text(path)
     pages = landing.read_pages(spark, path, array_pages=True, extra=("source_row",))
     whole = F.col(landing.CORRUPT).isNull()

@@ -242,3 +242,29 @@ def test_flagged_rows_give_the_results_of_the_rows(spark):
         expected = Q.evaluate(rows, suite, by).collect()
         assert len(expected) == 6 * len({tuple(row[name] for name in by) for row in rows.collect()})
         assert sorted(map(str, Q.evaluate_flagged(flagged, suite, by).collect())) == sorted(map(str, expected))
+
+
+def test_pages_are_dealt_to_many_tasks_before_columns_are_derived(spark, tmp_path, monkeypatch):
+    from requestlens.catalog import ingest
+    from requestlens.sources import landing as L
+
+    monkeypatch.setattr(L, "TASK_PAGES", 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(300).select(F.col("id").cast("string").alias("unique_key"), F.lit("b").alias("batch_id"))
+        dealt = L.deal_pages(rows, 10, ["unique_key"])
+        # One batch, and yet no task has all of it: 30 pages go to 15 tasks, none of them to two.
+        assert dealt.rdd.getNumPartitions() == 15 and "SortMergeJoin" not in _plan(dealt)
+        places = dealt.select("page", F.spark_partition_id().alias("task")).distinct().collect()
+        assert dealt.count() == 300 and len({r.page for r in places}) == len(places) and len({r.task for r in places}) > 5
+        seen = {}
+        monkeypatch.setattr(ingest.landing, "land_arrays", lambda df, *args, dealt: seen.update(plan=_plan(df), rows=df.count(), fields=df.columns))
+        folder = _star(spark, tmp_path / "in")
+        ingest.src_json_pages(spark, folder)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert seen["rows"] == raw_requests(spark, folder).count() and "incident_address" in seen["fields"]
+    exchanged = [line for line in seen["plan"].splitlines() if "Exchange hashpartitioning(batch_id" in line and "REPARTITION_BY_NUM" in line]
+    # What is derived stands above the exchange, so texts like the address are not shuffled.
+    assert len(exchanged) == 1 and "upper(p_name" in seen["plan"][: seen["plan"].index(exchanged[0])]
