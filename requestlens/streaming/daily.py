@@ -66,7 +66,7 @@ def start_daily(
     def run(batch: DataFrame, epoch: int) -> None:
         landed = with_error(conform(stamp(batch, epoch)))
         fit = landed.where(F.col("_error").isNull()).drop("_error", CORRUPT)
-        table = MergedTable(batch.sparkSession, table_path, ties=ties)
+        table = MergedTable(batch.sparkSession, table_path, ties=ties, even=False)
         before = table.last()
         number = table.merge(fit, f"epoch {epoch}")
         changes = table.changes().where(F.col("merge").between(max(before, 1), number))

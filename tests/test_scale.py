@@ -268,3 +268,57 @@ def test_pages_are_dealt_to_many_tasks_before_columns_are_derived(spark, tmp_pat
     exchanged = [line for line in seen["plan"].splitlines() if "Exchange hashpartitioning(batch_id" in line and "REPARTITION_BY_NUM" in line]
     # What is derived stands above the exchange, so texts like the address are not shuffled.
     assert len(exchanged) == 1 and "upper(p_name" in seen["plan"][: seen["plan"].index(exchanged[0])]
+
+
+def test_rows_without_a_mark_are_not_shuffled(spark):
+    from requestlens.operators.key_marks import KeyMarks
+
+    rows = spark.range(20_000).select(F.when(F.col("id") != 7, F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    keys = spark.range(0, 20_000, 50).select(F.col("id").cast("string").alias("k"))
+    free, doubtful = KeyMarks(keys, "k").split(rows)
+    assert "Exchange hashpartitioning" not in _plan(free) and free.columns == doubtful.columns == rows.columns
+    kept, rest = ({r.v for r in df.collect()} for df in (free, doubtful))
+    assert kept | rest == set(range(20_000)) and not kept & rest
+    assert 7 in rest and set(range(0, 20_000, 50)) <= rest and len(rest) < 2_000
+    none = KeyMarks(keys.limit(0), "k").split(rows)
+    assert [df.count() for df in none] == [19_999, 1]
+
+
+def test_merges_of_repeated_keys_against_a_plain_one(spark, tmp_path):
+    import random
+
+    from requestlens.operators.merge import MergedTable
+    from requestlens.session import store
+
+    rng = random.Random(3)
+    schema = "unique_key string, created_date string, status string, ingested_at timestamp_ntz"
+    tables = [MergedTable(spark, f"{tmp_path}/{even}", even=even) for even in (True, False)]
+    state, ledger = {}, []
+    for number in range(3):
+        rows = [(str(rng.randint(0, 60)), f"2024-{rng.randint(1, 4):02d}-{rng.randint(1, 28):02d}", f"s{n}", dt.datetime(2024, 6, 1, rng.randint(0, 5), n % 60))
+                for n in range(50)]
+        best = {}
+        for row in rows:
+            best[row[0]] = max(best.get(row[0], row), row, key=lambda r: (r[3], r[1], r[2]))
+        newer = {k: r for k, r in best.items() if k not in state or (r[3], r[1], r[2]) > (state[k][3], state[k][1], state[k][2])}
+        ledger.append((len(newer.keys() - state.keys()), len(newer.keys() & state.keys()), len(best) - len(newer)))
+        batch = spark.createDataFrame(rows, schema)
+        tables[0].merge(batch, "b")
+        tables[1].merge(store(batch, "batch"), "b", stored=True)
+        state |= newer
+        for table in tables:
+            assert {tuple(r) for r in table.rows().select("unique_key", "created_date", "status", "ingested_at").collect()} == set(state.values())
+            assert table.rows().count() == len(state) and {r.unique_key for r in table.changes(number + 1).collect()} == newer.keys()
+    for table in tables:
+        assert [tuple(r) for r in table.ledger().orderBy("merge").select("inserted", "updated", "unchanged").collect()] == ledger
+
+
+def test_lines_are_dealt_to_micro_batches_before_columns_are_derived(spark, tmp_path, monkeypatch):
+    from requestlens.catalog import streams
+
+    seen = []
+    monkeypatch.setattr(streams, "land_lines", lambda rows, path, columns: seen.append(_plan(rows)))
+    monkeypatch.setattr(streams.S, "page_stream", lambda *args, max_files: None)
+    streams._pages(spark, _star(spark, tmp_path / "in"), 2)
+    dealt = seen[0].index("REPARTITION_BY_NUM")
+    assert "batch_" in seen[0][:dealt] and "batch_" not in seen[0][dealt:]
